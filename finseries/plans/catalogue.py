@@ -16,7 +16,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finseries.operators import indicators as I_
+from finseries.operators import movers as M_
 from finseries.operators import snapshot as S
+from finseries.operators import trends as T_
 from finseries.plans import sqlparts as Q
 from finseries.sources import adapters as A
 from finseries.sources.adapters import with_views
@@ -113,3 +116,123 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "ORACLE", "flagship", "F"]
+
+
+# --------------------------------------------------------------------------
+# History and open/close comparison (Q3 Q4 Q7 Q8)
+# --------------------------------------------------------------------------
+
+HISTORY_SPAN = "1M"
+HISTORY_DAYS = 30
+COMPARE_DAYS = 7
+
+
+def _history_sql(view, key):
+    return with_views(f"""{Q.dates(view)},
+r AS (SELECT {key}, date, open, high, low, close, volume FROM {view}
+      WHERE date > (SELECT latest FROM d) - INTERVAL {HISTORY_DAYS} DAY),
+s AS (SELECT {key}, count(*) AS n, arg_min(close, date) AS f, arg_max(close, date) AS l
+      FROM r GROUP BY {key})
+SELECT r.*, CASE WHEN coalesce(s.n > 1 AND s.l >= s.f, false) THEN 'green' ELSE 'gray' END AS color
+FROM r JOIN s ON r.{key} = s.{key}""", view)
+
+
+def _open_close_sql(view, key, label):
+    return with_views(f"""{Q.dates(view)},
+{Q.top_latest(view, key, K_LATEST)},
+r AS (SELECT * FROM {view} WHERE date > (SELECT latest FROM d) - INTERVAL {COMPARE_DAYS} DAY
+      AND {key} IN (SELECT {key} FROM top))
+SELECT {key}, {label} || ' - Open' AS series, date, open AS price FROM r
+UNION ALL
+SELECT {key}, {label} || ' - Close' AS series, date, close AS price FROM r""", view)
+
+
+@register("stock_history", _history_sql("L", "stock"))
+def stock_history(spark, sf_dir):
+    return T_.history(A.long_bars(spark, sf_dir), "stock", HISTORY_SPAN)
+
+
+@register("crypto_history", _history_sql("T", "symbol"))
+def crypto_history(spark, sf_dir):
+    return T_.history(A.tick_bars(spark, sf_dir), "symbol", HISTORY_SPAN)
+
+
+@register("stock_open_close", _open_close_sql("L", "stock", "stock"))
+def stock_open_close(spark, sf_dir):
+    return T_.open_close(A.long_bars(spark, sf_dir), "stock", "stock", K_LATEST, COMPARE_DAYS)
+
+
+@register("crypto_open_close", _open_close_sql("T", "symbol", "crypto"))
+def crypto_open_close(spark, sf_dir):
+    return T_.open_close(A.tick_bars(spark, sf_dir), "symbol", "crypto", K_LATEST, COMPARE_DAYS)
+
+
+# --------------------------------------------------------------------------
+# Calendar columns, value lists, indicator views
+# --------------------------------------------------------------------------
+
+YOY_YEARS = (1998, 1999)
+ROLL_WINDOW, ROLL_DIGITS = 3, 4
+
+_CAL_SQL = ("CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
+            "strftime(date, '%b') AS month_name")
+
+
+@register("calendar_columns", with_views(
+    f"SELECT symbol, date, {_CAL_SQL}, CAST(date_trunc('month', date) AS DATE) AS year_month FROM L",
+    "L"))
+def calendar_columns(spark, sf_dir):
+    return I_.calendar_columns(A.long_bars(spark, sf_dir)).select(
+        "symbol", "date", "year", "month", "month_name", "year_month")
+
+
+@register("asset_list", with_views("SELECT DISTINCT stock FROM L WHERE stock IS NOT NULL", "L"))
+def asset_list(spark, sf_dir):
+    return I_.sorted_values(A.long_bars(spark, sf_dir), "stock")
+
+
+@register("indicator_list", with_views(
+    "SELECT DISTINCT indicator FROM N WHERE indicator IS NOT NULL", "N"))
+def indicator_list(spark, sf_dir):
+    return I_.sorted_values(A.indicators(spark, sf_dir), "indicator")
+
+
+@register("indicator_years", with_views(
+    "SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM N WHERE date IS NOT NULL", "N"))
+def indicator_years(spark, sf_dir):
+    return I_.sorted_values(I_.calendar_columns(A.indicators(spark, sf_dir)), "year")
+
+
+@register("indicator_yoy", with_views(
+    f"SELECT indicator, CAST(year(date) AS VARCHAR) AS legend, {_CAL_SQL}, date, value FROM N "
+    f"WHERE year(date) IN {tuple(YOY_YEARS)}", "N"))
+def indicator_yoy(spark, sf_dir):
+    return I_.yoy(A.indicators(spark, sf_dir), None, YOY_YEARS)
+
+
+@register("indicator_rolling", with_views(
+    f"SELECT indicator, date, value, CASE WHEN count(value) OVER w = {ROLL_WINDOW} "
+    f"THEN round(sum(value) OVER w / {ROLL_WINDOW}, {ROLL_DIGITS}) END AS rolling_avg FROM N "
+    f"WINDOW w AS (PARTITION BY indicator ORDER BY date, value "
+    f"ROWS BETWEEN {ROLL_WINDOW - 1} PRECEDING AND CURRENT ROW)", "N"))
+def indicator_rolling(spark, sf_dir):
+    return I_.rolling_mean(A.indicators(spark, sf_dir), None, ROLL_WINDOW, digits=ROLL_DIGITS)
+
+
+# --------------------------------------------------------------------------
+# Movers (Q11 B7 H3 H4)
+# --------------------------------------------------------------------------
+
+K_MOVERS = 10
+
+
+@register("coerce_numbers", with_views(f"{Q.movers_clean('M')}\nSELECT * FROM mc", "M"))
+def coerce_numbers(spark, sf_dir):
+    return M_.clean_movers(A.movers_text(spark, sf_dir))
+
+
+@register("movers_top", with_views(
+    f"{Q.movers_clean('M')}\nSELECT *, printf('%.2f%%', change_percentage) AS change_percentage_display "
+    f"FROM mc ORDER BY change_amount DESC, ticker LIMIT {K_MOVERS}", "M"))
+def movers_top(spark, sf_dir):
+    return M_.top_movers(M_.clean_movers(A.movers_text(spark, sf_dir)), K_MOVERS)

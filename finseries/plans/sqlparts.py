@@ -43,3 +43,23 @@ change AS (SELECT {key}, {name}, open_curr, close_curr, close_prev,
   CASE WHEN {rises('close_curr', 'close_prev')} THEN '{UP}' ELSE '{DOWN}' END AS arrow,
   CASE WHEN {rises('close_curr', 'close_prev')} THEN 'green' ELSE 'red' END AS color
   FROM snap)"""
+
+
+NUMBER_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+INF_RE = r"^\s*[+-]?(inf|infinity)\s*$"
+
+
+def number(col: str) -> str:
+    """Lenient text-to-double with the same accepted forms as ``to_number``."""
+    return (f"CASE WHEN regexp_matches({col}, '{NUMBER_RE}') "
+            f"OR regexp_matches(lower({col}), '{INF_RE}') "
+            f"THEN TRY_CAST(trim({col}) AS DOUBLE) END")
+
+
+def movers_clean(view: str) -> str:
+    """CTE ``mc``: typed movers with incomplete rows dropped."""
+    return f"""mt AS (SELECT ticker, {number('price')} AS price, {number('change_amount')} AS change_amount,
+  {number("replace(change_percentage, '%', '')")} AS change_percentage, {number('volume')} AS volume
+  FROM {view}),
+mc AS (SELECT * FROM mt WHERE price IS NOT NULL AND change_amount IS NOT NULL
+  AND change_percentage IS NOT NULL AND volume IS NOT NULL)"""
