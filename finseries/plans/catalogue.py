@@ -21,6 +21,7 @@ from finseries.operators import movers as M_
 from finseries.operators import snapshot as S
 from finseries.operators import trends as T_
 from finseries.plans import sqlparts as Q
+from finseries.schemas import CRYPTO_NAMES, INDICATOR_NAMES, STOCK_NAMES
 from finseries.sources import adapters as A
 from finseries.sources.adapters import with_views
 
@@ -236,3 +237,73 @@ def coerce_numbers(spark, sf_dir):
     f"FROM mc ORDER BY change_amount DESC, ticker LIMIT {K_MOVERS}", "M"))
 def movers_top(spark, sf_dir):
     return M_.top_movers(M_.clean_movers(A.movers_text(spark, sf_dir)), K_MOVERS)
+
+
+# --------------------------------------------------------------------------
+# Ingest: land CSV, scan, name, type, publish, read back
+# --------------------------------------------------------------------------
+
+# The test views predate the landing floor of the live feeds, so the
+# registered curation runs use a floor inside their date range.
+TEST_FLOOR = "1998-01-01"
+
+
+def _curated(spark, bars, dataset, floor, code_col=None):
+    from finseries.session import scratch_path
+    from finseries.sources import raw as R
+    from finseries.sources import store as ST
+    landing = R.land_csv(bars, scratch_path(spark, "landing", dataset), dataset, code_col)
+    table = scratch_path(spark, "curated", dataset)
+    ST.publish(R.curate(spark, landing, dataset, floor=floor), table)
+    return ST.read_curated(spark, table)
+
+
+def _case(col, names):
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
+    return f"CASE {col} {whens} ELSE 'Unknown' END"
+
+
+@register("raw_csv_roundtrip", with_views(
+    "SELECT symbol, date, open, high, low, close, volume FROM T", "T"))
+def raw_csv_roundtrip(spark, sf_dir):
+    from finseries.session import scratch_path
+    from finseries.sources import raw as R
+    landing = R.land_csv(A.tick_bars(spark, sf_dir), scratch_path(spark, "landing", "crypto"), "crypto")
+    raw = R.read_raw(spark, landing, "crypto")
+    return R.typed(raw, "crypto", floor=None).select(
+        "symbol", "date", "open", "high", "low", "close", "volume")
+
+
+@register("curate_stocks", with_views(
+    f"SELECT symbol, {_case('symbol', STOCK_NAMES)} AS stock, date, open, high, low, close, volume "
+    f"FROM L WHERE date > DATE '{TEST_FLOOR}'", "L"))
+def curate_stocks(spark, sf_dir):
+    return _curated(spark, A.long_bars(spark, sf_dir), "stocks", TEST_FLOOR)
+
+
+@register("curate_crypto", with_views(
+    f"SELECT symbol, {_case('symbol', CRYPTO_NAMES)} AS crypto, date, open, high, low, close, volume "
+    f"FROM T", "T"))
+def curate_crypto(spark, sf_dir):
+    return _curated(spark, A.tick_bars(spark, sf_dir), "crypto", None)
+
+
+@register("curate_indicators", with_views(
+    f"SELECT {_case('indicator', INDICATOR_NAMES)} AS indicator, date, value FROM N "
+    f"WHERE date >= DATE '{TEST_FLOOR}'", "N"))
+def curate_indicators(spark, sf_dir):
+    src = A.indicators(spark, sf_dir).withColumnRenamed("indicator", "code")
+    return _curated(spark, src, "economic_indicators", TEST_FLOOR)
+
+
+@register("curate_commodities", with_views(
+    f"SELECT indicator AS commodity, date, value FROM N WHERE date > DATE '{TEST_FLOOR}'", "N"))
+def curate_commodities(spark, sf_dir):
+    src = A.indicators(spark, sf_dir).withColumnRenamed("indicator", "commodity")
+    return _curated(spark, src, "commodities", TEST_FLOOR)
+
+
+@register("curate_movers", with_views(
+    f"{Q.movers_clean('M')}\nSELECT * FROM mt", "M"))
+def curate_movers(spark, sf_dir):
+    return _curated(spark, A.movers_text(spark, sf_dir), "top_gainers", None)
