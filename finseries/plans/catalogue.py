@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finseries.operators import forecast as FC
 from finseries.operators import indicators as I_
 from finseries.operators import movers as M_
 from finseries.operators import snapshot as S
@@ -307,3 +308,80 @@ def curate_commodities(spark, sf_dir):
     f"{Q.movers_clean('M')}\nSELECT * FROM mt", "M"))
 def curate_movers(spark, sf_dir):
     return _curated(spark, A.movers_text(spark, sf_dir), "top_gainers", None)
+
+
+# --------------------------------------------------------------------------
+# Forecasts
+# --------------------------------------------------------------------------
+
+HORIZON, SHOW_LAST = 15, 30
+MIN_POINTS, LAST_POINTS = 30, 120
+FC_DIGITS, Y_DIGITS = 6, 10
+
+
+def _training_sql(view, key):
+    return with_views(f"{Q.training(view, key, MIN_POINTS, LAST_POINTS)}\n"
+                      f"SELECT {key}, ds, round(y, {Y_DIGITS}) AS y FROM tr", view)
+
+
+@register("training_set", _training_sql("T", "symbol"))
+def training_set(spark, sf_dir):
+    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    return tr.select("symbol", "ds", F.round("y", Y_DIGITS).alias("y"))
+
+
+@register("stock_training_set", _training_sql("L", "stock"))
+def stock_training_set(spark, sf_dir):
+    tr = FC.training_set(A.long_bars(spark, sf_dir), "stock", MIN_POINTS, LAST_POINTS)
+    return tr.select("stock", "ds", F.round("y", Y_DIGITS).alias("y"))
+
+
+def _season_join(rel):
+    return f"LEFT JOIN dow ON dow.symbol = {rel}.symbol AND dow.dw = dayofweek({rel}.date)"
+
+
+@register("forecast_baseline", with_views(f"""{Q.training('T', 'symbol', MIN_POINTS, LAST_POINTS)},
+{Q.baseline('symbol', HORIZON)}
+SELECT fut.symbol, fut.date, round(exp(fut.a + fut.b * fut.x + coalesce(dow.s, 0)), {FC_DIGITS}) AS forecast
+FROM fut {_season_join('fut')}""", "T"))
+def forecast_baseline(spark, sf_dir):
+    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    return FC.forecast_baseline(tr, "symbol", HORIZON, digits=FC_DIGITS)
+
+
+@register("forecast_combined_baseline", with_views(f"""{Q.training('T', 'symbol', MIN_POINTS, LAST_POINTS)},
+{Q.baseline('symbol', HORIZON)},
+rows AS (SELECT symbol, ds AS date, x, a, b, last_ds FROM xr
+         UNION ALL SELECT symbol, date, x, a, b, last_ds FROM fut),
+pr AS (SELECT rows.*, rows.a + rows.b * rows.x + coalesce(dow.s, 0) AS pred FROM rows {_season_join('rows')}),
+hs AS (SELECT xr.symbol, xr.y - (xr.a + xr.b * xr.x + coalesce(dow.s, 0)) AS e
+       FROM (SELECT xr.*, xr.ds AS date FROM xr) xr {_season_join('xr')}),
+sd AS (SELECT symbol, stddev_samp(e) AS sd FROM hs GROUP BY symbol),
+act AS (SELECT symbol, ds, y, row_number() OVER (PARTITION BY symbol ORDER BY ds DESC) AS rn FROM tr)
+SELECT symbol, ds AS date, round(exp(y), {FC_DIGITS}) AS value, 'Actual' AS Type,
+       CAST(NULL AS DOUBLE) AS lower_ci, CAST(NULL AS DOUBLE) AS upper_ci FROM act WHERE rn <= {SHOW_LAST}
+UNION ALL
+SELECT pr.symbol, pr.date, round(exp(pred), {FC_DIGITS}) AS value,
+       CASE WHEN pr.date > pr.last_ds THEN 'Forecast' ELSE 'Fitted' END AS Type,
+       round(exp(pred - {FC.Z80} * coalesce(sd.sd, 0)), {FC_DIGITS}) AS lower_ci,
+       round(exp(pred + {FC.Z80} * coalesce(sd.sd, 0)), {FC_DIGITS}) AS upper_ci
+FROM pr LEFT JOIN sd ON pr.symbol = sd.symbol""", "T"))
+def forecast_combined_baseline(spark, sf_dir):
+    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    fc = FC.forecast_baseline(tr, "symbol", HORIZON, with_fitted=True, digits=FC_DIGITS)
+    return FC.combined(tr, fc, "symbol", SHOW_LAST, digits=FC_DIGITS)
+
+
+@register("forecast_additive")
+def forecast_additive(spark, sf_dir):
+    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    return FC.combined(tr, FC.forecast_additive(tr, "symbol", HORIZON), "symbol", SHOW_LAST)
+
+
+@register("stock_forecast")
+def stock_forecast(spark, sf_dir):
+    """Q12: the additive forecast for the 20 assets with the most rows."""
+    bars = A.long_bars(spark, sf_dir)
+    top = F.broadcast(S.top_assets(bars, "stock", K_ALL, "all").select("stock"))
+    tr = FC.training_set(bars.join(top, "stock", "left_semi"), "stock", MIN_POINTS, LAST_POINTS)
+    return FC.combined(tr, FC.forecast_additive(tr, "stock", HORIZON), "stock", SHOW_LAST)

@@ -63,3 +63,26 @@ def movers_clean(view: str) -> str:
   FROM {view}),
 mc AS (SELECT * FROM mt WHERE price IS NOT NULL AND change_amount IS NOT NULL
   AND change_percentage IS NOT NULL AND volume IS NOT NULL)"""
+
+
+def training(view: str, key: str, min_points: int, last: int) -> str:
+    """CTE ``tr``: key, ds, y (log of the daily mean close), gated and cut."""
+    return f"""m AS (SELECT {key}, date AS ds, avg(close) AS p FROM {view}
+  WHERE date IS NOT NULL AND close IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT {key} FROM m GROUP BY {key} HAVING count(*) >= {min_points}),
+rk AS (SELECT m.*, row_number() OVER (PARTITION BY {key} ORDER BY ds DESC) AS rn
+  FROM m WHERE {key} IN (SELECT {key} FROM g)),
+tr AS (SELECT {key}, ds, ln(p) AS y FROM rk WHERE rn <= {last} AND p > 0)"""
+
+
+def baseline(key: str, horizon: int) -> str:
+    """CTEs over ``tr``: lst, x, fit, xr, dow, fut (the baseline model)."""
+    return f"""lst AS (SELECT {key}, max(ds) AS last_ds FROM tr GROUP BY {key}),
+x AS (SELECT tr.{key}, tr.ds, tr.y, lst.last_ds, CAST(date_diff('day', lst.last_ds, tr.ds) AS DOUBLE) AS x
+  FROM tr JOIN lst ON tr.{key} = lst.{key}),
+fit AS (SELECT {key}, max(last_ds) AS last_ds, regr_intercept(y, x) AS a, regr_slope(y, x) AS b
+  FROM x GROUP BY {key}),
+xr AS (SELECT x.*, fit.a, fit.b, x.y - (fit.a + fit.b * x.x) AS r FROM x JOIN fit ON x.{key} = fit.{key}),
+dow AS (SELECT {key}, dayofweek(ds) AS dw, avg(r) AS s FROM xr GROUP BY 1, 2),
+fut AS (SELECT {key}, last_ds, a, b, CAST(last_ds + h * INTERVAL 1 DAY AS DATE) AS date, CAST(h AS DOUBLE) AS x
+  FROM fit, generate_series(1, {horizon}) g(h))"""
