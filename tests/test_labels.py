@@ -1,0 +1,40 @@
+from finseries.functions import labels as L
+
+
+def _row(spark, curr, prev):
+    df = spark.createDataFrame([(curr, prev)], "c double, p double")
+    return df.select(L.pct_change("c", "p").alias("pct"), L.arrow("c", "p").alias("a"),
+                     L.change_color("c", "p").alias("col")).first()
+
+
+def test_zero_previous_close(spark):
+    r = _row(spark, 3.0, 0.0)
+    assert r.pct is None and r.a == "▲" and r.col == "green"
+
+
+def test_zero_to_zero_and_fall_from_zero(spark):
+    assert _row(spark, 0.0, 0.0).a == "▼"
+    assert _row(spark, -1.0, 0.0).a == "▼"
+
+
+def test_unchanged_and_missing(spark):
+    r = _row(spark, 5.0, 5.0)
+    assert r.pct == 0.0 and r.a == "▼" and r.col == "red"
+    r = _row(spark, None, 5.0)
+    assert r.pct is None and r.a == "▼" and r.col == "red"
+
+
+def test_rise(spark):
+    r = _row(spark, 11.0, 10.0)
+    assert abs(r.pct - 10.0) < 1e-9 and r.a == "▲" and r.col == "green"
+
+
+def test_percent_text_and_null(spark):
+    df = spark.createDataFrame([(12.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(L.percent_text("x")).collect()] == ["12.50%", None]
+
+
+def test_trend_color(spark):
+    df = spark.createDataFrame([(1, 1.0, 1.0), (2, 1.0, 1.0), (2, 2.0, 1.0), (3, 1.0, None)],
+                               "n int, f double, l double")
+    assert [r[0] for r in df.select(L.trend_color("n", "f", "l")).collect()] == ["gray", "green", "gray", "gray"]
