@@ -15,15 +15,29 @@ from pyspark.sql import functions as F
 from finseries.functions import labels
 
 
+def _day_pair(bars: DataFrame, date_col: str) -> Column:
+    """Scalar subquery: struct(latest, prev) from the two greatest distinct dates.
+
+    One pass: a partial distinct per task (a few thousand dates at most),
+    then the top two.  Every use in a plan is the same subquery, which Spark
+    runs once.
+    """
+    top2 = (bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())
+            .distinct().orderBy(F.desc("_d")).limit(2))
+    pair = top2.agg(F.struct(
+        F.max("_d").alias("latest"),
+        F.when(F.count(F.lit(1)) == 2, F.min("_d")).alias("prev")).alias("_pair"))
+    return pair.scalar()
+
+
 def latest_date(bars: DataFrame, date_col: str = "date") -> Column:
     """Scalar subquery: the greatest date of the table."""
-    return bars.agg(F.max(date_col)).scalar()
+    return _day_pair(bars, date_col).getField("latest")
 
 
 def previous_date(bars: DataFrame, date_col: str = "date") -> Column:
     """Scalar subquery: the greatest date below the latest one."""
-    latest = latest_date(bars, date_col)
-    return bars.where(F.col(date_col) < latest).agg(F.max(date_col)).scalar()
+    return _day_pair(bars, date_col).getField("prev")
 
 
 def latest_dates(bars: DataFrame, date_col: str = "date") -> DataFrame:
