@@ -25,8 +25,12 @@ FILE_STEM_PATTERN = r"^(.*)\.csv$"
 
 
 def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partitioned",
-             code_col: str | None = None) -> DataFrame:
-    """All-string scan of a landed dataset; adds the code column when it has one."""
+             code_col: str | None = None, header: bool = True) -> DataFrame:
+    """All-string scan of a landed dataset; adds the code column when it has one.
+
+    With ``header=False`` the files have no header row and the columns are
+    named by position from the dataset's fixed column list.
+    """
     code_col = code_col or DATASETS[dataset]["code"]
     if layout == "partitioned" and code_col:
         schema = raw_schema(dataset, code_col)
@@ -35,8 +39,8 @@ def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partit
     else:
         raise ValueError(f"layout must be 'files' or 'partitioned', not {layout!r}")
     df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", False)
+          .option("header", header)
+          .option("enforceSchema", not header)
           .option("mode", "PERMISSIVE")
           .csv(path))
     if layout == "files" and code_col:
@@ -100,9 +104,10 @@ def typed(raw: DataFrame, dataset: str, floor: str | None = "default",
 
 
 def curate(spark: SparkSession, landing: str, dataset: str, layout: str = "partitioned",
-           floor: str | None = "default", names: dict[str, str] | None = None) -> DataFrame:
+           floor: str | None = "default", names: dict[str, str] | None = None,
+           header: bool = True) -> DataFrame:
     """Landed CSV to the typed table of ``dataset`` (lazy; one scan)."""
-    return typed(read_raw(spark, landing, dataset, layout), dataset, floor, names)
+    return typed(read_raw(spark, landing, dataset, layout, header=header), dataset, floor, names)
 
 
 def land_csv(df: DataFrame, path: str, dataset: str, code_col: str | None = None,

@@ -91,3 +91,12 @@ def test_movers_typing(spark):
     from finseries.operators import movers as M
     got = M.clean_movers(raw).collect()
     assert [(r.ticker, r.change_percentage) for r in got] == [("X", 12.5)]
+
+
+def test_headerless_files_named_by_position(spark):
+    d = _tmp()
+    with open(os.path.join(d, "ETH.csv"), "w") as f:
+        f.write("2024-01-02,1,2,0.5,1.5,10\n2024-01-03,2,3,1.5,2.5,20\n")
+    got = R.curate(spark, d, "crypto", layout="files", floor=None, header=False).orderBy("date").collect()
+    assert [(r.symbol, r.crypto, str(r.date), r.close) for r in got] == [
+        ("ETH", "Ethereum", "2024-01-02", 1.5), ("ETH", "Ethereum", "2024-01-03", 2.5)]
