@@ -385,3 +385,16 @@ def stock_forecast(spark, sf_dir):
     top = F.broadcast(S.top_assets(bars, "stock", K_ALL, "all").select("stock"))
     tr = FC.training_set(bars.join(top, "stock", "left_semi"), "stock", MIN_POINTS, LAST_POINTS)
     return FC.combined(tr, FC.forecast_additive(tr, "stock", HORIZON), "stock", SHOW_LAST)
+
+
+@register("stream_curate_crypto", ORACLE["curate_crypto"])
+def stream_curate_crypto(spark, sf_dir):
+    """Curation triggered by file arrival (file stream, availableNow)."""
+    from finseries.session import scratch_path
+    from finseries.sources import raw as R
+    from finseries.sources import store as ST
+    from finseries.streaming.ingest import republish_on_arrival
+    landing = R.land_csv(A.tick_bars(spark, sf_dir), scratch_path(spark, "landing", "crypto"), "crypto")
+    table = scratch_path(spark, "curated", "crypto")
+    republish_on_arrival(spark, landing, "crypto", table, floor=None)
+    return ST.read_curated(spark, table)
