@@ -9,25 +9,33 @@ time), so the day queries read only the days they need.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finseries.functions import labels
 
 
+_PAIRS: "weakref.WeakKeyDictionary[DataFrame, dict[str, Column]]" = weakref.WeakKeyDictionary()
+
+
 def _day_pair(bars: DataFrame, date_col: str) -> Column:
     """Scalar subquery: struct(latest, prev) from the two greatest distinct dates.
 
     One pass: a partial distinct per task (a few thousand dates at most),
-    then the top two.  Every use in a plan is the same subquery, which Spark
-    runs once.
+    then the top two.  The Column is built once per bar DataFrame, so every
+    use in a plan is the same subquery, which Spark runs once.
     """
-    top2 = (bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())
-            .distinct().orderBy(F.desc("_d")).limit(2))
-    pair = top2.agg(F.struct(
-        F.max("_d").alias("latest"),
-        F.when(F.count(F.lit(1)) == 2, F.min("_d")).alias("prev")).alias("_pair"))
-    return pair.scalar()
+    per = _PAIRS.setdefault(bars, {})
+    if date_col not in per:
+        top2 = (bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())
+                .distinct().orderBy(F.desc("_d")).limit(2))
+        pair = top2.agg(F.struct(
+            F.max("_d").alias("latest"),
+            F.when(F.count(F.lit(1)) == 2, F.min("_d")).alias("prev")).alias("_pair"))
+        per[date_col] = pair.scalar()
+    return per[date_col]
 
 
 def latest_date(bars: DataFrame, date_col: str = "date") -> Column:

@@ -15,6 +15,8 @@ grouping keys) and only the needed columns are read.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+_VIEWS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _view(build):
+    """Define a view once per session and folder, like a temp view.
+
+    Only the lazy plan is kept; every action still reads the files.
+    """
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        per = _VIEWS.setdefault(spark, {})
+        key = (build.__name__, sf_dir.rstrip("/"))
+        if key not in per:
+            per[key] = build(spark, sf_dir)
+        return per[key]
+    get.__name__, get.__doc__ = build.__name__, build.__doc__
+    return get
+
+
+@_view
 def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, stock, date, open, high, low, close, volume (stocks shape)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -59,6 +80,7 @@ def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "date", "open", "high", "low", "close", "volume")
 
 
+@_view
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, crypto, date, open, high, low, close, volume (crypto shape)."""
     ev = table(spark, sf_dir, "events").select(
@@ -75,6 +97,7 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "open", "high", "low", "close", "volume")
 
 
+@_view
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """indicator, date, value (monthly series, economic indicator shape)."""
     o = table(spark, sf_dir, "orders").select(
@@ -84,6 +107,7 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg("o_totalprice"), 4).alias("value"))
 
 
+@_view
 def movers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ticker, price, change_amount, change_percentage, volume, all as text."""
     p = table(spark, sf_dir, "part")
