@@ -340,12 +340,17 @@ def _season_join(rel):
     return f"LEFT JOIN dow ON dow.symbol = {rel}.symbol AND dow.dw = dayofweek({rel}.date)"
 
 
+def _staged_training(spark, bars, key):
+    from finseries.sources.store import stage
+    return stage(FC.training_set(bars, key, MIN_POINTS, LAST_POINTS), "training")
+
+
 @register("forecast_baseline", with_views(f"""{Q.training('T', 'symbol', MIN_POINTS, LAST_POINTS)},
 {Q.baseline('symbol', HORIZON)}
 SELECT fut.symbol, fut.date, round(exp(fut.a + fut.b * fut.x + coalesce(dow.s, 0)), {FC_DIGITS}) AS forecast
 FROM fut {_season_join('fut')}""", "T"))
 def forecast_baseline(spark, sf_dir):
-    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    tr = _staged_training(spark, A.tick_bars(spark, sf_dir), "symbol")
     return FC.forecast_baseline(tr, "symbol", HORIZON, digits=FC_DIGITS)
 
 
@@ -367,14 +372,14 @@ SELECT pr.symbol, pr.date, round(exp(pred), {FC_DIGITS}) AS value,
        round(exp(pred + {FC.Z80} * coalesce(sd.sd, 0)), {FC_DIGITS}) AS upper_ci
 FROM pr LEFT JOIN sd ON pr.symbol = sd.symbol""", "T"))
 def forecast_combined_baseline(spark, sf_dir):
-    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    tr = _staged_training(spark, A.tick_bars(spark, sf_dir), "symbol")
     fc = FC.forecast_baseline(tr, "symbol", HORIZON, with_fitted=True, digits=FC_DIGITS)
     return FC.combined(tr, fc, "symbol", SHOW_LAST, digits=FC_DIGITS)
 
 
 @register("forecast_additive")
 def forecast_additive(spark, sf_dir):
-    tr = FC.training_set(A.tick_bars(spark, sf_dir), "symbol", MIN_POINTS, LAST_POINTS)
+    tr = _staged_training(spark, A.tick_bars(spark, sf_dir), "symbol")
     return FC.combined(tr, FC.forecast_additive(tr, "symbol", HORIZON), "symbol", SHOW_LAST)
 
 
@@ -383,7 +388,7 @@ def stock_forecast(spark, sf_dir):
     """Q12: the additive forecast for the 20 assets with the most rows."""
     bars = A.long_bars(spark, sf_dir)
     top = F.broadcast(S.top_assets(bars, "stock", K_ALL, "all").select("stock"))
-    tr = FC.training_set(bars.join(top, "stock", "left_semi"), "stock", MIN_POINTS, LAST_POINTS)
+    tr = _staged_training(spark, bars.join(top, "stock", "left_semi"), "stock")
     return FC.combined(tr, FC.forecast_additive(tr, "stock", HORIZON), "stock", SHOW_LAST)
 
 

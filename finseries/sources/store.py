@@ -83,3 +83,18 @@ def latest_run(spark: SparkSession, path: str) -> str:
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete run of the table at ``path``."""
     return spark.read.parquet(latest_run(spark, path))
+
+
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared scratch root and read it back.
+
+    Used for small intermediates that several branches of a plan read (the
+    training set of the forecasts): they are computed once, the lineage is
+    cut (a lost executor does not recompute the fact-table scan), and AQE
+    sees their real size.
+    """
+    from finseries.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage", label)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
