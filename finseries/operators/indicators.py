@@ -46,17 +46,19 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
                  bucket: Column | None = None, digits: int | None = None) -> DataFrame:
     """Mean of the last ``window`` rows per series in date order.
 
-    The mean is NULL until ``window`` non-missing values are in the frame
-    (a missing value anywhere in the frame makes it NULL).  Ties on the date
-    are ordered by value.  Output: key, date, value, rolling_avg.
+    The mean is NULL until ``window`` rows are in the frame, and a missing
+    value anywhere in the frame makes it NULL.  Ties on the date are ordered
+    by value.  The frame is summed oldest first, ``((v[-2] + v[-1]) + v[0])``,
+    so the result does not depend on how the work was split.  Output: key,
+    date, value, rolling_avg.
 
     A window partitioned by the series alone would put a whole series into
     one task.  Instead each series is cut into time buckets (default: the
-    calendar year), frames are computed inside each (series, bucket), and
-    the first ``window - 1`` rows of a bucket are completed with the last
-    rows before it, found by an equi-join on the global row index.  Only
-    the per-bucket counts (one row per series and bucket) are windowed over
-    the whole series.
+    calendar year) and the previous values are lags inside each (series,
+    bucket).  The first ``window - 1`` rows of a bucket take the values
+    before the bucket start from the last rows of earlier buckets, found by
+    an equi-join on a global row index.  Only the per-bucket counts (one row
+    per series and bucket) are windowed over a whole series.
     """
     w = int(window)
     if w < 1:
@@ -69,38 +71,36 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
 
     part = Window.partitionBy(key, "_b")
     ordered = part.orderBy(date_col, value_col)
-    frame = ordered.rowsBetween(-(w - 1), 0)
     local = rows.select(
         key, date_col, value_col, "_b",
         F.row_number().over(ordered).alias("_rn"),
         F.count(F.lit(1)).over(part).alias("_nb"),
-        F.sum(value_col).over(frame).alias("_lsum"),
-        F.count(value_col).over(frame).alias("_lcnt"),
+        *[F.lag(value_col, d).over(ordered).alias(f"_l{d}") for d in range(1, w)],
     )
-    # offset of each bucket in its series: a window over one row per bucket
-    counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    series = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_b", F.coalesce(F.sum("_nb").over(series), F.lit(0)).alias("_off"))
-    indexed = local.join(offsets, [key, "_b"], "inner").withColumn("_idx", F.col("_off") + F.col("_rn"))
-
     if w == 1:
-        done = indexed.withColumn("_sum", F.col("_lsum")).withColumn("_cnt", F.col("_lcnt"))
+        values = [F.col(value_col)]
+        done = local
     else:
+        # offset of each bucket in its series: a window over one row per bucket
+        counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+        series = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(key, "_b", F.coalesce(F.sum("_nb").over(series), F.lit(0)).alias("_off"))
+        indexed = local.join(offsets, [key, "_b"], "inner").withColumn("_idx", F.col("_off") + F.col("_rn"))
         tails = indexed.where(F.col("_rn") > F.col("_nb") - (w - 1)).select(
             key, F.col("_idx").alias("_need"), F.col(value_col).alias("_hv"))
-        # the head rows of each bucket list the indices before the bucket start they need
+        # head rows of a bucket list the positions before the bucket start they need
         need = indexed.where(F.col("_rn") < w).select(
-            key, "_idx",
-            F.explode(F.sequence(F.col("_rn"), F.lit(w - 1))).alias("_d"),
-        ).select(key, "_idx", (F.col("_idx") - F.col("_d")).alias("_need")).where(F.col("_need") >= 1)
+            key, "_idx", F.explode(F.sequence(F.col("_rn"), F.lit(w - 1))).alias("_d"),
+        ).select(key, "_idx", "_d", (F.col("_idx") - F.col("_d")).alias("_need")).where(F.col("_need") >= 1)
         halo = need.join(tails, [key, "_need"], "inner").groupBy(key, "_idx").agg(
-            F.sum("_hv").alias("_hsum"), F.count("_hv").alias("_hcnt"))
-        done = indexed.join(halo, [key, "_idx"], "left").select(
-            "*",
-            (F.col("_lsum") + F.coalesce(F.col("_hsum"), F.lit(0.0))).alias("_sum"),
-            (F.col("_lcnt") + F.coalesce(F.col("_hcnt"), F.lit(0))).alias("_cnt"),
-        )
-    avg = F.when(F.col("_cnt") == w, F.col("_sum") / F.lit(float(w)))
+            *[F.max(F.when(F.col("_d") == d, F.col("_hv"))).alias(f"_h{d}") for d in range(1, w)])
+        done = indexed.join(halo, [key, "_idx"], "left")
+        values = [F.col(value_col)] + [
+            F.when(F.col("_rn") > d, F.col(f"_l{d}")).otherwise(F.col(f"_h{d}")) for d in range(1, w)]
+    total = values[-1]
+    for v in reversed(values[:-1]):
+        total = total + v
+    avg = total / F.lit(float(w))
     if digits is not None:
         avg = F.round(avg, digits)
     return done.select(key, date_col, value_col, avg.alias("rolling_avg"))

@@ -174,7 +174,7 @@ def crypto_open_close(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 YOY_YEARS = (1998, 1999)
-ROLL_WINDOW, ROLL_DIGITS = 3, 4
+ROLL_WINDOW = 3
 
 _CAL_SQL = ("CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
             "strftime(date, '%b') AS month_name")
@@ -212,13 +212,18 @@ def indicator_yoy(spark, sf_dir):
     return I_.yoy(A.indicators(spark, sf_dir), None, YOY_YEARS)
 
 
-@register("indicator_rolling", with_views(
-    f"SELECT indicator, date, value, CASE WHEN count(value) OVER w = {ROLL_WINDOW} "
-    f"THEN round(sum(value) OVER w / {ROLL_WINDOW}, {ROLL_DIGITS}) END AS rolling_avg FROM N "
-    f"WINDOW w AS (PARTITION BY indicator ORDER BY date, value "
-    f"ROWS BETWEEN {ROLL_WINDOW - 1} PRECEDING AND CURRENT ROW)", "N"))
+def _rolling_sql(w):
+    terms = [f"lag(value, {d}) OVER o" for d in range(w - 1, 0, -1)] + ["value"]
+    total = terms[0]
+    for t in terms[1:]:
+        total = f"({total} + {t})"
+    return with_views(f"SELECT indicator, date, value, {total} / {float(w)} AS rolling_avg FROM N "
+                      f"WINDOW o AS (PARTITION BY indicator ORDER BY date, value)", "N")
+
+
+@register("indicator_rolling", _rolling_sql(ROLL_WINDOW))
 def indicator_rolling(spark, sf_dir):
-    return I_.rolling_mean(A.indicators(spark, sf_dir), None, ROLL_WINDOW, digits=ROLL_DIGITS)
+    return I_.rolling_mean(A.indicators(spark, sf_dir), None, ROLL_WINDOW)
 
 
 # --------------------------------------------------------------------------

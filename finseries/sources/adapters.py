@@ -99,12 +99,18 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_view
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """indicator, date, value (monthly series, economic indicator shape)."""
+    """indicator, date, value (monthly series, economic indicator shape).
+
+    The value is the monthly mean price, taken as an exact integer sum of
+    cents divided by the count: the same IEEE operations in any engine, so no
+    rounding step (and no rounding tie) is needed to compare engines.
+    """
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("indicator"),
-        F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("date"), "o_totalprice")
+        F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("date"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("_cents"))
     return o.groupBy("indicator", "date").agg(
-        F.round(F.avg("o_totalprice"), 4).alias("value"))
+        (F.sum("_cents").cast("double") / F.count(F.lit(1)) / F.lit(100.0)).alias("value"))
 
 
 @_view
@@ -147,7 +153,7 @@ SELECT symbol, upper(symbol) AS crypto, date, open, high, low, close, volume FRO
 
 INDICATORS_SQL = """
 SELECT o_orderstatus AS indicator, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS date,
-       round(avg(o_totalprice), 4) AS value
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS value
 FROM orders GROUP BY 1, 2
 """
 
