@@ -84,5 +84,6 @@ fit AS (SELECT {key}, max(last_ds) AS last_ds, regr_intercept(y, x) AS a, regr_s
   FROM x GROUP BY {key}),
 xr AS (SELECT x.*, fit.a, fit.b, x.y - (fit.a + fit.b * x.x) AS r FROM x JOIN fit ON x.{key} = fit.{key}),
 dow AS (SELECT {key}, dayofweek(ds) AS dw, avg(r) AS s FROM xr GROUP BY 1, 2),
+fh AS (SELECT {key}, last_ds, a, b, unnest(generate_series(1, {horizon})) AS h FROM fit),
 fut AS (SELECT {key}, last_ds, a, b, CAST(last_ds + h * INTERVAL 1 DAY AS DATE) AS date, CAST(h AS DOUBLE) AS x
-  FROM fit, generate_series(1, {horizon}) g(h))"""
+  FROM fh)"""

@@ -100,3 +100,17 @@ def test_headerless_files_named_by_position(spark):
     got = R.curate(spark, d, "crypto", layout="files", floor=None, header=False).orderBy("date").collect()
     assert [(r.symbol, r.crypto, str(r.date), r.close) for r in got] == [
         ("ETH", "Ethereum", "2024-01-02", 1.5), ("ETH", "Ethereum", "2024-01-03", 2.5)]
+
+
+def test_publish_partitioned_by_date_prunes_at_run_time(spark):
+    from finseries.operators import snapshot as S
+    table = os.path.join(_tmp(), "bars")
+    bars = A.tick_bars(spark, SF0001)
+    ST.publish(bars, table, partition_by=["date"])
+    back = ST.read_curated(spark, table)
+    assert back.count() == bars.count()
+    snap = S.snapshot_change(back, "symbol", "crypto")
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "Subquery" in plan
+    want = {(r.symbol, r.close_curr) for r in S.snapshot_change(bars, "symbol", "crypto").collect()}
+    assert {(r.symbol, r.close_curr) for r in snap.collect()} == want
