@@ -12,8 +12,15 @@ from finseries.operators.snapshot import latest_date, top_assets
 from finseries.schemas import RANGE_DAYS
 
 
+CALENDAR_YTD = "calendar_ytd"
+
+
 def span_days(span) -> int:
-    """A range label ("5D", "1M", "6M", "YTD", "1Y", "5Y") or a day count."""
+    """A range label ("5D", "1M", "6M", "YTD", "1Y", "5Y") or a day count.
+
+    "YTD" is a fixed 90 days; ``CALENDAR_YTD`` (not a day count) means
+    since January 1 of the latest date's year.
+    """
     if isinstance(span, str):
         try:
             return RANGE_DAYS[span]
@@ -47,6 +54,7 @@ def history(bars: DataFrame, key: str, span="1M", assets=None, by_name: str | No
             date_col: str = "date") -> DataFrame:
     """Rows after ``latest - span`` (strict) with a per-asset trend color.
 
+    ``span`` is a range label, a day count or ``CALENDAR_YTD``.
     ``assets=None`` keeps every asset; otherwise a list of keys, or of
     display names in column ``by_name``.  The color is green when the asset
     has more than one row in the range and its last close is at least its
@@ -57,8 +65,11 @@ def history(bars: DataFrame, key: str, span="1M", assets=None, by_name: str | No
     not a window over the key, so a dominant asset is split across tasks by
     the partial aggregate and by AQE's skew handling of the join.
     """
-    days = span_days(span)
-    rows = bars.where(F.col(date_col) > F.date_sub(latest_date(bars, date_col), days))
+    latest = latest_date(bars, date_col)
+    if span == CALENDAR_YTD:
+        rows = bars.where(F.col(date_col) >= F.trunc(latest, "year"))
+    else:
+        rows = bars.where(F.col(date_col) > F.date_sub(latest, span_days(span)))
     rows = _chosen(rows, key, assets, by_name, date_col)
     rows = rows.select(key, date_col, "open", "high", "low", "close", "volume")
     stats = rows.groupBy(key).agg(

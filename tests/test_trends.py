@@ -32,3 +32,11 @@ def test_open_close_two_rows_per_asset_and_date(spark, bars):
 
 def test_span_labels():
     assert [T.span_days(x) for x in ["5D", "1M", "6M", "YTD", "1Y", "5Y", 12]] == [5, 30, 182, 90, 365, 1825, 12]
+
+
+def test_calendar_ytd_option(spark, bars):
+    df = bars([("A", "2024-03-10", 2.0), ("A", "2024-01-01", 1.0), ("A", "2023-12-31", 9.0)])
+    got = sorted(str(r.date) for r in T.history(df, "symbol", T.CALENDAR_YTD).collect())
+    assert got == ["2024-01-01", "2024-03-10"]
+    fixed = sorted(str(r.date) for r in T.history(df, "symbol", "YTD").collect())
+    assert fixed == ["2024-01-01", "2024-03-10"] and len(T.history(df, "symbol", 40).collect()) == 1
