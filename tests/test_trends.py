@@ -39,4 +39,5 @@ def test_calendar_ytd_option(spark, bars):
     got = sorted(str(r.date) for r in T.history(df, "symbol", T.CALENDAR_YTD).collect())
     assert got == ["2024-01-01", "2024-03-10"]
     fixed = sorted(str(r.date) for r in T.history(df, "symbol", "YTD").collect())
-    assert fixed == ["2024-01-01", "2024-03-10"] and len(T.history(df, "symbol", 40).collect()) == 1
+    assert fixed == ["2023-12-31", "2024-01-01", "2024-03-10"]  # fixed 90 days
+    assert len(T.history(df, "symbol", 40).collect()) == 1
