@@ -49,3 +49,12 @@ def test_rolling_mean_has_no_window_over_whole_series(spark):
     assert windows
     # every window that sees input rows is partitioned by (indicator, bucket)
     assert any("_b" in l for l in windows)
+
+
+def test_no_nested_loop_cartesian_or_row_udf(spark):
+    for name, fn in E.queries().items():
+        if name.startswith("curate") or name in ("raw_csv_roundtrip", "stream_curate_crypto"):
+            continue
+        plan = _plan(fn(spark, SF001))
+        for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+            assert bad not in plan, (name, bad)
