@@ -56,9 +56,9 @@ def future_dates(last_ds, horizon: int):
     return F.sequence(F.date_add(last_ds, 1), F.date_add(last_ds, horizon))
 
 
-def baseline_fit(train: DataFrame, key: str = "symbol") -> DataFrame:
-    """Per asset: last_ds, intercept a and slope b of y on days since last_ds,
-    and residual sd; plus per weekday mean residual in a second frame."""
+def baseline_fit(train: DataFrame, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
+    """Training rows with ``x`` (days since the asset's last date, <= 0), and
+    per asset: last_ds, intercept ``a`` and slope ``b`` of y on x."""
     last = train.groupBy(key).agg(F.max("ds").alias("last_ds"))
     x = train.join(last, key).withColumn("x", F.datediff("ds", "last_ds").cast("double"))
     fit = x.groupBy(key).agg(

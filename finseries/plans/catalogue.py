@@ -117,9 +117,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stock_snapshot(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "ORACLE", "flagship", "F"]
-
-
 # --------------------------------------------------------------------------
 # History and open/close comparison (Q3 Q4 Q7 Q8)
 # --------------------------------------------------------------------------

@@ -8,7 +8,6 @@ sizes rather than guesses.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,6 +68,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique sub-folder name under the scratch root (not created)."""
     return "/".join([scratch_root(spark), "finseries", *parts, uuid.uuid4().hex])
 
-
-def local_master_from_env() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
