@@ -96,8 +96,11 @@ def snapshot_change(bars: DataFrame, key: str, name: str, k: int = 10,
                     date_col: str = "date") -> DataFrame:
     """Latest against previous day for the top ``k`` assets of the latest day.
 
-    Inner self-join on ``key``: an asset missing on either day drops out,
-    duplicate keys multiply.  Output: key, name, open_curr, close_curr,
+    Inner join on ``key``: an asset missing on either day drops out.  The
+    previous day is one row per asset (mean close if the asset has several
+    rows that day), so every latest-day row appears once and the output is
+    never larger than the latest day's rows: repeated rows of one asset do
+    not pair up with each other.  Output: key, name, open_curr, close_curr,
     close_prev, pct_change, arrow, color.
     """
     top = F.broadcast(top_assets(bars, key, k, "latest", date_col=date_col).select(key))
@@ -105,7 +108,7 @@ def snapshot_change(bars: DataFrame, key: str, name: str, k: int = 10,
     prev = _on_date(bars, previous_date(bars, date_col), date_col).join(top, key, "left_semi")
     cur = cur.select(key, F.col(name).alias(name), F.col("open").alias("open_curr"),
                      F.col("close").alias("close_curr"))
-    prev = prev.select(key, F.col("close").alias("close_prev"))
+    prev = prev.groupBy(key).agg(F.avg("close").alias("close_prev"))
     j = cur.join(prev, key, "inner")
     return j.select(
         key, name, "open_curr", "close_curr", "close_prev",
@@ -119,11 +122,10 @@ def sparkline(bars: DataFrame, key: str, name: str, k: int = 10, days: int = 7,
               date_col: str = "date") -> DataFrame:
     """Closes of each snapshot asset since ``latest - days`` (inclusive).
 
-    One series per snapshot row, colored like that row.  Output: key, date,
-    close, color.
+    One series per snapshot asset and color.  Output: key, date, close, color.
     """
-    snap = snapshot_change(bars, key, name, k, date_col).select(key, "color")
+    # at most k keys and two colors per key: a bounded broadcast side
+    snap = snapshot_change(bars, key, name, k, date_col).select(key, "color").distinct()
     since = F.date_sub(latest_date(bars, date_col), days)
     recent = bars.where(F.col(date_col) >= since).select(key, date_col, "close")
-    # the snapshot has at most k rows per duplicate of a key: a bounded side
     return recent.join(F.broadcast(snap), key, "inner").select(key, date_col, "close", "color")

@@ -88,7 +88,8 @@ def _snapshot_sql(view, key, name):
 def _sparkline_sql(view, key, name):
     return with_views(
         f"{Q.snapshot(view, key, name, K_LATEST)}\n"
-        f"SELECT b.{key}, b.date, b.close, c.color FROM {view} b JOIN change c ON b.{key} = c.{key}\n"
+        f"SELECT b.{key}, b.date, b.close, c.color FROM {view} b\n"
+        f"JOIN (SELECT DISTINCT {key}, color FROM change) c ON b.{key} = c.{key}\n"
         f"WHERE b.date >= (SELECT latest FROM d) - INTERVAL {SPARK_DAYS} DAY", view)
 
 

@@ -35,7 +35,8 @@ def snapshot(view: str, key: str, name: str, k: int) -> str:
     return f"""{dates(view)},
 {top_latest(view, key, k)},
 cur AS (SELECT * FROM {view} WHERE date = (SELECT latest FROM d) AND {key} IN (SELECT {key} FROM top)),
-prv AS (SELECT * FROM {view} WHERE date = (SELECT prev FROM pd) AND {key} IN (SELECT {key} FROM top)),
+prv AS (SELECT {key}, avg(close) AS close FROM {view}
+        WHERE date = (SELECT prev FROM pd) AND {key} IN (SELECT {key} FROM top) GROUP BY {key}),
 snap AS (SELECT c.{key}, c.{name}, c.open AS open_curr, c.close AS close_curr, p.close AS close_prev
          FROM cur c JOIN prv p ON c.{key} = p.{key}),
 change AS (SELECT {key}, {name}, open_curr, close_curr, close_prev,

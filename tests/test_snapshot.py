@@ -30,10 +30,13 @@ def test_top_by_count_then_key(spark, bars):
     assert got == [("Z", 2), ("A", 1)]
 
 
-def test_duplicates_multiply_in_snapshot(spark, bars):
+def test_duplicates_do_not_pair_up(spark, bars):
     rows = [("A", "2024-01-01", 1.0), ("A", "2024-01-01", 2.0), ("A", "2024-01-02", 3.0),
             ("A", "2024-01-02", 4.0)]
-    assert S.snapshot_change(bars(rows), "symbol", "name").count() == 4
+    got = sorted((r.close_curr, r.close_prev) for r in S.snapshot_change(bars(rows), "symbol", "name").collect())
+    assert got == [(3.0, 1.5), (4.0, 1.5)]  # one row per latest-day row, previous day averaged
+    spark_rows = S.sparkline(bars(rows), "symbol", "name").collect()
+    assert len(spark_rows) == 4  # each recent row once (one color)
 
 
 def test_snapshot_properties(spark, bars):
