@@ -45,6 +45,32 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def sizing_conf(input_bytes: int, total_cores: int, shuffle_bytes: int | None = None,
+                target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition settings for a job whose largest input is ``input_bytes``.
+
+    Scan splits aim at ``target_partition_bytes`` each.  Shuffle partitions
+    are sized from the largest shuffle (default: a quarter of the input, as
+    partial aggregation and column pruning shrink what is shuffled), at least
+    three per core and at most ``MAX_SHUFFLE_PARTITIONS`` (the map-output
+    bookkeeping grows with maps x reducers).  AQE coalesces small partitions
+    and splits skewed ones at run time.  For 100 TB on 1000 executors with 8
+    cores: 409,600 scan splits of 256 MiB and 100,000 shuffle partitions.
+    """
+    shuffle_bytes = int(input_bytes) // 4 if shuffle_bytes is None else int(shuffle_bytes)
+    parts = -(-shuffle_bytes // target_partition_bytes)
+    parts = min(max(3 * total_cores, parts), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates (landing files, published runs).
 

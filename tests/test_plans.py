@@ -58,3 +58,11 @@ def test_no_nested_loop_cartesian_or_row_udf(spark):
         plan = _plan(fn(spark, SF001))
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_sizing_conf_bounds():
+    from finseries.session import sizing_conf
+    big = sizing_conf(100 * 2 ** 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    assert sizing_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
