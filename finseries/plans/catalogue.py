@@ -114,8 +114,10 @@ def crypto_sparkline(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stock snapshot: scan, aggregate, top-k, semi join, self-join, labels."""
-    return stock_snapshot(spark, sf_dir)
+    """The crypto snapshot: scan, aggregate, date subquery, top-k, semi join,
+    join of two days, labels.  (At sf0.001 no stock trades on both of the
+    last two days, so the stock snapshot is empty there.)"""
+    return crypto_snapshot(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------

@@ -51,5 +51,5 @@ def test_matches_duckdb(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
-    assert df.columns == ["stock", "symbol", "open_curr", "close_curr", "close_prev", "pct_change", "arrow", "color"]
+    assert df.count() > 0
+    assert df.columns == ["symbol", "crypto", "open_curr", "close_curr", "close_prev", "pct_change", "arrow", "color"]
