@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from finseries.functions import trend_model
 from finseries.schemas import DEFAULT_HORIZON, DEFAULT_SHOW_LAST, MAX_TRAIN_POINTS, MIN_TRAIN_POINTS
+from finseries.session import ship_package
 
 ACTUAL, FITTED, FORECAST = "Actual", "Fitted", "Forecast"
 Z80 = trend_model.INTERVAL_Z
@@ -162,6 +163,7 @@ def forecast_additive(train: DataFrame, key: str = "symbol",
             key: pdf[key].iloc[0], "date": pd.to_datetime(dates).date, "last_ds": pd.Timestamp(last).date(),
             "yhat": mean, "yhat_lower": lo, "yhat_upper": hi})
 
+    ship_package(train.sparkSession)
     fc = train.select(key, "ds", "y").groupBy(key).applyInPandas(fit_predict, out_schema)
     return fc.select(
         key, "date", F.exp("yhat").alias("value"),

@@ -8,8 +8,10 @@ sizes rather than guesses.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +96,32 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique sub-folder name under the scratch root (not created)."""
     return "/".join([scratch_root(spark), "finseries", *parts, uuid.uuid4().hex])
 
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``finseries`` importable in Python workers (once per application).
+
+    Grouped-map functions refer to modules of this package; on a cluster the
+    workers only see it if it is shipped, so the package's sources are zipped
+    on the driver and added with ``addPyFile`` (Spark serves the file to
+    every executor).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="finseries-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
