@@ -41,9 +41,24 @@ def sorted_values(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col)
 
 
+def _range_buckets(rows: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
+    """Add ``_tb`` (tie-break) and ``_b`` (bucket): contiguous, balanced runs
+    of each series in (order, _tb) order.
+
+    Range partitioning on (key, *order, _tb) samples the data and cuts it at
+    balanced bounds, so a dominant series, day or group of identical rows is
+    spread over several buckets (the row id splits identical copies).  The
+    partition number is the bucket; buckets of one series are in order.
+    """
+    tagged = rows.withColumn("_tb", F.monotonically_increasing_id())
+    ranged = tagged.repartitionByRange(n, key, *order, "_tb")
+    return ranged.withColumn("_b", F.spark_partition_id())
+
+
 def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window: int = 3,
                  key: str = "indicator", date_col: str = "date", value_col: str = "value",
-                 bucket: Column | None = None, digits: int | None = None) -> DataFrame:
+                 bucket: Column | None = None, n_buckets: int | None = None,
+                 digits: int | None = None) -> DataFrame:
     """Mean of the last ``window`` rows per series in date order.
 
     The mean is NULL until ``window`` rows are in the frame, and a missing
@@ -53,12 +68,14 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     date, value, rolling_avg.
 
     A window partitioned by the series alone would put a whole series into
-    one task.  Instead each series is cut into time buckets (default: the
-    calendar year) and the previous values are lags inside each (series,
-    bucket).  The first ``window - 1`` rows of a bucket take the values
-    before the bucket start from the last rows of earlier buckets, found by
-    an equi-join on a global row index.  Only the per-bucket counts (one row
-    per series and bucket) are windowed over a whole series.
+    one task.  Instead each series is cut into buckets: by default balanced
+    range partitions (``n_buckets``, default the shuffle partition count), or
+    a given ``bucket`` column such as the calendar year.  Previous values are
+    lags inside each (series, bucket); the first ``window - 1`` rows of a
+    bucket take the values before the bucket start from the last rows of
+    earlier buckets, found by an equi-join on a global row index.  Only the
+    per-bucket counts (one row per series and bucket) are windowed over a
+    whole series.
     """
     w = int(window)
     if w < 1:
@@ -66,11 +83,17 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     rows = ind
     if indicators is not None:
         rows = rows.where(F.col(key).isin(list(indicators)))
-    bucket = F.year(F.col(date_col)) if bucket is None else bucket
-    rows = rows.select(key, date_col, value_col, bucket.alias("_b"))
+    rows = rows.select(key, date_col, value_col)
+    if bucket is None:
+        n = n_buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = _range_buckets(rows, key, [date_col, value_col], n)
+        order = [date_col, value_col, "_tb"]
+    else:
+        rows = rows.withColumn("_b", bucket)
+        order = [date_col, value_col]
 
     part = Window.partitionBy(key, "_b")
-    ordered = part.orderBy(date_col, value_col)
+    ordered = part.orderBy(*order)
     local = rows.select(
         key, date_col, value_col, "_b",
         F.row_number().over(ordered).alias("_rn"),
@@ -82,7 +105,7 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
         done = local
     else:
         # offset of each bucket in its series: a window over one row per bucket
-        counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+        counts = local.groupBy(key, "_b").agg(F.max("_nb").alias("_nb"))
         series = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(key, "_b", F.coalesce(F.sum("_nb").over(series), F.lit(0)).alias("_off"))
         indexed = local.join(offsets, [key, "_b"], "inner").withColumn("_idx", F.col("_off") + F.col("_rn"))

@@ -56,3 +56,28 @@ def test_yoy_and_calendar(spark):
 def test_sorted_values(spark):
     rows = [("b", dt.date(2023, 3, 1), 1.0), ("a", dt.date(2024, 3, 1), 2.0), (None, dt.date(2024, 3, 1), 2.0)]
     assert [r[0] for r in I.sorted_values(_ind(spark, rows), "indicator").collect()] == ["a", "b"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40),
+                          st.one_of(st.none(), st.integers(-3, 3).map(float))),
+                min_size=1, max_size=120),
+       st.integers(1, 4), st.integers(1, 9))
+def test_range_buckets_match_pandas_with_copies(spark, data, w, n):
+    # repeated (series, day, value) rows: copies must be split and still give pandas' answer
+    base = dt.date(2024, 1, 1)
+    rows = [(k, base + dt.timedelta(days=d), v) for k, d, v in data]
+    got = I.rolling_mean(_ind(spark, rows), window=w, n_buckets=n).collect()
+    mine = sorted((r.indicator, str(r.date), r.value,
+                   None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
+    assert mine == _pandas_rolling(rows, w)
+
+
+def test_hot_group_of_copies_is_split(spark):
+    rows = [("hot", dt.date(2024, 1, 1), 1.0)] * 3000 + [("x", dt.date(2024, 1, 2), 2.0)] * 10
+    df = I._range_buckets(_ind(spark, rows).select("indicator", "date", "value"), "indicator",
+                          ["date", "value"], 8)
+    sizes = [r["count"] for r in df.groupBy("_b").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 3000
+    got = I.rolling_mean(_ind(spark, rows), window=3, n_buckets=8).where("indicator = 'hot'")
+    assert got.where("rolling_avg IS NULL").count() == 2 and got.where("rolling_avg = 1.0").count() == 2998
