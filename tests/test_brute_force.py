@@ -24,6 +24,7 @@ def _spark_bars(spark, rows):
 
 def _pandas_snapshot(rows, k=10):
     df = pd.DataFrame(rows, columns=["symbol", "d", "close"])
+    df["close"] = df["close"].astype(float)
     df["date"] = [BASE + dt.timedelta(days=d) for d in df["d"]]
     latest = df["date"].max()
     prev = df[df["date"] < latest]["date"].max()
@@ -55,6 +56,7 @@ def test_snapshot_matches_pandas(spark, rows):
 def test_history_matches_pandas(spark, rows, span):
     got = {(r.symbol, r.date, r.color) for r in T.history(_spark_bars(spark, rows), "symbol", span).collect()}
     df = pd.DataFrame(rows, columns=["symbol", "d", "close"])
+    df["close"] = df["close"].astype(float)
     df["date"] = [BASE + dt.timedelta(days=d) for d in df["d"]]
     latest = df["date"].max()
     days = T.span_days(span)

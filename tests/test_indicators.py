@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from collections import Counter
 
 import pandas as pd
 from hypothesis import given, settings
@@ -25,9 +26,9 @@ def _pandas_rolling(rows, w):
     pdf["_v"] = pdf["value"].astype(float).fillna(float("-inf"))
     pdf = pdf.sort_values(["indicator", "date", "_v"], kind="stable")
     pdf["r"] = pdf.groupby("indicator")["value"].transform(lambda s: s.rolling(w).mean())
-    return sorted((a, str(b), None if c is None or (isinstance(c, float) and math.isnan(c)) else c,
-                   None if math.isnan(r) else round(r, 9))
-                  for a, b, c, r in pdf[["indicator", "date", "value", "r"]].itertuples(index=False))
+    return Counter((a, str(b), None if c is None or (isinstance(c, float) and math.isnan(c)) else c,
+                    None if math.isnan(r) else round(r, 9))
+                   for a, b, c, r in pdf[["indicator", "date", "value", "r"]].itertuples(index=False))
 
 
 @settings(max_examples=15, deadline=None)
@@ -41,8 +42,8 @@ def test_rolling_matches_pandas_across_buckets(spark, data, w):
     df = _ind(spark, rows)
     # monthly buckets make many bucket edges, some buckets with a single row
     got = I.rolling_mean(df, window=w, bucket=F.trunc("date", "MM")).collect()
-    mine = sorted((r.indicator, str(r.date), r.value,
-                   None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
+    mine = Counter((r.indicator, str(r.date), r.value,
+                    None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
     assert mine == _pandas_rolling(rows, w)
 
 
@@ -68,8 +69,8 @@ def test_range_buckets_match_pandas_with_copies(spark, data, w, n):
     base = dt.date(2024, 1, 1)
     rows = [(k, base + dt.timedelta(days=d), v) for k, d, v in data]
     got = I.rolling_mean(_ind(spark, rows), window=w, n_buckets=n).collect()
-    mine = sorted((r.indicator, str(r.date), r.value,
-                   None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
+    mine = Counter((r.indicator, str(r.date), r.value,
+                    None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
     assert mine == _pandas_rolling(rows, w)
 
 
