@@ -110,20 +110,26 @@ def curate(spark: SparkSession, landing: str, dataset: str, layout: str = "parti
     return typed(read_raw(spark, landing, dataset, layout, header=header), dataset, floor, names)
 
 
+# Each (code, date) group is split over up to this many tasks when landing.
+LAND_SPLIT = 8
+
+
 def land_csv(df: DataFrame, path: str, dataset: str, code_col: str | None = None,
-             max_records_per_file: int | None = None) -> str:
+             max_records_per_file: int | None = None, split: int = LAND_SPLIT) -> str:
     """Write rows as header CSV, one folder per code.
 
-    Rows are hash-partitioned on (code, year): each task writes a few files,
-    and a dominant code is spread over as many tasks as it has years instead
-    of going to one task.  Unlike range partitioning this needs no sampling
-    pass, so the input plan runs once.
+    Rows are hash-partitioned on (code, date, row id mod ``split``): a
+    dominant code is spread over its days, and a pile of identical rows on
+    one day over ``split`` tasks, so no task writes a hot code alone.  Unlike
+    range partitioning this needs no sampling pass, so the input runs once.
+    Each task writes one file per code it holds.
     """
     code_col = code_col or DATASETS[dataset]["code"]
     cols = RAW_COLUMNS[dataset]
     out = df.select(*([code_col] if code_col else []), *cols)
     if code_col:
-        keys = [F.col(code_col)] + ([F.year(F.col("date").cast("date"))] if "date" in cols else [])
+        keys = [F.col(code_col)] + ([F.col("date")] if "date" in cols else [])
+        keys.append(F.pmod(F.monotonically_increasing_id(), F.lit(split)))
         out = out.repartition(*keys)
     w = out.write.mode("errorifexists").option("header", True)
     if max_records_per_file:
