@@ -1,7 +1,9 @@
 """Registered queries and their DuckDB SQL twins.
 
 Each query takes ``(spark, sf_dir)``, builds the adapter view it needs from
-the whole test tables and returns a lazy DataFrame.  The SQL twin computes
+the whole test tables and returns a DataFrame.  Most are lazy; the ingest
+queries first land and publish files, and the forecast queries first stage
+their training set, both under the shared scratch folder.  The SQL twin computes
 the same rows from the same parquet tables (registered as views named after
 the tables).  Column names are identical on both sides.
 
