@@ -20,3 +20,17 @@ def test_curate_then_query(spark, capsys):
     assert main(["query", "snapshot", "--table", table, "--dataset", "crypto", "--out", out]) == 0
     got = {(r.symbol, r.crypto, r.arrow) for r in spark.read.parquet(out).collect()}
     assert got == {("BTC", "Bitcoin", "▲"), ("ETH", "Ethereum", "▲")}
+
+
+def test_forecast_question(spark):
+    root = tempfile.mkdtemp(prefix="fs-cli-")
+    landing, table, out = (os.path.join(root, x) for x in ("landing", "table", "out"))
+    os.makedirs(landing)
+    days = pd.date_range("2024-01-01", periods=40).strftime("%Y-%m-%d")
+    pd.DataFrame({"date": days, "open": "1", "high": "2", "low": "0.5",
+                  "close": [str(10 + i * 0.1) for i in range(40)], "volume": "9"}).to_csv(
+        os.path.join(landing, "SOL.csv"), index=False)
+    main(["curate", "--dataset", "crypto", "--landing", landing, "--table", table])
+    main(["query", "forecast", "--table", table, "--dataset", "crypto", "--horizon", "5", "--out", out])
+    counts = {r.Type: r["count"] for r in spark.read.parquet(out).groupBy("Type").count().collect()}
+    assert counts == {"Actual": 30, "Fitted": 40, "Forecast": 5}
