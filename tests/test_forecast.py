@@ -83,3 +83,20 @@ def test_trend_model_is_deterministic():
     y = np.log(50 + np.sin(np.arange(len(ds)) / 3.0))
     a, b = trend_model.fit(ds, y), trend_model.fit(ds, y)
     assert np.array_equal(a.theta, b.theta) and a.sigma == b.sigma
+
+
+def test_trend_model_follows_a_slope_change():
+    ds = np.arange(np.datetime64("2024-01-01"), np.datetime64("2024-05-01"))
+    t = np.arange(len(ds)) / (len(ds) - 1)
+    y = np.where(t < 0.5, 1.0 + 0.2 * t, 1.1 + 1.0 * (t - 0.5))
+    m = trend_model.fit(ds, y)
+    mean, lo, hi = trend_model.predict(m, ds)
+    assert np.max(np.abs(mean - y)) < 0.02
+    assert np.all(lo <= mean) and np.all(mean <= hi)
+
+
+def test_package_is_shipped_to_workers(spark):
+    from finseries.session import ship_package
+    ship_package(spark)
+    includes = [p for p in spark.sparkContext._python_includes if "finseries-" in p and p.endswith(".zip")]
+    assert includes
