@@ -1,10 +1,11 @@
 """Latest-day questions: latest dates, top assets, snapshot change, sparkline.
 
 "Latest" is one date for the whole table (an asset that lags drops out).
-Both dates are scalar subqueries: Spark runs each once, and a filter
-``date = <subquery>`` on a bar table is pushed below aggregates and joins
-down to the scan (and prunes partitions of a date-partitioned table at run
-time), so the day queries read only the days they need.
+The latest and previous dates come from one scalar subquery, which Spark
+runs once per query.  A filter ``date = <subquery>`` on a bar table is
+pushed below aggregates and joins down to the scan, and on a table
+partitioned by date it prunes partitions at run time, so the day queries
+read only the days they need.
 """
 
 from __future__ import annotations
