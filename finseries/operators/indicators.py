@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finseries.sources.store import stage
+
 
 def calendar_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Add year, month, month_name (short English name) and year_month (month start)."""
@@ -49,8 +51,13 @@ def _range_buckets(rows: DataFrame, key: str, order: list[str], n: int) -> DataF
     balanced bounds, so a dominant series, day or group of identical rows is
     spread over several buckets (the row id splits identical copies).  The
     partition number is the bucket; buckets of one series are in order.
+
+    A row id is not reproducible when its input is recomputed, so the tagged
+    rows are written once to the shared scratch folder: from there on the
+    buckets are a deterministic function of files, the same in every branch
+    of the plan and after a lost executor.
     """
-    tagged = rows.withColumn("_tb", F.monotonically_increasing_id())
+    tagged = stage(rows.withColumn("_tb", F.monotonically_increasing_id()), "rolling")
     ranged = tagged.repartitionByRange(n, key, *order, "_tb")
     return ranged.withColumn("_b", F.spark_partition_id())
 
