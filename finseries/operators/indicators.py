@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finseries.sources.store import stage
 
 
 def calendar_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -52,13 +51,14 @@ def _range_buckets(rows: DataFrame, key: str, order: list[str], n: int) -> DataF
     spread over several buckets (the row id splits identical copies).  The
     partition number is the bucket; buckets of one series are in order.
 
-    A row id is not reproducible when its input is recomputed, so the tagged
-    rows are written once to the shared scratch folder: from there on the
-    buckets are a deterministic function of files, the same in every branch
-    of the plan and after a lost executor.
+    Rows are sorted inside each input partition before the row id is taken,
+    so a recomputed task gives every row the same id again (identical rows
+    may swap ids, which changes nothing): the buckets are the same in every
+    branch of the plan and after a lost executor.
     """
-    tagged = stage(rows.withColumn("_tb", F.monotonically_increasing_id()), "rolling")
-    ranged = tagged.repartitionByRange(n, key, *order, "_tb")
+    cols = [key, *order]
+    tagged = rows.sortWithinPartitions(*cols).withColumn("_tb", F.monotonically_increasing_id())
+    ranged = tagged.repartitionByRange(n, *cols, "_tb")
     return ranged.withColumn("_b", F.spark_partition_id())
 
 

@@ -128,9 +128,12 @@ def land_csv(df: DataFrame, path: str, dataset: str, code_col: str | None = None
     cols = RAW_COLUMNS[dataset]
     out = df.select(*([code_col] if code_col else []), *cols)
     if code_col:
-        keys = [F.col(code_col)] + ([F.col("date")] if "date" in cols else [])
-        keys.append(F.pmod(F.monotonically_increasing_id(), F.lit(split)))
-        out = out.repartition(*keys)
+        # sorted before the row id is taken, so a recomputed task routes every
+        # row to the same place again (identical rows may swap, which is harmless)
+        out = out.sortWithinPartitions(*out.columns).withColumn(
+            "_split", F.pmod(F.monotonically_increasing_id(), F.lit(split)))
+        keys = [F.col(code_col)] + ([F.col("date")] if "date" in cols else []) + [F.col("_split")]
+        out = out.repartition(*keys).drop("_split")
     w = out.write.mode("errorifexists").option("header", True)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
