@@ -114,3 +114,10 @@ def test_publish_partitioned_by_date_prunes_at_run_time(spark):
     assert "PartitionFilters: [isnotnull(date" in plan and "Subquery" in plan
     want = {(r.symbol, r.close_curr) for r in S.snapshot_change(bars, "symbol", "crypto").collect()}
     assert {(r.symbol, r.close_curr) for r in snap.collect()} == want
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        S.latest_dates(back).explain("formatted")
+    schemas = [l.strip() for l in buf.getvalue().splitlines() if l.startswith("ReadSchema")]
+    assert schemas and all(x == "ReadSchema: struct<>" for x in schemas)  # partition values only
