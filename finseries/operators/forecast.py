@@ -57,53 +57,48 @@ def future_dates(last_ds, horizon: int):
     return F.sequence(F.date_add(last_ds, 1), F.date_add(last_ds, horizon))
 
 
-def baseline_fit(train: DataFrame, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
-    """Training rows with ``x`` (days since the asset's last date, <= 0), and
-    per asset: last_ds, intercept ``a`` and slope ``b`` of y on x."""
-    last = train.groupBy(key).agg(F.max("ds").alias("last_ds"))
-    x = train.join(last, key).withColumn("x", F.datediff("ds", "last_ds").cast("double"))
-    fit = x.groupBy(key).agg(
-        F.max("last_ds").alias("last_ds"),
-        F.regr_intercept("y", "x").alias("a"),
-        F.regr_slope("y", "x").alias("b"))
-    return x, fit
-
-
-def _baseline_parts(train: DataFrame, key: str):
-    x, fit = baseline_fit(train, key)
-    xr = x.join(fit.drop("last_ds"), key).withColumn(
-        "_r", F.col("y") - (F.col("a") + F.col("b") * F.col("x")))
-    dow = xr.groupBy(F.col(key).alias("_k"), F.dayofweek("ds").alias("_dow")).agg(F.avg("_r").alias("_s"))
-    return xr, fit, dow
-
-
 def forecast_baseline(train: DataFrame, key: str = "symbol", horizon: int = DEFAULT_HORIZON,
                       with_fitted: bool = False, digits: int | None = None) -> DataFrame:
     """Log-linear trend plus weekday mean residual, back-transformed.
 
-    Output: key, date, forecast (only future days), or with ``with_fitted``
-    key, date, value, Type, lower_ci, upper_ci for training and future days;
-    the 80 % bounds use the sample sd of the residuals.
-    """
-    xr, fit, dow = _baseline_parts(train, key)
-    fut = fit.select(key, "last_ds", "a", "b",
-                     F.explode(future_dates(F.col("last_ds"), horizon)).alias("date"))
-    fut = fut.withColumn("x", F.datediff("date", "last_ds").cast("double"))
+    Per asset: intercept ``a`` and slope ``b`` of y on x (days since the
+    asset's last training date), the mean residual per weekday, and the
+    sample sd of the remaining residuals for 80 % bounds.  Output: key, date,
+    forecast (future days only), or with ``with_fitted`` key, date, value,
+    Type, lower_ci, upper_ci for training and future days.
 
-    def with_season(df):
-        cond = (F.col(key) == F.col("_k")) & (F.dayofweek("date") == F.col("_dow"))
-        df = df.join(dow, cond, "left").drop("_k", "_dow")
-        return df.withColumn("_pred", F.col("a") + F.col("b") * F.col("x") + F.coalesce("_s", F.lit(0.0)))
+    ``train`` holds at most a fixed number of rows per asset (the training
+    cut), so windows partitioned by the asset are bounded; they replace the
+    aggregate-and-join passes.  The per-asset weekday means (at most seven)
+    travel to the future rows as a small map.
+    """
+    asset = Window.partitionBy(key)
+    day = Window.partitionBy(key, "_dow")
+    h = (train.select(key, "ds", "y")
+         .withColumn("last_ds", F.max("ds").over(asset))
+         .withColumn("x", F.datediff("ds", "last_ds").cast("double"))
+         .withColumn("a", F.regr_intercept("y", "x").over(asset))
+         .withColumn("b", F.regr_slope("y", "x").over(asset))
+         .withColumn("_dow", F.dayofweek("ds"))
+         .withColumn("_s", F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("x"))).over(day))
+         .withColumn("_pred", F.col("a") + F.col("b") * F.col("x") + F.col("_s")))
+    per = h.groupBy(key).agg(
+        F.max("last_ds").alias("last_ds"), F.max("a").alias("a"), F.max("b").alias("b"),
+        F.map_from_entries(F.collect_set(F.struct("_dow", "_s"))).alias("_smap"),
+        F.stddev_samp(F.col("y") - F.col("_pred")).alias("_sd"))
+    fut = (per.select(key, "last_ds", "a", "b", "_smap", "_sd",
+                      F.explode(future_dates(F.col("last_ds"), horizon)).alias("date"))
+           .withColumn("x", F.datediff("date", "last_ds").cast("double"))
+           .withColumn("_pred", F.col("a") + F.col("b") * F.col("x")
+                       + F.coalesce(F.col("_smap")[F.dayofweek("date")], F.lit(0.0))))
 
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     if not with_fitted:
-        return with_season(fut).select(key, "date", rnd(F.exp("_pred")).alias("forecast"))
+        return fut.select(key, "date", rnd(F.exp("_pred")).alias("forecast"))
 
-    hist = xr.select(key, F.col("ds").alias("date"), "x", "a", "b", "last_ds")
-    rows = with_season(hist.unionByName(fut.select(key, "date", "x", "a", "b", "last_ds")))
-    resid = with_season(xr.select(key, F.col("ds").alias("date"), "x", "a", "b", "y")).groupBy(key).agg(
-        F.stddev_samp(F.col("y") - F.col("_pred")).alias("_sd"))
-    rows = rows.join(resid, key, "left")
+    hist = h.join(per.select(key, "_sd"), key).select(
+        key, F.col("ds").alias("date"), "last_ds", "_pred", "_sd")
+    rows = hist.unionByName(fut.select(key, "date", "last_ds", "_pred", "_sd"))
     sd = F.coalesce(F.col("_sd"), F.lit(0.0))
     return rows.select(
         key, "date",
