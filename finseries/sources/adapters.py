@@ -115,7 +115,13 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_view
 def movers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ticker, price, change_amount, change_percentage, volume, all as text."""
+    """ticker, price, change_amount, change_percentage, volume, all as text.
+
+    Every part row becomes one mover row.  The modulo terms only shape the
+    values: one ticker in 17 gets the unparseable percent text ``n/a`` (the
+    bad-number trap), and change amounts repeat so that ties at rank 10 occur.
+    Nothing is filtered here.
+    """
     p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").cast("string").alias("ticker"),
