@@ -40,3 +40,15 @@ def test_strict_date_raises(spark):
 def test_nan_never_passes_a_positive_test(spark):
     df = spark.createDataFrame([("nan",)], "s string").select(to_number("s").alias("x"))
     assert df.where(F.col("x") > 0).count() == 0
+
+
+def test_strict_date_raises_without_ansi_too(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("2024-13-01",)], "s string")
+        with pytest.raises(Exception):
+            df.select(strict_date("s")).collect()
+        assert _one(spark, ["1,000", "nan"], to_number) == [None, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
