@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--layout", default="files", choices=["files", "partitioned"])
         c.add_argument("--floor", default="default", help="YYYY-MM-DD, 'default' or 'none'")
         c.add_argument("--no-header", action="store_true")
+        c.add_argument("--by-name", action="store_true", help="map each file's header by name")
         if cmd == "curate":
             c.add_argument("--single-file", action="store_true")
             c.add_argument("--partition-by", nargs="*", default=None)
@@ -90,13 +91,14 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.cmd == "curate":
         df = raw.curate(spark, args.landing, args.dataset, args.layout, _floor(args.floor),
-                        header=not args.no_header)
+                        header=not args.no_header, by_name=args.by_name)
         print(store.publish(df, args.table, partition_by=args.partition_by,
                             single_file=args.single_file, keep=args.keep))
     elif args.cmd == "watch":
         from finseries.streaming.ingest import republish_on_arrival
         for run in republish_on_arrival(spark, args.landing, args.dataset, args.table, args.layout,
-                                        _floor(args.floor), header=not args.no_header):
+                                        _floor(args.floor), header=not args.no_header,
+                                        by_name=args.by_name):
             print(run)
     else:
         table = store.read_curated(spark, args.table)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finseries.functions.parse import percent_to_number, strict_date, to_number
 from finseries.schemas import DATASETS, PUBLISHED_SCHEMAS, RAW_COLUMNS, UNKNOWN_NAME, raw_schema
@@ -24,14 +25,47 @@ from finseries.schemas import DATASETS, PUBLISHED_SCHEMAS, RAW_COLUMNS, UNKNOWN_
 FILE_STEM_PATTERN = r"^(.*)\.csv$"
 
 
+def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_col: str | None) -> DataFrame:
+    """Header CSV files whose columns may come in any order, mapped by name.
+
+    One scan without header handling: a row that is a permutation of the
+    expected names is a file's header; from it each file gets the position of
+    every name (one row per file, joined back on the file path), and the data
+    rows of that file are read through those positions.
+    """
+    k = len(names)
+    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(k)]
+    if partition_col:
+        fields.append(T.StructField(partition_col, T.StringType()))
+    raw = (spark.read.schema(T.StructType(fields)).option("header", False).csv(path)
+           .withColumn("_file", F.col("_metadata.file_path")))
+    cells = F.array(*[F.col(f"_c{i}") for i in range(k)])
+    wanted = F.array_sort(F.array(*[F.lit(n) for n in names]))
+    is_header = F.coalesce(F.array_sort(cells) == wanted, F.lit(False))
+    layouts = raw.where(is_header).select(
+        "_file", *[F.array_position(cells, n).cast("int").alias(f"_p_{n}") for n in names])
+    rows = raw.where(~is_header).join(layouts, "_file", "inner")
+    out = [F.element_at(cells, F.col(f"_p_{n}")).alias(n) for n in names]
+    return rows.select(*([partition_col] if partition_col else []), *out, "_file")
+
+
 def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partitioned",
-             code_col: str | None = None, header: bool = True) -> DataFrame:
+             code_col: str | None = None, header: bool = True, by_name: bool = False) -> DataFrame:
     """All-string scan of a landed dataset; adds the code column when it has one.
 
     With ``header=False`` the files have no header row and the columns are
-    named by position from the dataset's fixed column list.
+    named by position from the dataset's fixed column list.  By default a
+    file whose header differs from that list fails the read; with
+    ``by_name=True`` each file's header is mapped by name instead, so files
+    with different column orders are all read correctly.
     """
     code_col = code_col or DATASETS[dataset]["code"]
+    if by_name:
+        part = code_col if (layout == "partitioned" and code_col) else None
+        df = _read_by_name(spark, path, RAW_COLUMNS[dataset], part)
+        if layout == "files" and code_col:
+            df = df.withColumn(code_col, F.regexp_extract(F.col("_file"), r"([^/]*)\.csv$", 1))
+        return df.select(*([code_col] if code_col else []), *RAW_COLUMNS[dataset])
     if layout == "partitioned" and code_col:
         schema = raw_schema(dataset, code_col)
     elif layout in ("files", "partitioned"):
@@ -105,9 +139,10 @@ def typed(raw: DataFrame, dataset: str, floor: str | None = "default",
 
 def curate(spark: SparkSession, landing: str, dataset: str, layout: str = "partitioned",
            floor: str | None = "default", names: dict[str, str] | None = None,
-           header: bool = True) -> DataFrame:
+           header: bool = True, by_name: bool = False) -> DataFrame:
     """Landed CSV to the typed table of ``dataset`` (lazy; one scan)."""
-    return typed(read_raw(spark, landing, dataset, layout, header=header), dataset, floor, names)
+    return typed(read_raw(spark, landing, dataset, layout, header=header, by_name=by_name),
+                 dataset, floor, names)
 
 
 # Each (code, date) group is split over up to this many tasks when landing.

@@ -25,17 +25,19 @@ def default_checkpoint(table: str) -> str:
 
 def republish_on_arrival(spark: SparkSession, landing: str, dataset: str, table: str,
                          layout: str = "partitioned", floor: str | None = "default",
-                         header: bool = True, checkpoint: str | None = None) -> list[str]:
+                         header: bool = True, checkpoint: str | None = None,
+                         by_name: bool = False) -> list[str]:
     """Run once over the files landed so far; return the run folders published."""
     code_col = DATASETS[dataset]["code"]
     schema = raw_schema(dataset, code_col if layout == "partitioned" else None)
+    # the stream only detects new files; the header check happens in the batch read
     stream = spark.readStream.schema(schema).option("header", header).csv(landing)
     published: list[str] = []
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        whole = R.curate(spark, landing, dataset, layout, floor=floor, header=header)
+        whole = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name)
         published.append(ST.publish(whole, table))
 
     query = (stream.writeStream

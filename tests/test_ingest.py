@@ -121,3 +121,24 @@ def test_publish_partitioned_by_date_prunes_at_run_time(spark):
         S.latest_dates(back).explain("formatted")
     schemas = [l.strip() for l in buf.getvalue().splitlines() if l.startswith("ReadSchema")]
     assert schemas and all(x == "ReadSchema: struct<>" for x in schemas)  # partition values only
+
+
+def test_by_name_reads_files_with_different_column_orders(spark):
+    d = _tmp()
+    pd.DataFrame({"date": ["2024-01-01", "2024-01-02"], "value": ["1", "2"]}).to_csv(
+        os.path.join(d, "cpi.csv"), index=False)
+    pd.DataFrame({"value": ["30", "40"], "date": ["2024-01-01", "2024-01-02"]}).to_csv(
+        os.path.join(d, "federal.csv"), index=False)
+    got = R.curate(spark, d, "economic_indicators", layout="files", floor=None, by_name=True).collect()
+    assert sorted((r.indicator, str(r.date), r.value) for r in got) == [
+        ("CPI", "2024-01-01", 1.0), ("CPI", "2024-01-02", 2.0),
+        ("Federal Funds Rate", "2024-01-01", 30.0), ("Federal Funds Rate", "2024-01-02", 40.0)]
+
+
+def test_by_name_partitioned_layout_round_trip(spark):
+    bars = A.tick_bars(spark, SF0001)
+    land = os.path.join(_tmp(), "landing")
+    R.land_csv(bars, land, "crypto")
+    a = R.read_raw(spark, land, "crypto")
+    b = R.read_raw(spark, land, "crypto", by_name=True)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
