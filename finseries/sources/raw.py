@@ -145,30 +145,20 @@ def curate(spark: SparkSession, landing: str, dataset: str, layout: str = "parti
                  dataset, floor, names)
 
 
-# Each (code, date) group is split over up to this many tasks when landing.
-LAND_SPLIT = 8
-
-
 def land_csv(df: DataFrame, path: str, dataset: str, code_col: str | None = None,
-             max_records_per_file: int | None = None, split: int = LAND_SPLIT) -> str:
+             max_records_per_file: int | None = None) -> str:
     """Write rows as header CSV, one folder per code.
 
-    Rows are hash-partitioned on (code, date, row id mod ``split``): a
-    dominant code is spread over its days, and a pile of identical rows on
-    one day over ``split`` tasks, so no task writes a hot code alone.  Unlike
-    range partitioning this needs no sampling pass, so the input runs once.
-    Each task writes one file per code it holds.
+    A rebalance on the code clusters each code's rows into few tasks, so each
+    task writes few files, and lets AQE split a dominant code over several
+    tasks (and merge small ones) from the actual shuffle sizes.  There is no
+    sampling pass and nothing random, so a retried task writes the same rows.
     """
     code_col = code_col or DATASETS[dataset]["code"]
     cols = RAW_COLUMNS[dataset]
     out = df.select(*([code_col] if code_col else []), *cols)
     if code_col:
-        # sorted before the row id is taken, so a recomputed task routes every
-        # row to the same place again (identical rows may swap, which is harmless)
-        out = out.sortWithinPartitions(*out.columns).withColumn(
-            "_split", F.pmod(F.monotonically_increasing_id(), F.lit(split)))
-        keys = [F.col(code_col)] + ([F.col("date")] if "date" in cols else []) + [F.col("_split")]
-        out = out.repartition(*keys).drop("_split")
+        out = out.hint("rebalance", code_col)
     w = out.write.mode("errorifexists").option("header", True)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

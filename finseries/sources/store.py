@@ -46,14 +46,20 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
             single_file: bool = False, keep: int = 2, sort_within: list[str] | None = None) -> str:
     """Write ``df`` as a new complete run of the table at ``path``; return the run folder.
 
-    ``single_file`` gives one output file (one task writes everything: only for
-    small tables).  ``sort_within`` orders rows inside each file so Parquet
+    ``partition_by`` writes one folder per value, after a rebalance on those
+    columns: without it every task would write a file into every folder it
+    touches.  ``single_file`` gives one output file (one task writes
+    everything: only for small tables).  ``sort_within`` orders rows inside each file so Parquet
     row-group statistics can skip data on those columns.  ``keep`` complete
     runs stay; older ones are deleted after the new run is complete.
     """
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/{RUN_PREFIX}{new_run_id()}"
     out = df.coalesce(1) if single_file else df
+    if partition_by and not single_file:
+        # cluster rows by folder so each task writes few folders; AQE splits a
+        # hot folder's rows over several tasks and merges small ones
+        out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode("errorifexists")
