@@ -142,3 +142,17 @@ def test_by_name_partitioned_layout_round_trip(spark):
     a = R.read_raw(spark, land, "crypto")
     b = R.read_raw(spark, land, "crypto", by_name=True)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_publish_sorts_rows_inside_each_file(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    table = os.path.join(_tmp(), "t")
+    df = spark.range(2000).selectExpr("id", "(id * 7919) % 1000 AS k").repartition(3)
+    run = ST.publish(df, table, sort_within=["k"])
+    files = glob.glob(os.path.join(run, "*.parquet"))
+    assert files
+    for f in files:
+        ks = pq.read_table(f).column("k").to_pylist()
+        assert ks == sorted(ks)
