@@ -38,7 +38,7 @@ QUESTIONS = {
     "open_close": lambda t, k, n, a: trends.open_close(t, k, n, a.k, a.days),
     "yoy": lambda t, k, n, a: indicators.yoy(t, None, a.years, key=k),
     "rolling": lambda t, k, n, a: indicators.rolling_mean(t, None, a.window, key=k),
-    "movers": lambda t, k, n, a: movers.top_movers(t, a.k),
+    "movers": lambda t, k, n, a: movers.top_movers(t.na.drop(subset=movers.NUMERIC), a.k),
     "forecast": lambda t, k, n, a: _forecast(t, k, a, baseline=False),
     "forecast_baseline": lambda t, k, n, a: _forecast(t, k, a, baseline=True),
 }

@@ -34,3 +34,15 @@ def test_forecast_question(spark):
     main(["query", "forecast", "--table", table, "--dataset", "crypto", "--horizon", "5", "--out", out])
     counts = {r.Type: r["count"] for r in spark.read.parquet(out).groupBy("Type").count().collect()}
     assert counts == {"Actual": 30, "Fitted": 40, "Forecast": 5}
+
+
+def test_movers_question_drops_incomplete_rows(spark):
+    root = tempfile.mkdtemp(prefix="fs-cli-")
+    landing, table, out = (os.path.join(root, x) for x in ("landing", "table", "out"))
+    os.makedirs(landing)
+    pd.DataFrame({"ticker": ["A", "B", "C"], "price": ["1", "2", "3"], "change_amount": ["5", "9", "n/a"],
+                  "change_percentage": ["1%", "n/a", "3%"], "volume": ["1", "1", "1"]}).to_csv(
+        os.path.join(landing, "top_gainers.csv"), index=False)
+    main(["curate", "--dataset", "top_gainers", "--landing", landing, "--table", table])
+    main(["query", "movers", "--table", table, "--dataset", "top_gainers", "--out", out])
+    assert [(r.ticker, r.change_percentage_display) for r in spark.read.parquet(out).collect()] == [("A", "1.00%")]
