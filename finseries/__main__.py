@@ -35,7 +35,7 @@ QUESTIONS = {
     "snapshot": lambda t, k, n, a: snapshot.snapshot_change(t, k, n, a.k),
     "sparkline": lambda t, k, n, a: snapshot.sparkline(t, k, n, a.k, a.days),
     "history": lambda t, k, n, a: trends.history(t, k, a.span),
-    "open_close": lambda t, k, n, a: trends.open_close(t, k, n, a.k, a.days),
+    "open_close": lambda t, k, n, a: trends.open_close(t, k, LABELS.get(a.dataset, k), a.k, a.days),
     "yoy": lambda t, k, n, a: indicators.yoy(t, None, a.years, key=k),
     "rolling": lambda t, k, n, a: indicators.rolling_mean(t, None, a.window, key=k),
     "movers": lambda t, k, n, a: movers.top_movers(t.na.drop(subset=movers.NUMERIC), a.k),
@@ -43,6 +43,9 @@ QUESTIONS = {
     "forecast_baseline": lambda t, k, n, a: _forecast(t, k, a, baseline=True),
 }
 
+# the display name used in open/close series names per dataset
+LABELS = {"stocks": "stock", "crypto": "crypto"}
+
 # the key and name columns each question uses per dataset
 KEYS = {
     "stocks": ("stock", "symbol"),

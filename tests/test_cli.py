@@ -46,3 +46,14 @@ def test_movers_question_drops_incomplete_rows(spark):
     main(["curate", "--dataset", "top_gainers", "--landing", landing, "--table", table])
     main(["query", "movers", "--table", table, "--dataset", "top_gainers", "--out", out])
     assert [(r.ticker, r.change_percentage_display) for r in spark.read.parquet(out).collect()] == [("A", "1.00%")]
+
+
+def test_open_close_series_use_display_names(spark):
+    root = tempfile.mkdtemp(prefix="fs-cli-")
+    landing, table, out = (os.path.join(root, x) for x in ("landing", "table", "out"))
+    os.makedirs(landing)
+    pd.DataFrame({"date": ["2024-01-01", "2024-01-02"], "open": "1", "high": "2", "low": "0.5",
+                  "close": "1.5", "volume": "9"}).to_csv(os.path.join(landing, "AAPL.csv"), index=False)
+    main(["curate", "--dataset", "stocks", "--landing", landing, "--table", table, "--floor", "none"])
+    main(["query", "open_close", "--table", table, "--dataset", "stocks", "--out", out])
+    assert {r.series for r in spark.read.parquet(out).collect()} == {"Apple Inc. - Open", "Apple Inc. - Close"}
