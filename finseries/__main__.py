@@ -34,8 +34,9 @@ QUESTIONS = {
     "top_assets": lambda t, k, n, a: snapshot.top_assets(t, k, a.k, a.scope, a.by),
     "snapshot": lambda t, k, n, a: snapshot.snapshot_change(t, k, n, a.k),
     "sparkline": lambda t, k, n, a: snapshot.sparkline(t, k, n, a.k, a.days),
-    "history": lambda t, k, n, a: trends.history(t, k, a.span),
-    "open_close": lambda t, k, n, a: trends.open_close(t, k, LABELS.get(a.dataset, k), a.k, a.days),
+    "history": lambda t, k, n, a: trends.history(t, k, a.span, a.assets, _by_name(k, a)),
+    "open_close": lambda t, k, n, a: trends.open_close(t, k, LABELS.get(a.dataset, k), a.k, a.days,
+                                                       a.assets, _by_name(k, a)),
     "yoy": lambda t, k, n, a: indicators.yoy(t, None, a.years, key=k),
     "rolling": lambda t, k, n, a: indicators.rolling_mean(t, None, a.window, key=k),
     "movers": lambda t, k, n, a: movers.top_movers(t.na.drop(subset=movers.NUMERIC), a.k),
@@ -43,6 +44,12 @@ QUESTIONS = {
     "forecast_baseline": lambda t, k, n, a: _forecast(t, k, a, baseline=True),
 }
 
+def _by_name(key, args):
+    """Chosen assets are display names; look them up unless the key is the name."""
+    label = LABELS.get(args.dataset)
+    return None if (args.assets is None or label in (None, key)) else label
+
+
 # the display name used in open/close series names per dataset
 LABELS = {"stocks": "stock", "crypto": "crypto"}
 
@@ -86,6 +93,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--by", default="rows", choices=["rows", "volume"])
     q.add_argument("--days", type=int, default=7)
     q.add_argument("--span", default="1M")
+    q.add_argument("--assets", nargs="*", default=None, help="display names to keep (history, open_close)")
     q.add_argument("--years", type=int, nargs="*", default=[2023, 2024])
     q.add_argument("--window", type=int, default=3)
     q.add_argument("--horizon", type=int, default=15)

@@ -57,3 +57,16 @@ def test_open_close_series_use_display_names(spark):
     main(["curate", "--dataset", "stocks", "--landing", landing, "--table", table, "--floor", "none"])
     main(["query", "open_close", "--table", table, "--dataset", "stocks", "--out", out])
     assert {r.series for r in spark.read.parquet(out).collect()} == {"Apple Inc. - Open", "Apple Inc. - Close"}
+
+
+def test_history_for_chosen_names(spark):
+    root = tempfile.mkdtemp(prefix="fs-cli-")
+    landing, table, out = (os.path.join(root, x) for x in ("landing", "table", "out"))
+    os.makedirs(landing)
+    for code in ("BTC", "ETH"):
+        pd.DataFrame({"date": ["2024-01-01", "2024-01-02"], "open": "1", "high": "2", "low": "0.5",
+                      "close": ["1", "2"], "volume": "9"}).to_csv(os.path.join(landing, f"{code}.csv"), index=False)
+    main(["curate", "--dataset", "crypto", "--landing", landing, "--table", table])
+    main(["query", "history", "--table", table, "--dataset", "crypto", "--assets", "Ethereum", "--out", out])
+    got = {(r.symbol, r.color) for r in spark.read.parquet(out).collect()}
+    assert got == {("ETH", "green")}
