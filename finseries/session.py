@@ -87,7 +87,8 @@ def scratch_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="finseries-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # spark.checkpoint.dir cannot be changed at run time; the context's
+        # checkpoint folder can, and later calls find it there
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
