@@ -70,3 +70,18 @@ def test_history_for_chosen_names(spark):
     main(["query", "history", "--table", table, "--dataset", "crypto", "--assets", "Ethereum", "--out", out])
     got = {(r.symbol, r.color) for r in spark.read.parquet(out).collect()}
     assert got == {("ETH", "green")}
+
+
+def test_watch_publishes_only_with_new_files(spark, capsys):
+    root = tempfile.mkdtemp(prefix="fs-cli-")
+    landing, table = os.path.join(root, "landing"), os.path.join(root, "table")
+    os.makedirs(landing)
+    pd.DataFrame({"date": ["2024-01-01"], "open": "1", "high": "2", "low": "0.5", "close": "1.5",
+                  "volume": "9"}).to_csv(os.path.join(landing, "DOT.csv"), index=False)
+    args = ["watch", "--dataset", "crypto", "--landing", landing, "--table", table]
+    main(args)
+    first = capsys.readouterr().out.split()
+    main(args)
+    second = capsys.readouterr().out.split()
+    assert len(first) == 1 and second == []
+    assert {r.crypto for r in store.read_curated(spark, table).collect()} == {"Polkadot"}
