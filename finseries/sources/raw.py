@@ -42,10 +42,17 @@ def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_co
     cells = F.array(*[F.col(f"_c{i}") for i in range(k)])
     wanted = F.array_sort(F.array(*[F.lit(n) for n in names]))
     is_header = F.coalesce(F.array_sort(cells) == wanted, F.lit(False))
-    layouts = raw.where(is_header).select(
-        "_file", *[F.array_position(cells, n).cast("int").alias(f"_p_{n}") for n in names])
-    rows = raw.where(~is_header).join(layouts, "_file", "inner")
-    out = [F.element_at(cells, F.col(f"_p_{n}")).alias(n) for n in names]
+    pos = [f"_p_{n}" for n in names]
+    layouts = (raw.where(is_header)
+               .select("_file", *[F.array_position(cells, n).cast("int").alias(f"_p_{n}") for n in names])
+               .groupBy("_file")
+               .agg(F.count_distinct(F.struct(*pos)).alias("_n"), *[F.max(c).alias(c) for c in pos]))
+    rows = raw.where(~is_header).join(layouts, "_file", "left")
+    # a file without a header row, or with two different ones, fails the read:
+    # its rows are never dropped or mapped twice
+    bad = F.col("_n").isNull() | (F.col("_n") > 1)
+    err = F.raise_error(F.concat(F.lit("no single header row in "), F.col("_file")))
+    out = [F.when(bad, err).otherwise(F.element_at(cells, F.col(c))).alias(n) for n, c in zip(names, pos)]
     return rows.select(*([partition_col] if partition_col else []), *out, "_file")
 
 

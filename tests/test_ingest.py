@@ -156,3 +156,12 @@ def test_publish_sorts_rows_inside_each_file(spark):
     for f in files:
         ks = pq.read_table(f).column("k").to_pylist()
         assert ks == sorted(ks)
+
+
+def test_by_name_fails_on_a_file_without_header(spark):
+    d = _tmp()
+    pd.DataFrame({"date": ["2024-01-01"], "value": ["1"]}).to_csv(os.path.join(d, "cpi.csv"), index=False)
+    with open(os.path.join(d, "federal.csv"), "w") as f:
+        f.write("2024-01-01,5\n")
+    with pytest.raises(Exception):
+        R.curate(spark, d, "economic_indicators", layout="files", floor=None, by_name=True).collect()
