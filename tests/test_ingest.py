@@ -165,3 +165,13 @@ def test_by_name_fails_on_a_file_without_header(spark):
         f.write("2024-01-01,5\n")
     with pytest.raises(Exception):
         R.curate(spark, d, "economic_indicators", layout="files", floor=None, by_name=True).collect()
+
+
+def test_land_csv_caps_rows_per_file(spark):
+    import glob
+    bars = A.tick_bars(spark, SF0001)
+    land = os.path.join(_tmp(), "landing")
+    R.land_csv(bars, land, "crypto", max_records_per_file=7)
+    files = glob.glob(os.path.join(land, "symbol=*", "*.csv"))
+    counts = [len(pd.read_csv(f)) for f in files]
+    assert max(counts) <= 7 and sum(counts) == bars.count()
