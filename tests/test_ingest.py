@@ -175,3 +175,11 @@ def test_land_csv_caps_rows_per_file(spark):
     files = glob.glob(os.path.join(land, "symbol=*", "*.csv"))
     counts = [len(pd.read_csv(f)) for f in files]
     assert max(counts) <= 7 and sum(counts) == bars.count()
+
+
+def test_empty_load_publishes_a_readable_empty_table(spark):
+    table = os.path.join(_tmp(), "t")
+    empty = A.tick_bars(spark, SF0001).where("1 = 0")
+    ST.publish(empty, table)
+    back = ST.read_curated(spark, table)
+    assert back.count() == 0 and back.columns == empty.columns
