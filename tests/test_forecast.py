@@ -100,3 +100,23 @@ def test_package_is_shipped_to_workers(spark):
     ship_package(spark)
     includes = [p for p in spark.sparkContext._python_includes if "finseries-" in p and p.endswith(".zip")]
     assert includes
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(30, 120), st.integers(0, 10_000), st.floats(0.001, 0.1))
+def test_trend_model_properties(n, seed, vol):
+    rng = np.random.default_rng(seed)
+    ds = np.arange(np.datetime64("2023-03-01"), np.datetime64("2023-03-01") + n)
+    y = 3.0 + np.cumsum(rng.normal(0, vol, n))
+    m = trend_model.fit(ds, y)
+    future = ds[-1] + np.arange(1, 16).astype("timedelta64[D]")
+    mean, lo, hi = trend_model.predict(m, np.concatenate([ds, future]))
+    assert np.all(np.isfinite(mean)) and np.all(lo <= mean) and np.all(mean <= hi)
+    width = hi - lo
+    assert np.all(np.diff(width[n:]) >= -1e-9)  # intervals do not narrow past the data
+    # the fit stays near the data it was given (priors only pull slightly)
+    assert np.sqrt(np.mean((mean[:n] - y) ** 2)) < 4 * vol * np.sqrt(n) + 1e-6
