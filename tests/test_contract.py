@@ -22,3 +22,20 @@ def test_every_query_takes_spark_and_folder():
     for name, fn in E.queries().items():
         assert len(inspect.signature(fn).parameters) == 2, name
 
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1", BENCH_CPUS="2",
+               BENCH_QUERIES="movers_top")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, cwd="/tmp")
+    lines = [l for l in out.stdout.splitlines() if l.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert d["sf"] == 0.001 and set(d["queries"]) == {"movers_top"}
