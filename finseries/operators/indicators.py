@@ -69,7 +69,8 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     """Mean of the last ``window`` rows per series in date order.
 
     The mean is NULL until ``window`` rows are in the frame, and a missing
-    value anywhere in the frame makes it NULL.  Ties on the date are ordered
+    value anywhere in the frame makes it NULL.  Rows without a series key are
+    left out.  Ties on the date are ordered
     by value.  The frame is summed oldest first, ``((v[-2] + v[-1]) + v[0])``,
     so the result does not depend on how the work was split.  Output: key,
     date, value, rolling_avg.
@@ -87,7 +88,8 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     w = int(window)
     if w < 1:
         raise ValueError("window must be at least 1")
-    rows = ind
+    # rows without a series are never chosen (as in a selection by name)
+    rows = ind.where(F.col(key).isNotNull())
     if indicators is not None:
         rows = rows.where(F.col(key).isin(list(indicators)))
     rows = rows.select(key, date_col, value_col)

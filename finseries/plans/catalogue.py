@@ -220,6 +220,7 @@ def _rolling_sql(w):
     for t in terms[1:]:
         total = f"({total} + {t})"
     return with_views(f"SELECT indicator, date, value, {total} / {float(w)} AS rolling_avg FROM N "
+                      f"WHERE indicator IS NOT NULL "
                       f"WINDOW o AS (PARTITION BY indicator ORDER BY date, value)", "N")
 
 

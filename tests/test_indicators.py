@@ -82,3 +82,9 @@ def test_hot_group_of_copies_is_split(spark):
     assert len(sizes) >= 4 and max(sizes) < 3000
     got = I.rolling_mean(_ind(spark, rows), window=3, n_buckets=8).where("indicator = 'hot'")
     assert got.where("rolling_avg IS NULL").count() == 2 and got.where("rolling_avg = 1.0").count() == 2998
+
+
+def test_rows_without_series_are_left_out(spark):
+    rows = [(None, dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 1, 1), 2.0)]
+    got = [(r.indicator, r.rolling_avg) for r in I.rolling_mean(_ind(spark, rows), window=1).collect()]
+    assert got == [("a", 2.0)]
