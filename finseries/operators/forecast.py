@@ -42,6 +42,8 @@ def training_set(bars: DataFrame, key: str = "symbol", min_points: int = MIN_TRA
     the latest ``last`` dates, natural log.  Output: key, ds, y.
 
     Non-positive prices have no logarithm and are left out after the cut.
+    When several forecasts or the combined output read the result, write it
+    once with ``store.stage`` so the bar table is not scanned per branch.
     """
     daily = (bars.where(F.col(date_col).isNotNull() & F.col(price_col).isNotNull())
              .groupBy(key, date_col).agg(F.avg(price_col).alias("_p")))
