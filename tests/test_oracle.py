@@ -16,7 +16,7 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
     if isinstance(v, float):
-        return f"{v:.9g}"
+        return repr(v)  # exact: the twins agree to the last bit
     return str(v)
 
 
