@@ -83,6 +83,8 @@ def main(argv: list[str] | None = None) -> int:
             c.add_argument("--single-file", action="store_true")
             c.add_argument("--partition-by", nargs="*", default=None)
             c.add_argument("--keep", type=int, default=2)
+            c.add_argument("--sort-within", nargs="*", default=None,
+                           help="order rows inside each file (for example: date)")
     q = sub.add_parser("query")
     q.add_argument("question", choices=sorted(QUESTIONS))
     q.add_argument("--table", required=True)
@@ -104,7 +106,8 @@ def main(argv: list[str] | None = None) -> int:
         df = raw.curate(spark, args.landing, args.dataset, args.layout, _floor(args.floor),
                         header=not args.no_header, by_name=args.by_name)
         print(store.publish(df, args.table, partition_by=args.partition_by,
-                            single_file=args.single_file, keep=args.keep))
+                            single_file=args.single_file, keep=args.keep,
+                            sort_within=args.sort_within))
     elif args.cmd == "watch":
         from finseries.streaming.ingest import republish_on_arrival
         for run in republish_on_arrival(spark, args.landing, args.dataset, args.table, args.layout,
