@@ -38,7 +38,8 @@ def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_co
     if partition_col:
         fields.append(T.StructField(partition_col, T.StringType()))
     raw = (spark.read.schema(T.StructType(fields)).option("header", False).csv(path)
-           .withColumn("_file", F.col("_metadata.file_path")))
+           .withColumn("_file", F.col("_metadata.file_path"))
+           .withColumn("_fname", F.col("_metadata.file_name")))
     cells = F.array(*[F.col(f"_c{i}") for i in range(k)])
     wanted = F.array_sort(F.array(*[F.lit(n) for n in names]))
     is_header = F.coalesce(F.array_sort(cells) == wanted, F.lit(False))
@@ -53,7 +54,7 @@ def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_co
     bad = F.col("_n").isNull() | (F.col("_n") > 1)
     err = F.raise_error(F.concat(F.lit("no single header row in "), F.col("_file")))
     out = [F.when(bad, err).otherwise(F.element_at(cells, F.col(c))).alias(n) for n, c in zip(names, pos)]
-    return rows.select(*([partition_col] if partition_col else []), *out, "_file")
+    return rows.select(*([partition_col] if partition_col else []), *out, "_file", "_fname")
 
 
 def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partitioned",
@@ -71,7 +72,7 @@ def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partit
         part = code_col if (layout == "partitioned" and code_col) else None
         df = _read_by_name(spark, path, RAW_COLUMNS[dataset], part)
         if layout == "files" and code_col:
-            df = df.withColumn(code_col, F.regexp_extract(F.col("_file"), r"([^/]*)\.csv$", 1))
+            df = df.withColumn(code_col, F.regexp_extract(F.col("_fname"), FILE_STEM_PATTERN, 1))
         return df.select(*([code_col] if code_col else []), *RAW_COLUMNS[dataset])
     if layout == "partitioned" and code_col:
         schema = raw_schema(dataset, code_col)
