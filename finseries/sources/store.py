@@ -4,7 +4,9 @@ Each load goes to a new ``run=<id>`` folder under the table path.  Spark's
 commit protocol writes ``_SUCCESS`` only after every task has committed, so a
 reader that takes the newest run holding ``_SUCCESS`` never sees a half
 written table, and a failed load leaves the previous run in place.  Older
-runs are removed only after the new one is complete.
+complete runs are removed only after the new one is complete; runs without
+``_SUCCESS`` are never read and never removed automatically, because one of
+them may be a load that is still being written.
 """
 
 from __future__ import annotations
