@@ -41,13 +41,15 @@ def keys_for_names(bars: DataFrame, key: str, name: str, names: Iterable[str],
     return day.groupBy(name).agg(F.max(key).alias(key)).select(key)
 
 
-def _chosen(bars: DataFrame, key: str, assets, by_name: str | None, date_col: str) -> DataFrame:
+def _chosen(rows: DataFrame, bars: DataFrame, key: str, assets, by_name: str | None,
+            date_col: str) -> DataFrame:
+    """Keep the chosen assets in ``rows``; names are looked up on the whole ``bars``."""
     if assets is None:
-        return bars
+        return rows
     if by_name is None:
-        return bars.where(F.col(key).isin(list(assets)))
+        return rows.where(F.col(key).isin(list(assets)))
     keys = keys_for_names(bars, key, by_name, assets, date_col)
-    return bars.join(F.broadcast(keys), key, "left_semi")
+    return rows.join(F.broadcast(keys), key, "left_semi")
 
 
 def history(bars: DataFrame, key: str, span="1M", assets=None, by_name: str | None = None,
@@ -70,7 +72,7 @@ def history(bars: DataFrame, key: str, span="1M", assets=None, by_name: str | No
         rows = bars.where(F.col(date_col) >= F.trunc(latest, "year"))
     else:
         rows = bars.where(F.col(date_col) > F.date_sub(latest, span_days(span)))
-    rows = _chosen(rows, key, assets, by_name, date_col)
+    rows = _chosen(rows, bars, key, assets, by_name, date_col)
     rows = rows.select(key, date_col, "open", "high", "low", "close", "volume")
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -92,7 +94,7 @@ def open_close(bars: DataFrame, key: str, label: str, k: int = 10, days: int = 7
     top = F.broadcast(top_assets(bars, key, k, "latest", date_col=date_col).select(key))
     rows = bars.where(F.col(date_col) > F.date_sub(latest_date(bars, date_col), days))
     rows = rows.join(top, key, "left_semi")
-    rows = _chosen(rows, key, assets, by_name, date_col)
+    rows = _chosen(rows, bars, key, assets, by_name, date_col)
     long = rows.select(key, label, date_col, "open", "close").unpivot(
         [key, label, date_col], ["open", "close"], "_kind", "price")
     kind = F.when(F.col("_kind") == "open", F.lit(labels.OPEN_SUFFIX)).otherwise(
