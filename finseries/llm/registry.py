@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import simhash
+from finseries.llm import decontaminate, langid, simhash
 from finseries.llm.common import load
 
 
@@ -20,8 +20,42 @@ def op2_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10, k=6)
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dups": op2_simhash_near_dups,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_language_id": op6_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+#: DuckDB: the words of a text, A-Z lower-cased.
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark),
+bs AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+        FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bs)),
+spans AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+          FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT r, i, spans.n, item_id FROM spans JOIN win USING (n, phrase)),
+hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN items USING (r)""",
+}
