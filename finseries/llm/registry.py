@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import decontaminate, langid, simhash
+from finseries.llm import decontaminate, langid, pii, simhash
 from finseries.llm.common import load
 
 
@@ -31,10 +31,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def _is_kind(kind_no: int):
+    return lambda s: s["kind_no"] == kind_no
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(load(spark, sf_dir, "documents"))
+    count = {k: F.size(F.filter("base", _is_kind(i))).cast("long") for i, k in enumerate(pii.BASE_KINDS, 1)}
+    return found.select("doc_id", *(n.alias(f"n_{k}") for k, n in count.items()),
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dups": op2_simhash_near_dups,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_language_id": op6_language_id,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB: the words of a text, A-Z lower-cased.
