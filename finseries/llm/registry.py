@@ -11,10 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import decontaminate, langid, pii, simhash
+from finseries.llm import decontaminate, langid, pii, sentencepiece, simhash
 from finseries.llm.common import load
 
 
+#: SentencePiece model of the registered query (a parameter of the operator).
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode_documents(load(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op2_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(load(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -43,6 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dups": op2_simhash_near_dups,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_language_id": op6_language_id,
