@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import decontaminate, langid, pii, sentencepiece, simhash
+from finseries.llm import decontaminate, langid, pii, sentencepiece, simhash, substring, suffix
 from finseries.llm.common import load
 
 
@@ -28,6 +28,10 @@ def op2_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(load(spark, sf_dir, "documents"), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10, k=6)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -39,6 +43,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(load(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def _is_kind(kind_no: int):
     return lambda s: s["kind_no"] == kind_no
 
@@ -53,8 +61,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dups": op2_simhash_near_dups,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_language_id": op6_language_id,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii": op10_pii,
 }
 
@@ -63,6 +73,18 @@ _WORDS = r"""list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEF
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 ORACLE: dict[str, str] = {
+    "op3_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS phrase
+        FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+least_id AS (SELECT phrase, min(doc_id) AS first FROM win GROUP BY phrase),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM win JOIN least_id USING (phrase) WHERE doc_id > first),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
     "op4_benchmark_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark),
