@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import decontaminate, langid, pii, sentencepiece, simhash, substring, suffix
-from finseries.llm.common import load
+from finseries.llm import decontaminate, embeddings, langid, licenses, pii, sentencepiece, simhash, substring, suffix, token_counts
+from finseries.llm.common import load, save
+from finseries.session import scratch_path
 
 
 #: SentencePiece model of the registered query (a parameter of the operator).
@@ -38,11 +39,45 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(load(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents enter; later copies of a text leave; texts with letters beyond ASCII are recounted by the
+    Unicode-aware tokenizer; every batch is sent twice, and the ledger is compacted in between."""
+    v1, v2 = token_counts.COUNTERS
+    docs = load(spark, sf_dir, "documents")
+    counts = save(docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"),
+                              F.coalesce(F.col("text").rlike(r"[^\x00-\x7F]"), F.lit(False)).alias("wide"),
+                              token_counts.count_tokens(F.col("text"), v1).alias("n1"), token_counts.count_tokens(F.col("text"), v2).alias("n2")), "token_counts")
+    first = counts.groupBy("sha").agg(F.min("doc_id").alias("first"))
+    marked = save(counts.join(first, "sha").withColumn("later", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))), "token_copies")
+    ledger = scratch_path(spark, "llm", "ledger")
+    batches = [("load", token_counts.inserts(counts, v1, "n1")),
+               ("copies-leave", token_counts.deletes(marked.where("later"), v1, "n1")),
+               ("wide-recount", token_counts.recounts(marked.where("wide and not later"), (v1, "n1"), (v2, "n2")))]
+    for name, changes in batches:
+        token_counts.commit(spark, ledger, name, changes)
+        token_counts.commit(spark, ledger, name, changes)
+    token_counts.compact(spark, ledger)
+    token_counts.commit(spark, ledger, *batches[0])
+    return token_counts.rollup(spark, ledger)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(load(spark, sf_dir, "documents"))
+    word = F.transform("places", lambda p: p["word"])
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min(word).cast("long").alias("first_word"), F.array_max(word).cast("long").alias("last_word"),
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(load(spark, sf_dir, "documents"), length=400).drop("kept")
 
@@ -63,7 +98,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dups": op2_simhash_near_dups,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_embedding_near_dups": op5_embedding_near_dups,
     "op6_language_id": op6_language_id,
+    "op7_token_counts": op7_token_counts,
+    "op8_license_scan": op8_license_scan,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii": op10_pii,
 }
@@ -72,7 +110,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
+#: DuckDB: rows (label, tokens) of the license templates, and rows (label, phrase words) of the base phrases.
+_TEMPLATE_ROWS = ", ".join(f"('{label}', {licenses.tokens_of(text)})" for text, label in licenses.TEMPLATES)
+_PHRASE_ROWS = ", ".join(f"('{label}', {phrase.split(' ')})" for phrase, label in licenses.PHRASES)
+
 ORACLE: dict[str, str] = {
+    "op5_embedding_near_dups": r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+fine AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+         AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op7_token_counts": r"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+c AS (SELECT source, lang, regexp_matches(text, '[^\x00-\x7F]') AS wide,
+             len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n1,
+             len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')) AS n2
+      FROM d WHERE NOT coalesce(doc_id > first, false))
+SELECT source, lang, CASE WHEN wide THEN 'word-mark-v2' ELSE 'white-space-v1' END AS tokenizer,
+       count(*) AS n_docs, CAST(sum(CASE WHEN wide THEN n2 ELSE n1 END) AS BIGINT) AS n_tokens
+FROM c GROUP BY ALL""",
+    "op8_license_scan": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {_WORDS.format('text')} AS w FROM documents),
+phrases(label, p) AS (VALUES {_PHRASE_ROWS}),
+templates(label, t) AS (VALUES {_TEMPLATE_ROWS}),
+spots AS (SELECT r, i, label FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i
+          FROM d, phrases WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
+lines AS (SELECT r, list_distinct({_WORDS.format('line')}) AS s FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
+met AS (SELECT r, label, CAST(len(list_intersect(t, s)) AS DOUBLE) / len(t) AS c FROM lines, templates
+        WHERE len(list_intersect(t, s)) >= ceil({licenses.THRESHOLD} * len(t) - 1e-9)),
+b AS (SELECT r, count(*) AS n, min(i) - 1 AS f, max(i) - 1 AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM spots GROUP BY r),
+a AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM
+      (SELECT r, label FROM spots UNION SELECT r, label FROM met) GROUP BY r),
+m AS (SELECT r, max(c) AS c FROM met GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.f AS BIGINT) AS first_word,
+       CAST(b.l AS BIGINT) AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(a.labels, '') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(m.c, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN a USING (r) LEFT JOIN m USING (r)""",
     "op3_substring_dedup": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
