@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finseries.functions import trend_model
+from finseries.functions.parse import numbers
 from finseries.schemas import DEFAULT_HORIZON, DEFAULT_SHOW_LAST, MAX_TRAIN_POINTS, MIN_TRAIN_POINTS
 from finseries.session import ship_package
 
@@ -45,7 +46,8 @@ def training_set(bars: DataFrame, key: str = "symbol", min_points: int = MIN_TRA
     When several forecasts or the combined output read the result, write it
     once with ``store.stage`` so the bar table is not scanned per branch.
     """
-    daily = (bars.where(F.col(date_col).isNotNull() & F.col(price_col).isNotNull())
+    daily = (numbers(bars.select(key, date_col, price_col))
+             .where(F.col(date_col).isNotNull() & F.col(price_col).isNotNull())
              .groupBy(key, date_col).agg(F.avg(price_col).alias("_p")))
     counts = daily.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     enough = counts.where(F.col("_n") >= min_points).select(key)
@@ -140,13 +142,15 @@ def forecast_additive(train: DataFrame, key: str = "symbol",
 
     Groups are bounded by the training cut (``training_set`` keeps at most a
     fixed number of rows per asset).  Output: key, date, value, Type,
-    lower_ci, upper_ci; back-transformed with ``exp`` in Spark.
+    lower_ci, upper_ci (back-transformed with ``exp`` in Spark) and converged:
+    whether the asset's fit passes the optimality test of ``trend_model``.
     """
     key_type = train.schema[key].dataType
     out_schema = T.StructType([
         T.StructField(key, key_type), T.StructField("date", T.DateType()),
         T.StructField("last_ds", T.DateType()), T.StructField("yhat", T.DoubleType()),
-        T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType())])
+        T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType()),
+        T.StructField("converged", T.BooleanType())])
 
     def fit_predict(pdf: pd.DataFrame) -> pd.DataFrame:
         ds = pd.to_datetime(pdf["ds"]).to_numpy().astype("datetime64[D]")
@@ -158,11 +162,11 @@ def forecast_additive(train: DataFrame, key: str = "symbol",
         mean, lo, hi = trend_model.predict(m, dates)
         return pd.DataFrame({
             key: pdf[key].iloc[0], "date": pd.to_datetime(dates).date, "last_ds": pd.Timestamp(last).date(),
-            "yhat": mean, "yhat_lower": lo, "yhat_upper": hi})
+            "yhat": mean, "yhat_lower": lo, "yhat_upper": hi, "converged": m.converged})
 
     ship_package(train.sparkSession)
     fc = train.select(key, "ds", "y").groupBy(key).applyInPandas(fit_predict, out_schema)
     return fc.select(
         key, "date", F.exp("yhat").alias("value"),
         F.when(F.col("date") > F.col("last_ds"), F.lit(FORECAST)).otherwise(F.lit(FITTED)).alias("Type"),
-        F.exp("yhat_lower").alias("lower_ci"), F.exp("yhat_upper").alias("upper_ci"))
+        F.exp("yhat_lower").alias("lower_ci"), F.exp("yhat_upper").alias("upper_ci"), "converged")

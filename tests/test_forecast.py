@@ -120,3 +120,35 @@ def test_trend_model_properties(n, seed, vol):
     assert np.all(np.diff(width[n:]) >= -1e-9)  # intervals do not narrow past the data
     # the fit stays near the data it was given (priors only pull slightly)
     assert np.sqrt(np.mean((mean[:n] - y) ** 2)) < 4 * vol * np.sqrt(n) + 1e-6
+
+
+def test_trend_model_meets_its_optimality_conditions():
+    rng = np.random.default_rng(3)
+    for _ in range(25):
+        n = int(rng.integers(1, 121))
+        ds = np.datetime64("2020-01-01") + np.sort(rng.choice(400, n, replace=False))
+        y = 5 + np.cumsum(rng.normal(0, rng.choice([0, 0.001, 0.05, 0.5]), n))
+        assert trend_model.fit(ds, y).converged
+
+
+def test_sparse_ridge_against_coordinate_descent():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        p = 6
+        m = rng.normal(size=(12, p))
+        A, b = m.T @ m + 0.1 * np.eye(p), rng.normal(size=p) * 5
+        l1 = np.where(np.arange(p) < 2, 0.0, 2.0)
+        x = np.zeros(p)
+        for _ in range(5000):
+            for i in range(p):
+                r = b[i] - A[i] @ x + A[i, i] * x[i]
+                x[i] = np.sign(r) * max(abs(r) - l1[i], 0.0) / A[i, i]
+        assert np.allclose(trend_model._sparse_ridge(A, b, l1, np.zeros(p)), x, atol=1e-8)
+
+
+def test_nan_prices_are_left_out(spark):
+    from finseries.operators import forecast as FC
+    rows = [("A", f"2024-01-{d:02d}", float("nan") if d == 5 else float(d)) for d in range(1, 32)]
+    df = spark.createDataFrame(rows, "symbol string, date string, close double").selectExpr("symbol", "CAST(date AS DATE) AS date", "close")
+    tr = FC.training_set(df, "symbol", 30, 120)
+    assert tr.count() == 30 and tr.where("isnan(y)").count() == 0
