@@ -5,7 +5,7 @@ All are built-in Column expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A plain decimal or scientific number with optional sign and surrounding
@@ -32,6 +32,12 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def numbers(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as NULL in its float and double columns, as in the source's missing values."""
+    fix = {f.name: nan_to_null(f.name) for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    return df.withColumns(fix) if fix else df
+
+
 def percent_to_number(c) -> Column:
     """``"12.5%"`` to 12.5: the percent sign is removed literally, then parsed."""
     return to_number(F.replace(_col(c).cast("string"), F.lit("%"), F.lit("")))

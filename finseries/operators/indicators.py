@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finseries.functions.parse import numbers
 
 
 def calendar_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -80,10 +81,9 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     range partitions (``n_buckets``, default the shuffle partition count), or
     a given ``bucket`` column such as the calendar year.  Previous values are
     lags inside each (series, bucket); the first ``window - 1`` rows of a
-    bucket take the values before the bucket start from the last rows of
-    earlier buckets, found by an equi-join on a global row index.  Only the
-    per-bucket counts (one row per series and bucket) are windowed over a
-    whole series.
+    bucket take the values before the bucket start from a carry table (one row
+    per series and bucket, with the last values of earlier buckets).  Rows are
+    shuffled twice: by range, and by (series, bucket).
     """
     w = int(window)
     if w < 1:
@@ -92,7 +92,7 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     rows = ind.where(F.col(key).isNotNull())
     if indicators is not None:
         rows = rows.where(F.col(key).isin(list(indicators)))
-    rows = rows.select(key, date_col, value_col)
+    rows = numbers(rows.select(key, date_col, value_col))
     if bucket is None:
         n = n_buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = _range_buckets(rows, key, [date_col, value_col], n)
@@ -113,22 +113,18 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
         values = [F.col(value_col)]
         done = local
     else:
-        # offset of each bucket in its series: a window over one row per bucket
-        counts = local.groupBy(key, "_b").agg(F.max("_nb").alias("_nb"))
-        series = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(key, "_b", F.coalesce(F.sum("_nb").over(series), F.lit(0)).alias("_off"))
-        indexed = local.join(offsets, [key, "_b"], "inner").withColumn("_idx", F.col("_off") + F.col("_rn"))
-        tails = indexed.where(F.col("_rn") > F.col("_nb") - (w - 1)).select(
-            key, F.col("_idx").alias("_need"), F.col(value_col).alias("_hv"))
-        # head rows of a bucket list the positions before the bucket start they need
-        need = indexed.where(F.col("_rn") < w).select(
-            key, "_idx", F.explode(F.sequence(F.col("_rn"), F.lit(w - 1))).alias("_d"),
-        ).select(key, "_idx", "_d", (F.col("_idx") - F.col("_d")).alias("_need")).where(F.col("_need") >= 1)
-        halo = need.join(tails, [key, "_need"], "inner").groupBy(key, "_idx").agg(
-            *[F.max(F.when(F.col("_d") == d, F.col("_hv"))).alias(f"_h{d}") for d in range(1, w)])
-        done = indexed.join(halo, [key, "_idx"], "left")
+        # one row per series and bucket: its last w - 1 values, then those before it
+        tails = local.where(F.col("_rn") > F.col("_nb") - (w - 1)).groupBy(key, "_b").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("_rn", F.col(value_col).alias("v")))), lambda x: x["v"]).alias("_tail"))
+        earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(-(w - 1), -1)
+        carry = tails.select(key, "_b", F.flatten(F.collect_list("_tail").over(earlier)).alias("_before"))
+        # both sides are split by (series, bucket) already: no shuffle of the rows
+        done = local.join(carry, [key, "_b"], "inner")
+        back = F.size("_before")
         values = [F.col(value_col)] + [
-            F.when(F.col("_rn") > d, F.col(f"_l{d}")).otherwise(F.col(f"_h{d}")) for d in range(1, w)]
+            F.when(F.col("_rn") > d, F.col(f"_l{d}")).otherwise(F.when(
+                back >= d + 1 - F.col("_rn"), F.try_element_at("_before", F.col("_rn") - (d + 1))))
+            for d in range(1, w)]
     total = values[-1]
     for v in reversed(values[:-1]):
         total = total + v

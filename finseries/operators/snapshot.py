@@ -1,11 +1,10 @@
 """Latest-day questions: latest dates, top assets, snapshot change, sparkline.
 
 "Latest" is one date for the whole table (an asset that lags drops out).
-The latest and previous dates come from one scalar subquery, which Spark
-runs once per query.  A filter ``date = <subquery>`` on a bar table is
-pushed below aggregates and joins down to the scan, and on a table
-partitioned by date it prunes partitions at run time, so the day queries
-read only the days they need.
+Every date bound is one scalar subquery that returns the finished date, which
+Spark runs once per query.  A filter ``date >= <subquery>`` on a bar table is
+pushed below aggregates and joins down to the scan: it prunes the partitions
+of a table partitioned by date, and skips row groups of a table sorted by it.
 """
 
 from __future__ import annotations
@@ -16,37 +15,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finseries.functions import labels
+from finseries.functions.parse import numbers
 
 
-_PAIRS: "weakref.WeakKeyDictionary[DataFrame, dict[str, Column]]" = weakref.WeakKeyDictionary()
+_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
 
-def _day_pair(bars: DataFrame, date_col: str) -> Column:
-    """Scalar subquery: struct(latest, prev) from the two greatest distinct dates.
+def _bound(bars: DataFrame, date_col: str, name: str, value) -> Column:
+    """Scalar subquery that returns a finished DATE, built once per bar DataFrame and name.
 
-    One pass: a partial distinct per task (a few thousand dates at most),
-    then the top two.  The Column is built once per bar DataFrame, so every
-    use in a plan is the same subquery, which Spark runs once.
+    Comparing a column with the bare subquery (no arithmetic, no struct field
+    around it) lets Spark put its value into the scan's pushed filters, so
+    row groups outside the bound are skipped.
     """
-    per = _PAIRS.setdefault(bars, {})
-    if date_col not in per:
-        top2 = (bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())
-                .distinct().orderBy(F.desc("_d")).limit(2))
-        pair = top2.agg(F.struct(
-            F.max("_d").alias("latest"),
-            F.when(F.count(F.lit(1)) == 2, F.min("_d")).alias("prev")).alias("_pair"))
-        per[date_col] = pair.scalar()
-    return per[date_col]
+    per = _BOUNDS.setdefault(bars, {})
+    if (date_col, name) not in per:
+        per[date_col, name] = value(bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())).scalar()
+    return per[date_col, name]
 
 
 def latest_date(bars: DataFrame, date_col: str = "date") -> Column:
     """Scalar subquery: the greatest date of the table."""
-    return _day_pair(bars, date_col).getField("latest")
+    return _bound(bars, date_col, "latest", lambda d: d.agg(F.max("_d")))
 
 
 def previous_date(bars: DataFrame, date_col: str = "date") -> Column:
-    """Scalar subquery: the greatest date below the latest one."""
-    return _day_pair(bars, date_col).getField("prev")
+    """Scalar subquery: the greatest date below the latest one.
+
+    One pass: a partial distinct per task (a few thousand dates at most),
+    then the top two; NULL if there is only one date.
+    """
+    def second(d: DataFrame) -> DataFrame:
+        top2 = d.distinct().orderBy(F.desc("_d")).limit(2)
+        return top2.agg(F.when(F.count(F.lit(1)) == 2, F.min("_d")))
+    return _bound(bars, date_col, "prev", second)
+
+
+def days_before_latest(bars: DataFrame, days: int, date_col: str = "date") -> Column:
+    """Scalar subquery: the latest date minus ``days``."""
+    return _bound(bars, date_col, f"-{int(days)}", lambda d: d.agg(F.date_sub(F.max("_d"), int(days))))
+
+
+def year_start_of_latest(bars: DataFrame, date_col: str = "date") -> Column:
+    """Scalar subquery: January 1 of the latest date's year."""
+    return _bound(bars, date_col, "year", lambda d: d.agg(F.trunc(F.max("_d"), "year")))
 
 
 def latest_dates(bars: DataFrame, date_col: str = "date") -> DataFrame:
@@ -89,10 +101,6 @@ def top_assets_named(bars: DataFrame, key: str, name: str, k: int = 10,
     return top.join(latest_names, key, "inner")
 
 
-def _on_date(bars: DataFrame, day: Column, date_col: str) -> DataFrame:
-    return bars.where(F.col(date_col) == day)
-
-
 def snapshot_change(bars: DataFrame, key: str, name: str, k: int = 10,
                     date_col: str = "date") -> DataFrame:
     """Latest against previous day for the top ``k`` assets of the latest day.
@@ -103,14 +111,22 @@ def snapshot_change(bars: DataFrame, key: str, name: str, k: int = 10,
     never larger than the latest day's rows: repeated rows of one asset do
     not pair up with each other.  Output: key, name, open_curr, close_curr,
     close_prev, pct_change, arrow, color.
+
+    One aggregate over the rows since the previous day (these are the two
+    days) gives the latest-day counts, the top list and the previous closes;
+    its at most ``k`` rows are broadcast to the latest day's rows.
     """
-    top = F.broadcast(top_assets(bars, key, k, "latest", date_col=date_col).select(key))
-    cur = _on_date(bars, latest_date(bars, date_col), date_col).join(top, key, "left_semi")
-    prev = _on_date(bars, previous_date(bars, date_col), date_col).join(top, key, "left_semi")
-    cur = cur.select(key, F.col(name).alias(name), F.col("open").alias("open_curr"),
-                     F.col("close").alias("close_curr"))
-    prev = prev.groupBy(key).agg(F.avg("close").alias("close_prev"))
-    j = cur.join(prev, key, "inner")
+    fine = numbers(bars)
+    latest = latest_date(bars, date_col)
+    both = fine.where((F.col(date_col) >= previous_date(bars, date_col)) & F.col(key).isNotNull())
+    today = F.col(date_col) == latest
+    per_asset = both.groupBy(key).agg(
+        F.count(F.when(today, 1)).alias("_n"), F.count(F.when(~today, 1)).alias("_np"),
+        F.avg(F.when(~today, F.col("close"))).alias("close_prev"))
+    top = per_asset.where("_n > 0").orderBy(F.desc("_n"), F.asc(key)).limit(k).where("_np > 0").select(key, "close_prev")
+    cur = fine.where(F.col(date_col) == latest).select(
+        key, F.col(name).alias(name), F.col("open").alias("open_curr"), F.col("close").alias("close_curr"))
+    j = cur.join(F.broadcast(top), key, "inner")
     return j.select(
         key, name, "open_curr", "close_curr", "close_prev",
         labels.pct_change("close_curr", "close_prev").alias("pct_change"),
@@ -127,6 +143,6 @@ def sparkline(bars: DataFrame, key: str, name: str, k: int = 10, days: int = 7,
     """
     # at most k keys and two colors per key: a bounded broadcast side
     snap = snapshot_change(bars, key, name, k, date_col).select(key, "color").distinct()
-    since = F.date_sub(latest_date(bars, date_col), days)
-    recent = bars.where(F.col(date_col) >= since).select(key, date_col, "close")
+    since = days_before_latest(bars, days, date_col)
+    recent = numbers(bars).where(F.col(date_col) >= since).select(key, date_col, "close")
     return recent.join(F.broadcast(snap), key, "inner").select(key, date_col, "close", "color")

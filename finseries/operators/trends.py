@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finseries.functions import labels
-from finseries.operators.snapshot import latest_date, top_assets
+from finseries.functions.parse import numbers
+from finseries.operators.snapshot import days_before_latest, latest_date, top_assets, year_start_of_latest
 from finseries.schemas import RANGE_DAYS
 
 
@@ -67,17 +68,19 @@ def history(bars: DataFrame, key: str, span="1M", assets=None, by_name: str | No
     not a window over the key, so a dominant asset is split across tasks by
     the partial aggregate and by AQE's skew handling of the join.
     """
-    latest = latest_date(bars, date_col)
+    fine = numbers(bars)
     if span == CALENDAR_YTD:
-        rows = bars.where(F.col(date_col) >= F.trunc(latest, "year"))
+        rows = fine.where(F.col(date_col) >= year_start_of_latest(bars, date_col))
     else:
-        rows = bars.where(F.col(date_col) > F.date_sub(latest, span_days(span)))
+        rows = fine.where(F.col(date_col) > days_before_latest(bars, span_days(span), date_col))
     rows = _chosen(rows, bars, key, assets, by_name, date_col)
     rows = rows.select(key, date_col, "open", "high", "low", "close", "volume")
+    # several rows on one date: the whole row decides, so the color does not depend on the run
+    whole = F.struct(date_col, "open", "high", "low", "close", "volume")
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min_by("close", date_col).alias("_first"),
-        F.max_by("close", date_col).alias("_last"),
+        F.min(whole).getField("close").alias("_first"),
+        F.max(whole).getField("close").alias("_last"),
     )
     return rows.join(stats, key, "inner").select(
         key, date_col, "open", "high", "low", "close", "volume",
@@ -92,7 +95,7 @@ def open_close(bars: DataFrame, key: str, label: str, k: int = 10, days: int = 7
     Output: key, series, date, price.
     """
     top = F.broadcast(top_assets(bars, key, k, "latest", date_col=date_col).select(key))
-    rows = bars.where(F.col(date_col) > F.date_sub(latest_date(bars, date_col), days))
+    rows = numbers(bars).where(F.col(date_col) > days_before_latest(bars, days, date_col))
     rows = rows.join(top, key, "left_semi")
     rows = _chosen(rows, bars, key, assets, by_name, date_col)
     long = rows.select(key, label, date_col, "open", "close").unpivot(

@@ -38,3 +38,11 @@ def test_trend_color(spark):
     df = spark.createDataFrame([(1, 1.0, 1.0), (2, 1.0, 1.0), (2, 2.0, 1.0), (3, 1.0, None)],
                                "n int, f double, l double")
     assert [r[0] for r in df.select(L.trend_color("n", "f", "l")).collect()] == ["gray", "green", "gray", "gray"]
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, nan), (nan, 1.0), (nan, nan), (2.0, 1.0), (1.0, 0.0)], "c double, p double")
+    got = df.select(L.arrow("c", "p").alias("a"), L.pct_change("c", "p").alias("x")).collect()
+    assert [r.a for r in got] == ["▼", "▼", "▼", "▲", "▲"]
+    assert [r.x for r in got] == [None, None, None, 100.0, None]
