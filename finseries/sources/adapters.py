@@ -2,7 +2,7 @@
 
 * long bars (stocks): ``lineitem`` joined to ``part``; one bar per brand and
   ship date.  ``(l_orderkey, l_linenumber)`` is not unique, so open and close
-  are picked by the whole struct, which makes the pick deterministic.
+  are picked by (order key, line number, price), which is deterministic.
 * tick bars (crypto): ``events``; one bar per event type and day, open and
   close picked by ``event_id``.
 * indicators: ``orders``; one value per order status and month.
@@ -15,8 +15,6 @@ grouping keys) and only the needed columns are read.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,41 +22,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table.  The schema is read once per path and then
-    given to the reader, which skips the footer-reading job of inference;
-    the file listing is still fresh on every call."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-_VIEWS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _view(build):
-    """Define a view once per session and folder, like a temp view.
-
-    Only the lazy plan is kept; every action still reads the files.
-    """
-    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        per = _VIEWS.setdefault(spark, {})
-        key = (build.__name__, sf_dir.rstrip("/"))
-        if key not in per:
-            per[key] = build(spark, sf_dir)
-        return per[key]
-    get.__name__, get.__doc__ = build.__name__, build.__doc__
-    return get
+    """Scan of one test table; files and schema are looked up on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@_view
 def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, stock, date, open, high, low, close, volume (stocks shape)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -68,19 +36,22 @@ def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     # part grows with the data: no broadcast hint, AQE decides from its
     # runtime size and splits a skewed part key if one dominates.
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    pick = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    # (order key, line, price in cents) as one decimal: a hash aggregate can hold it, a struct would need a sort
+    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
+    pick = (F.col("l_orderkey").cast("decimal(19,0)") * F.lit(10 ** 15).cast("decimal(16,0)")
+            + F.col("l_linenumber").cast("decimal(3,0)") * F.lit(10 ** 12).cast("decimal(13,0)") + cents).cast("decimal(38,0)")
+    price = lambda c: (c % F.lit(10 ** 12).cast("decimal(13,0)")).cast("double") / F.lit(100.0)
     bars = j.groupBy("symbol", "date").agg(
-        F.min(pick).getField("l_extendedprice").alias("open"),
+        price(F.min(pick)).alias("open"),
         F.max("l_extendedprice").alias("high"),
         F.min("l_extendedprice").alias("low"),
-        F.max(pick).getField("l_extendedprice").alias("close"),
+        price(F.max(pick)).alias("close"),
         F.sum("l_quantity").alias("volume"),
     )
     return bars.select("symbol", F.concat(F.lit("Stock "), F.col("symbol")).alias("stock"),
                        "date", "open", "high", "low", "close", "volume")
 
 
-@_view
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, crypto, date, open, high, low, close, volume (crypto shape)."""
     ev = table(spark, sf_dir, "events").select(
@@ -97,7 +68,6 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "open", "high", "low", "close", "volume")
 
 
-@_view
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """indicator, date, value (monthly series, economic indicator shape).
 
@@ -113,7 +83,6 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.sum("_cents").cast("double") / F.count(F.lit(1)) / F.lit(100.0)).alias("value"))
 
 
-@_view
 def movers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ticker, price, change_amount, change_percentage, volume, all as text.
 
@@ -138,12 +107,10 @@ def movers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 LONG_BARS_SQL = """
 SELECT symbol, 'Stock ' || symbol AS stock, date, open, high, low, close, volume FROM (
   SELECT p.p_brand AS symbol, CAST(l.l_shipdate AS DATE) AS date,
-         min({'o': l.l_orderkey, 'n': l.l_linenumber, 'p': l.l_partkey, 's': l.l_suppkey,
-              'x': l.l_extendedprice}).x AS open,
+         min({'o': l.l_orderkey, 'n': l.l_linenumber, 'x': l.l_extendedprice}).x AS open,
          max(l.l_extendedprice) AS high,
          min(l.l_extendedprice) AS low,
-         max({'o': l.l_orderkey, 'n': l.l_linenumber, 'p': l.l_partkey, 's': l.l_suppkey,
-              'x': l.l_extendedprice}).x AS close,
+         max({'o': l.l_orderkey, 'n': l.l_linenumber, 'x': l.l_extendedprice}).x AS close,
          sum(l.l_quantity) AS volume
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY 1, 2)

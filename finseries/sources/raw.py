@@ -15,6 +15,8 @@ matched by position.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +27,11 @@ from finseries.schemas import DATASETS, PUBLISHED_SCHEMAS, RAW_COLUMNS, UNKNOWN_
 FILE_STEM_PATTERN = r"^(.*)\.csv$"
 
 
-def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_col: str | None) -> DataFrame:
+def _read_by_name(spark: SparkSession, path: str | list[str], names: list[str], partition_col: str | None,
+                  base: str | None = None) -> DataFrame:
     """Header CSV files whose columns may come in any order, mapped by name.
 
-    One scan without header handling: a row that is a permutation of the
+    The files are scanned twice, without header handling: a row that is a permutation of the
     expected names is a file's header; from it each file gets the position of
     every name (one row per file, joined back on the file path), and the data
     rows of that file are read through those positions.
@@ -37,7 +40,7 @@ def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_co
     fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(k)]
     if partition_col:
         fields.append(T.StructField(partition_col, T.StringType()))
-    raw = (spark.read.schema(T.StructType(fields)).option("header", False).csv(path)
+    raw = (spark.read.schema(T.StructType(fields)).option("header", False).options(**({"basePath": base} if base else {})).csv(path)
            .withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_fname", F.col("_metadata.file_name")))
     cells = F.array(*[F.col(f"_c{i}") for i in range(k)])
@@ -57,10 +60,13 @@ def _read_by_name(spark: SparkSession, path: str, names: list[str], partition_co
     return rows.select(*([partition_col] if partition_col else []), *out, "_file", "_fname")
 
 
-def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partitioned",
-             code_col: str | None = None, header: bool = True, by_name: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], dataset: str, layout: str = "partitioned",
+             code_col: str | None = None, header: bool = True, by_name: bool = False,
+             base: str | None = None) -> DataFrame:
     """All-string scan of a landed dataset; adds the code column when it has one.
 
+    ``path`` is the landing folder, or a list of files below ``base``.
+
     With ``header=False`` the files have no header row and the columns are
     named by position from the dataset's fixed column list.  By default a
     file whose header differs from that list fails the read; with
@@ -70,7 +76,7 @@ def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partit
     code_col = code_col or DATASETS[dataset]["code"]
     if by_name:
         part = code_col if (layout == "partitioned" and code_col) else None
-        df = _read_by_name(spark, path, RAW_COLUMNS[dataset], part)
+        df = _read_by_name(spark, path, RAW_COLUMNS[dataset], part, base)
         if layout == "files" and code_col:
             df = df.withColumn(code_col, F.regexp_extract(F.col("_fname"), FILE_STEM_PATTERN, 1))
         return df.select(*([code_col] if code_col else []), *RAW_COLUMNS[dataset])
@@ -84,6 +90,7 @@ def read_raw(spark: SparkSession, path: str, dataset: str, layout: str = "partit
           .option("header", header)
           .option("enforceSchema", not header)
           .option("mode", "PERMISSIVE")
+          .options(**({"basePath": base} if base else {}))
           .csv(path))
     if layout == "files" and code_col:
         df = with_symbol(df, code_col)
@@ -145,11 +152,11 @@ def typed(raw: DataFrame, dataset: str, floor: str | None = "default",
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in out.fields])
 
 
-def curate(spark: SparkSession, landing: str, dataset: str, layout: str = "partitioned",
+def curate(spark: SparkSession, landing: str | list[str], dataset: str, layout: str = "partitioned",
            floor: str | None = "default", names: dict[str, str] | None = None,
-           header: bool = True, by_name: bool = False) -> DataFrame:
-    """Landed CSV to the typed table of ``dataset`` (lazy; one scan)."""
-    return typed(read_raw(spark, landing, dataset, layout, header=header, by_name=by_name),
+           header: bool = True, by_name: bool = False, base: str | None = None) -> DataFrame:
+    """Landed CSV to the typed table of ``dataset`` (lazy; one scan, two with ``by_name``)."""
+    return typed(read_raw(spark, landing, dataset, layout, header=header, by_name=by_name, base=base),
                  dataset, floor, names)
 
 
@@ -174,3 +181,30 @@ def land_csv(df: DataFrame, path: str, dataset: str, code_col: str | None = None
         w = w.partitionBy(code_col)
     w.csv(path)
     return path
+
+
+def land_files(df: DataFrame, path: str, dataset: str, code_col: str | None = None,
+               header: bool = True, columns: list[str] | None = None) -> str:
+    """Write one ``<code>.csv`` per code, as a vendor drop leaves them.
+
+    One file per code means one task per code: this is the vendor's layout,
+    for landing test data; ``land_csv`` writes the one that scales.
+    ``columns`` gives the files another column order.
+    """
+    spark = df.sparkSession
+    code_col = code_col or DATASETS[dataset]["code"]
+    parts = f"{path.rstrip('/')}/_parts"
+    (df.select(code_col, *(columns or RAW_COLUMNS[dataset])).repartition(code_col)
+     .write.option("header", header).partitionBy(code_col).csv(parts))
+    jvm = spark.sparkContext._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(to_path(parts)):
+        if folder.isDirectory():
+            code = unquote(folder.getPath().getName().split("=", 1)[1])
+            for f in fs.listStatus(folder.getPath()):
+                target = to_path(path, f"{code}.csv")
+                fs.delete(target, False)  # a new drop overwrites the old one
+                fs.rename(f.getPath(), target)
+    fs.delete(to_path(parts), True)
+    return path

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,13 +40,22 @@ def complete_runs(spark: SparkSession, path: str) -> list[str]:
     return sorted(names)
 
 
-def new_run_id() -> str:
-    # sortable by time, unique across concurrent writers
-    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+def new_run_id(runs: list[str] = ()) -> str:
+    """Sortable by time, later than every given run (a host whose clock is behind
+    cannot publish backwards), unique across concurrent writers."""
+    last = max((int(r[len(RUN_PREFIX):].split("-")[0]) for r in runs), default=0)
+    return f"{max(time.time_ns(), last + 1):020d}-{uuid.uuid4().hex[:8]}"
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finished writing ``path``."""
+    jvm, fs, p = _fs(spark, path)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
 
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
-            single_file: bool = False, keep: int = 2, sort_within: list[str] | None = None) -> str:
+            single_file: bool = False, keep: int = 2, sort_within: list[str] | None = None,
+            before_success: Callable[[str], None] | None = None) -> str:
     """Write ``df`` as a new complete run of the table at ``path``; return the run folder.
 
     ``partition_by`` writes one folder per value, after a rebalance on those
@@ -53,10 +63,15 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
     touches.  ``single_file`` gives one output file (one task writes
     everything: only for small tables).  ``sort_within`` orders rows inside each file so Parquet
     row-group statistics can skip data on those columns.  ``keep`` complete
-    runs stay; older ones are deleted after the new run is complete.
+    runs stay; older ones are deleted after the new run is complete.  ``before_success``
+    gets the run's name before its rows are written (a manifest without a
+    complete run is never looked at).
     """
     spark = df.sparkSession
-    target = f"{path.rstrip('/')}/{RUN_PREFIX}{new_run_id()}"
+    name = f"{RUN_PREFIX}{new_run_id(complete_runs(spark, path))}"
+    target = f"{path.rstrip('/')}/{name}"
+    if before_success:
+        before_success(name)
     out = df.coalesce(1) if single_file else df
     if partition_by and not single_file:
         # cluster rows by folder so each task writes few folders; AQE splits a

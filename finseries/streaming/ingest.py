@@ -1,49 +1,86 @@
-"""Republish a curated table when new files land.
-
-A file-stream source over the landing folder, run with the ``availableNow``
-trigger, finds the files that arrived since the last run (its checkpoint
-remembers the ones already seen).  If there are any, the whole table is
-curated again from the landing folder and published as a new run, which is
-what a scheduled full rewrite does, minus the runs with nothing new.  The
-checkpoint lives next to the table on shared storage, so a restarted job
-continues where it stopped.
+"""Republish a curated table when landed files change.
+
+Each published run keeps a manifest of the landed files it was made from
+(path, modification time, length).  The next run lists the landing folder
+again (file metadata only, no contents) and compares: a file that is new,
+was overwritten in place, or is gone marks its code as changed.  Nothing
+changed: nothing is published.  Otherwise only the changed codes' files are
+read and typed again; the other codes' rows are carried over from the
+previous run, and the result is published as a new run, so readers switch
+when it is complete.  A dataset whose published rows do not hold the code is
+curated again as a whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finseries.schemas import DATASETS, raw_schema
+from finseries.schemas import DATASETS, PUBLISHED_SCHEMAS
 from finseries.sources import raw as R
 from finseries.sources import store as ST
 
+MANIFEST = "path string, modificationTime timestamp, length long"
+
+
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """path, modificationTime, length of every CSV file under ``landing``; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+            .load(landing).select("path", "modificationTime", "length"))
 
-def default_checkpoint(table: str) -> str:
+
+def _manifest_path(table: str, run: str) -> str:
     # a leading underscore keeps the folder out of table reads
-    return f"{table.rstrip('/')}/_ingest_checkpoint"
+    return f"{table.rstrip('/')}/_manifests/{run}"
+
+
+def _last_manifest(spark: SparkSession, table: str) -> DataFrame | None:
+    """The files behind the newest complete run; None without a run or if that run has none (then all is curated)."""
+    runs = ST.complete_runs(spark, table)
+    if not runs or not ST.complete(spark, _manifest_path(table, runs[-1])):
+        return None
+    return spark.read.schema(MANIFEST).parquet(_manifest_path(table, runs[-1]))
+
+
+def changed_files(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Paths that are new, gone, or differ in modification time or length."""
+    same = now.join(before, ["path", "modificationTime", "length"], "left_semi").select("path")
+    return now.select("path").unionByName(before.select("path")).distinct().join(same, "path", "left_anti")
+
+
+def _code(layout: str, code_col: str):
+    if layout == "files":
+        return F.regexp_extract("path", r"([^/]*)\.csv$", 1)
+    part = F.regexp_extract("path", rf"/{code_col}=([^/]*)/", 1)
+    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))  # folder names escape special characters
 
 
 def republish_on_arrival(spark: SparkSession, landing: str, dataset: str, table: str,
                          layout: str = "partitioned", floor: str | None = "default",
-                         header: bool = True, checkpoint: str | None = None,
-                         by_name: bool = False) -> list[str]:
-    """Run once over the files landed so far; return the run folders published."""
+                         header: bool = True, by_name: bool = False) -> list[str]:
+    """Bring ``table`` up to the files landed so far; return the run folders published (none or one)."""
+    now = ST.stage(landed_files(spark, landing), "manifest")
+    before = _last_manifest(spark, table)
     code_col = DATASETS[dataset]["code"]
-    schema = raw_schema(dataset, code_col if layout == "partitioned" else None)
-    # the stream only detects new files; the header check happens in the batch read
-    stream = spark.readStream.schema(schema).option("header", header).csv(landing)
-    published: list[str] = []
-
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        whole = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name)
-        published.append(ST.publish(whole, table))
-
-    query = (stream.writeStream
-             .foreachBatch(on_batch)
-             .option("checkpointLocation", checkpoint or default_checkpoint(table))
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return published
+    if before is None:
+        if now.isEmpty():
+            return []
+        rows = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name)
+    else:
+        changed = ST.stage(changed_files(before, now), "changed")
+        if changed.isEmpty():
+            return []
+        if code_col not in PUBLISHED_SCHEMAS[dataset].fieldNames():
+            rows = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name) if not now.isEmpty() else ST.read_curated(spark, table).limit(0)
+        else:
+            codes = changed.select(_code(layout, code_col).alias(code_col)).distinct()
+            rows = ST.read_curated(spark, table).join(codes, code_col, "left_anti")
+            # one path per changed file's code: the list the next read needs anyway
+            paths = [r.path for r in now.withColumn(code_col, _code(layout, code_col)).join(codes, code_col, "left_semi").select("path").collect()]
+            if paths:
+                fresh = R.curate(spark, paths, dataset, layout, floor=floor, header=header, by_name=by_name, base=landing)
+                rows = rows.unionByName(fresh)
+    run = ST.publish(rows.select(*PUBLISHED_SCHEMAS[dataset].fieldNames()), table,
+                     sort_within=["date"] if "date" in PUBLISHED_SCHEMAS[dataset].fieldNames() else None,
+                     before_success=lambda name: now.write.mode("overwrite").parquet(_manifest_path(table, name)))
+    return [run]
