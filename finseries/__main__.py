@@ -5,9 +5,11 @@
     python -m finseries query  snapshot --table DIR --dataset stocks [--out DIR]
 
 ``curate`` runs one scheduled load (scan, type, name, publish a new run);
-``watch`` republishes only when new files have landed (file stream,
-availableNow); ``query`` answers one question on the newest complete run and
-writes the result as Parquet (``--out``) or prints the first rows.
+``watch`` republishes only when landed files are new, overwritten or gone (a manifest of
+the files is kept with each run); ``query`` answers one question on the newest
+complete run and writes the whole result as Parquet (``--out``) or prints its
+first ``--rows`` rows.  ``--input-gb`` and ``--cores`` size scan splits and
+shuffle partitions for the job (``session.sizing_conf``).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import sys
 
 from finseries.operators import forecast, indicators, movers, snapshot, trends
 from finseries.schemas import DATASETS
-from finseries.session import get_session
+from finseries.session import get_session, sizing_conf
 from finseries.sources import raw, store
 
 
@@ -25,7 +27,7 @@ def _forecast(table, key, args, baseline: bool):
     train = store.stage(forecast.training_set(table, key), "training")
     if baseline:
         return forecast.forecast_baseline(train, key, args.horizon, with_fitted=True)
-    return forecast.combined(train, forecast.forecast_additive(train, key, args.horizon), key)
+    return forecast.combined(train, forecast.forecast_additive(train, key, args.horizon), key, args.show_last)
 
 
 # question -> function(table, key, name, args)
@@ -37,10 +39,11 @@ QUESTIONS = {
     "history": lambda t, k, n, a: trends.history(t, k, a.span, a.assets, _by_name(k, a)),
     "open_close": lambda t, k, n, a: trends.open_close(t, k, LABELS.get(a.dataset, k), a.k, a.days,
                                                        a.assets, _by_name(k, a)),
-    "yoy": lambda t, k, n, a: indicators.yoy(t, None, a.years, key=k),
-    "rolling": lambda t, k, n, a: indicators.rolling_mean(t, None, a.window, key=k),
+    "yoy": lambda t, k, n, a: indicators.yoy(t, a.indicators, a.years, key=k),
+    "rolling": lambda t, k, n, a: indicators.rolling_mean(t, a.indicators, a.window, key=k),
     "movers": lambda t, k, n, a: movers.top_movers(t.na.drop(subset=movers.NUMERIC), a.k),
     "forecast": lambda t, k, n, a: _forecast(t, k, a, baseline=False),
+    "forecast_band": lambda t, k, n, a: forecast.band(_forecast(t, k, a, baseline=False)),
     "forecast_baseline": lambda t, k, n, a: _forecast(t, k, a, baseline=True),
 }
 
@@ -69,6 +72,8 @@ def _floor(text: str):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="finseries")
+    p.add_argument("--input-gb", type=float, help="size of the largest input")
+    p.add_argument("--cores", type=int, default=8, help="cores of the job, with --input-gb")
     sub = p.add_subparsers(dest="cmd", required=True)
     for cmd in ("curate", "watch"):
         c = sub.add_parser(cmd)
@@ -89,7 +94,10 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("question", choices=sorted(QUESTIONS))
     q.add_argument("--table", required=True)
     q.add_argument("--dataset", required=True, choices=sorted(KEYS))
-    q.add_argument("--out")
+    q.add_argument("--out", help="write the whole answer there as Parquet; without it the first --rows rows are printed")
+    q.add_argument("--rows", type=int, default=1000, help="rows printed without --out")
+    q.add_argument("--show-last", type=int, default=30, help="actual days in a forecast")
+    q.add_argument("--indicators", nargs="*", default=None, help="series to keep (yoy, rolling)")
     q.add_argument("--k", type=int, default=10)
     q.add_argument("--scope", default="latest", choices=["latest", "all"])
     q.add_argument("--by", default="rows", choices=["rows", "volume"])
@@ -101,13 +109,13 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--horizon", type=int, default=15)
     args = p.parse_args(argv)
 
-    spark = get_session()
+    spark = get_session(extra=sizing_conf(int(args.input_gb * 2 ** 30), args.cores) if args.input_gb else None)
     if args.cmd == "curate":
         df = raw.curate(spark, args.landing, args.dataset, args.layout, _floor(args.floor),
                         header=not args.no_header, by_name=args.by_name)
         print(store.publish(df, args.table, partition_by=args.partition_by,
                             single_file=args.single_file, keep=args.keep,
-                            sort_within=args.sort_within))
+                            sort_within=args.sort_within or (["date"] if "date" in df.columns else None)))
     elif args.cmd == "watch":
         from finseries.streaming.ingest import republish_on_arrival
         for run in republish_on_arrival(spark, args.landing, args.dataset, args.table, args.layout,
@@ -122,7 +130,8 @@ def main(argv: list[str] | None = None) -> int:
             result.write.mode("errorifexists").parquet(args.out)
             print(args.out)
         else:
-            result.show(20, truncate=False)
+            for row in result.limit(args.rows).toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 

@@ -24,7 +24,7 @@ from finseries.operators import movers as M_
 from finseries.operators import snapshot as S
 from finseries.operators import trends as T_
 from finseries.plans import sqlparts as Q
-from finseries.schemas import CRYPTO_NAMES, INDICATOR_NAMES, STOCK_NAMES
+from finseries.schemas import CRYPTO_CODES, CRYPTO_NAMES, INDICATOR_NAMES, RANGE_DAYS, STOCK_CODES, STOCK_NAMES
 from finseries.sources import adapters as A
 from finseries.sources.adapters import with_views
 
@@ -83,16 +83,16 @@ def top_assets_named(spark, sf_dir):
 # Snapshot change and sparkline (Q1 Q2 Q5 Q6)
 # --------------------------------------------------------------------------
 
-def _snapshot_sql(view, key, name):
-    return with_views(f"{Q.snapshot(view, key, name, K_LATEST)}\nSELECT * FROM change", view)
+def _snapshot_sql(view, key, name, views=None, pre=""):
+    return with_views(f"{pre}{Q.snapshot(view, key, name, K_LATEST)}\nSELECT * FROM change", views or view)
 
 
-def _sparkline_sql(view, key, name):
+def _sparkline_sql(view, key, name, views=None, pre=""):
     return with_views(
-        f"{Q.snapshot(view, key, name, K_LATEST)}\n"
+        f"{pre}{Q.snapshot(view, key, name, K_LATEST)}\n"
         f"SELECT b.{key}, b.date, b.close, c.color FROM {view} b\n"
         f"JOIN (SELECT DISTINCT {key}, color FROM change) c ON b.{key} = c.{key}\n"
-        f"WHERE b.date >= (SELECT latest FROM d) - INTERVAL {SPARK_DAYS} DAY", view)
+        f"WHERE b.date >= (SELECT latest FROM d) - INTERVAL {SPARK_DAYS} DAY", views or view)
 
 
 @register("stock_snapshot", _snapshot_sql("L", "stock", "symbol"))
@@ -131,24 +131,25 @@ HISTORY_DAYS = 30
 COMPARE_DAYS = 7
 
 
-def _history_sql(view, key):
-    return with_views(f"""{Q.dates(view)},
+def _history_sql(view, key, days=HISTORY_DAYS, chosen="true", views=None, pre=""):
+    return with_views(f"""{pre}{Q.dates(view)},
 r AS (SELECT {key}, date, open, high, low, close, volume FROM {view}
-      WHERE date > (SELECT latest FROM d) - INTERVAL {HISTORY_DAYS} DAY),
-s AS (SELECT {key}, count(*) AS n, arg_min(close, date) AS f, arg_max(close, date) AS l
+      WHERE date > (SELECT latest FROM d) - INTERVAL {days} DAY AND {chosen}),
+s AS (SELECT {key}, count(*) AS n, min({{'d': date, 'o': open, 'h': high, 'l': low, 'c': close, 'v': volume}}).c AS f,
+             max({{'d': date, 'o': open, 'h': high, 'l': low, 'c': close, 'v': volume}}).c AS l
       FROM r GROUP BY {key})
 SELECT r.*, CASE WHEN coalesce(s.n > 1 AND s.l >= s.f, false) THEN 'green' ELSE 'gray' END AS color
-FROM r JOIN s ON r.{key} = s.{key}""", view)
+FROM r JOIN s ON r.{key} = s.{key}""", views or view)
 
 
-def _open_close_sql(view, key, label):
-    return with_views(f"""{Q.dates(view)},
+def _open_close_sql(view, key, label, views=None, pre=""):
+    return with_views(f"""{pre}{Q.dates(view)},
 {Q.top_latest(view, key, K_LATEST)},
 r AS (SELECT * FROM {view} WHERE date > (SELECT latest FROM d) - INTERVAL {COMPARE_DAYS} DAY
       AND {key} IN (SELECT {key} FROM top))
 SELECT {key}, {label} || ' - Open' AS series, date, open AS price FROM r
 UNION ALL
-SELECT {key}, {label} || ' - Close' AS series, date, close AS price FROM r""", view)
+SELECT {key}, {label} || ' - Close' AS series, date, close AS price FROM r""", views or view)
 
 
 @register("stock_history", _history_sql("L", "stock"))
@@ -171,6 +172,47 @@ def crypto_open_close(spark, sf_dir):
     return T_.open_close(A.tick_bars(spark, sf_dir), "symbol", "crypto", K_LATEST, COMPARE_DAYS)
 
 
+# Every range label, for both bar tables
+def _span_history(view, key, span):
+    return lambda spark, sf_dir: T_.history(view(spark, sf_dir), key, span)
+
+
+for _span, _days in RANGE_DAYS.items():
+    if _span != HISTORY_SPAN:
+        register(f"stock_history_{_span.lower()}", _history_sql("L", "stock", _days))(_span_history(A.long_bars, "stock", _span))
+        register(f"crypto_history_{_span.lower()}", _history_sql("T", "symbol", _days))(_span_history(A.tick_bars, "symbol", _span))
+
+# Chosen assets: by key, and by display name looked up on the latest day
+CHOSEN_TYPES, CHOSEN_STOCKS = ["click", "view"], ["Stock Brand#1", "Stock Brand#12", "Stock Brand#9"]
+
+
+@register("crypto_history_chosen", _history_sql("T", "symbol", chosen=f"symbol IN {tuple(CHOSEN_TYPES)}"))
+def crypto_history_chosen(spark, sf_dir):
+    return T_.history(A.tick_bars(spark, sf_dir), "symbol", HISTORY_SPAN, assets=CHOSEN_TYPES)
+
+
+@register("stock_history_named", _history_sql(
+    "L", "symbol", chosen=f"""symbol IN (SELECT max(symbol) FROM L WHERE date = (SELECT latest FROM d)
+      AND stock IN {tuple(CHOSEN_STOCKS)} GROUP BY stock)"""))
+def stock_history_named(spark, sf_dir):
+    return T_.history(A.long_bars(spark, sf_dir), "symbol", HISTORY_SPAN, assets=CHOSEN_STOCKS, by_name="stock")
+
+
+# Missing numbers: NaN closes and zero previous closes
+_HOLED = ("CASE WHEN date = (SELECT max(date) FROM L) AND symbol LIKE '%1' THEN {nan} "
+          "WHEN date < (SELECT max(date) FROM L) AND symbol LIKE '%2' THEN 0.0 ELSE close END")
+
+
+@register("snapshot_missing", _snapshot_sql(
+    "H", "stock", "symbol", "L", f"H AS (SELECT symbol, stock, date, open, {_HOLED.format(nan='NULL')} AS close FROM L),\n"))
+def snapshot_missing(spark, sf_dir):
+    bars = A.long_bars(spark, sf_dir)
+    latest = S.latest_date(bars)
+    close = (F.when((F.col("date") == latest) & F.col("symbol").like("%1"), F.lit(float("nan")))
+             .when((F.col("date") < latest) & F.col("symbol").like("%2"), F.lit(0.0)).otherwise(F.col("close")))
+    return S.snapshot_change(bars.withColumn("close", close), "stock", "symbol", K_LATEST)
+
+
 # --------------------------------------------------------------------------
 # Calendar columns, value lists, indicator views
 # --------------------------------------------------------------------------
@@ -263,7 +305,7 @@ def _curated(spark, bars, dataset, floor, code_col=None):
     from finseries.sources import store as ST
     landing = R.land_csv(bars, scratch_path(spark, "landing", dataset), dataset, code_col)
     table = scratch_path(spark, "curated", dataset)
-    ST.publish(R.curate(spark, landing, dataset, floor=floor), table)
+    ST.publish(R.curate(spark, landing, dataset, floor=floor), table, sort_within=["date"] if "date" in R.RAW_COLUMNS[dataset] else None)
     return ST.read_curated(spark, table)
 
 
@@ -385,24 +427,179 @@ def forecast_combined_baseline(spark, sf_dir):
     return FC.combined(tr, fc, "symbol", SHOW_LAST, digits=FC_DIGITS)
 
 
-@register("forecast_additive")
+def _exact_part_sql(view, key, pre=""):
+    """Rows of the combined additive forecast with what SQL can tell: dates, types, actual values, row counts."""
+    return with_views(f"""{pre}{Q.training(view, key, MIN_POINTS, LAST_POINTS)},
+lst AS (SELECT {key}, max(ds) AS last_ds FROM tr GROUP BY {key}),
+act AS (SELECT {key}, ds, y, row_number() OVER (PARTITION BY {key} ORDER BY ds DESC) AS rn FROM tr)
+SELECT {key}, ds AS date, 'Actual' AS Type, round(exp(y), {FC_DIGITS}) AS actual, CAST(NULL AS BOOLEAN) AS in_band
+FROM act WHERE rn <= {SHOW_LAST}
+UNION ALL SELECT {key}, ds, 'Fitted', NULL, true FROM tr
+UNION ALL SELECT {key}, CAST(last_ds + h * INTERVAL 1 DAY AS DATE), 'Forecast', NULL, true
+FROM (SELECT {key}, last_ds, unnest(generate_series(1, {HORIZON})) AS h FROM lst)""", "L" if view != "T" else "T")
+
+
+def _exact_part(train, key):
+    rows = FC.combined(train, FC.forecast_additive(train, key, HORIZON), key, SHOW_LAST)
+    actual = F.col("Type") == FC.ACTUAL
+    return rows.select(
+        key, "date", "Type", F.when(actual, F.round("value", FC_DIGITS)).alias("actual"),
+        F.when(~actual, F.coalesce((F.col("lower_ci") <= F.col("value")) & (F.col("value") <= F.col("upper_ci")), F.lit(False))).alias("in_band"))
+
+
+@register("forecast_additive", _exact_part_sql("T", "symbol"))
 def forecast_additive(spark, sf_dir):
-    tr = _staged_training(spark, A.tick_bars(spark, sf_dir), "symbol")
-    return FC.combined(tr, FC.forecast_additive(tr, "symbol", HORIZON), "symbol", SHOW_LAST)
+    """The additive forecast; model values are checked against their band, as SQL cannot compute them."""
+    return _exact_part(_staged_training(spark, A.tick_bars(spark, sf_dir), "symbol"), "symbol")
 
 
-@register("stock_forecast")
-def stock_forecast(spark, sf_dir):
-    """Q12: the additive forecast for the 20 assets with the most rows."""
+def _top_bars(spark, sf_dir):
     bars = A.long_bars(spark, sf_dir)
     top = F.broadcast(S.top_assets(bars, "stock", K_ALL, "all").select("stock"))
-    tr = _staged_training(spark, bars.join(top, "stock", "left_semi"), "stock")
-    return FC.combined(tr, FC.forecast_additive(tr, "stock", HORIZON), "stock", SHOW_LAST)
+    return bars.join(top, "stock", "left_semi")
+
+
+_TOP_BARS = f"{Q.top_all('L', 'stock', K_ALL)},\nB AS (SELECT * FROM L WHERE stock IN (SELECT stock FROM top)),\n"
+
+
+@register("stock_forecast", _exact_part_sql("B", "stock", _TOP_BARS))
+def stock_forecast(spark, sf_dir):
+    """Q12: the additive forecast for the 20 assets with the most rows."""
+    return _exact_part(_staged_training(spark, _top_bars(spark, sf_dir), "stock"), "stock")
+
+
+@register("forecast_fit_check", with_views(
+    f"{Q.training('L', 'stock', MIN_POINTS, LAST_POINTS)}\n"
+    "SELECT stock, count(*) AS n_points, true AS converged FROM tr GROUP BY stock", "L"))
+def forecast_fit_check(spark, sf_dir):
+    """Every asset's fit passes the first-order optimality test."""
+    tr = _staged_training(spark, A.long_bars(spark, sf_dir), "stock")
+    fits = FC.forecast_additive(tr, "stock", HORIZON).where(F.col("Type") == FC.FITTED)
+    return fits.groupBy("stock").agg(F.count("*").alias("n_points"), F.every("converged").alias("converged"))
+
+
+@register("forecast_band", ORACLE["forecast_combined_baseline"].replace(
+    "SELECT symbol, ds AS date, round(exp(y)", "SELECT * FROM (SELECT symbol, ds AS date, round(exp(y)") + ") WHERE Type = 'Forecast'")
+def forecast_band(spark, sf_dir):
+    """The forecast rows of the combined output."""
+    return FC.band(forecast_combined_baseline(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# The vendor's landing layout: one <code>.csv per asset, real codes and names
+# --------------------------------------------------------------------------
+
+_INDICATOR_OF = {"F": "treasury", "O": "federal", "P": "cpi"}
+
+
+def _vendor_crypto(spark, sf_dir):
+    """Tick bars under the ten crypto codes: two codes per event type, by day parity."""
+    t = A.tick_bars(spark, sf_dir)
+    types = ["click", "error", "purchase", "signup", "view"]
+    at = (F.array_position(F.array(*map(F.lit, types)), F.col("symbol")) - 1) * 2 + F.dayofmonth("date") % 2 + 1
+    return t.withColumn("symbol", F.element_at(F.array(*map(F.lit, CRYPTO_CODES)), at.cast("int")))
+
+
+_VENDOR_CRYPTO = f"""V AS (SELECT {CRYPTO_CODES}[(list_position(['click', 'error', 'purchase', 'signup', 'view'], symbol) - 1) * 2
+       + CAST(day(date) AS INTEGER) % 2 + 1] AS symbol, date, open, high, low, close, volume FROM T)"""
+
+
+def _vendor_stocks(spark, sf_dir):
+    n = F.substring("symbol", 7, 9).cast("int")
+    return A.long_bars(spark, sf_dir).withColumn("symbol", F.element_at(F.array(*map(F.lit, STOCK_CODES)), (n - 1) % len(STOCK_CODES) + 1))
+
+
+_VENDOR_STOCKS = f"""V AS (SELECT {STOCK_CODES}[(CAST(substr(symbol, 7) AS INTEGER) - 1) % {len(STOCK_CODES)} + 1] AS symbol,
+       date, open, high, low, close, volume FROM L)"""
+
+
+def _vendor(spark, df, dataset, floor, code_col=None, **how):
+    """Land <code>.csv files and curate them as the vendor layout."""
+    from finseries.session import scratch_path
+    from finseries.sources import raw as R
+    landing = R.land_files(df, scratch_path(spark, "landing", dataset), dataset, code_col, how.get("header", True), how.pop("columns", None))
+    return R.curate(spark, landing, dataset, "files", floor=floor, **how)
+
+
+def _named_sql(pre, name, names, where, view):
+    return with_views(f"{pre}\nSELECT symbol, {_case('symbol', names)} AS {name}, date, open, high, low, close, volume "
+                      f"FROM V WHERE {where}", view)
+
+
+@register("vendor_crypto", _named_sql(_VENDOR_CRYPTO, "crypto", CRYPTO_NAMES, "true", "T"))
+def vendor_crypto(spark, sf_dir):
+    return _vendor(spark, _vendor_crypto(spark, sf_dir), "crypto", None)
+
+
+@register("vendor_stocks", _named_sql(_VENDOR_STOCKS, "stock", STOCK_NAMES, f"date > DATE '{TEST_FLOOR}'", "L"))
+def vendor_stocks(spark, sf_dir):
+    return _vendor(spark, _vendor_stocks(spark, sf_dir), "stocks", TEST_FLOOR)
+
+
+@register("vendor_indicators", with_views(
+    f"SELECT {_case('indicator', {k: INDICATOR_NAMES[v] for k, v in _INDICATOR_OF.items()})} AS indicator, date, value FROM N "
+    f"WHERE date >= DATE '{TEST_FLOOR}'", "N"))
+def vendor_indicators(spark, sf_dir):
+    pairs = [F.lit(x) for kv in _INDICATOR_OF.items() for x in kv]
+    src = A.indicators(spark, sf_dir).withColumn("code", F.create_map(*pairs)[F.col("indicator")])
+    return _vendor(spark, src, "economic_indicators", TEST_FLOOR)
+
+
+@register("vendor_no_header", ORACLE["vendor_crypto"])
+def vendor_no_header(spark, sf_dir):
+    return _vendor(spark, _vendor_crypto(spark, sf_dir), "crypto", None, header=False)
+
+
+@register("vendor_by_name", ORACLE["vendor_crypto"])
+def vendor_by_name(spark, sf_dir):
+    """Files whose columns come in another order, mapped by header name."""
+    return _vendor(spark, _vendor_crypto(spark, sf_dir), "crypto", None, by_name=True,
+                   columns=["volume", "close", "date", "high", "low", "open"])
+
+
+@register("publish_two_runs", ORACLE["vendor_crypto"])
+def publish_two_runs(spark, sf_dir):
+    """A first run with half of the columns' values missing, then the real one as a single file; the first is pruned."""
+    from finseries.session import scratch_path
+    from finseries.sources import store as ST
+    rows = ST.stage(_vendor(spark, _vendor_crypto(spark, sf_dir), "crypto", None), "vendor")
+    table = scratch_path(spark, "curated", "crypto")
+    ST.publish(rows.withColumn("close", F.lit(None).cast("double")), table)
+    ST.publish(rows, table, single_file=True, keep=1)
+    return ST.read_curated(spark, table)
+
+
+# --------------------------------------------------------------------------
+# Bar questions on a published table, whose rows are sorted by date (Q1-Q4)
+# --------------------------------------------------------------------------
+
+_PUBLISHED = (f"P AS (SELECT symbol, {_case('symbol', STOCK_NAMES)} AS stock, date, open, high, low, close, volume "
+              f"FROM L WHERE date > DATE '{TEST_FLOOR}'),\n")
+
+
+@register("published_snapshot", _snapshot_sql("P", "symbol", "stock", "L", _PUBLISHED))
+def published_snapshot(spark, sf_dir):
+    return S.snapshot_change(curate_stocks(spark, sf_dir), "symbol", "stock", K_LATEST)
+
+
+@register("published_sparkline", _sparkline_sql("P", "symbol", "stock", "L", _PUBLISHED))
+def published_sparkline(spark, sf_dir):
+    return S.sparkline(curate_stocks(spark, sf_dir), "symbol", "stock", K_LATEST, SPARK_DAYS)
+
+
+@register("published_history", _history_sql("P", "symbol", views="L", pre=_PUBLISHED))
+def published_history(spark, sf_dir):
+    return T_.history(curate_stocks(spark, sf_dir), "symbol", HISTORY_SPAN)
+
+
+@register("published_open_close", _open_close_sql("P", "symbol", "symbol", "L", _PUBLISHED))
+def published_open_close(spark, sf_dir):
+    return T_.open_close(curate_stocks(spark, sf_dir), "symbol", "symbol", K_LATEST, COMPARE_DAYS)
 
 
 @register("stream_curate_crypto", ORACLE["curate_crypto"])
 def stream_curate_crypto(spark, sf_dir):
-    """Curation triggered by file arrival (file stream, availableNow)."""
+    """Curation triggered by changed files."""
     from finseries.session import scratch_path
     from finseries.sources import raw as R
     from finseries.sources import store as ST
@@ -411,3 +608,22 @@ def stream_curate_crypto(spark, sf_dir):
     table = scratch_path(spark, "curated", "crypto")
     republish_on_arrival(spark, landing, "crypto", table, floor=None)
     return ST.read_curated(spark, table)
+
+
+@register("watch_overwritten", _named_sql(
+    f"{_VENDOR_CRYPTO[:-len(' FROM T)')]} FROM (SELECT symbol, date, open, high, low, CASE WHEN symbol = 'click' THEN close + 1 ELSE close END AS close, volume FROM T))",
+    "crypto", CRYPTO_NAMES, "true", "T"))
+def watch_overwritten(spark, sf_dir):
+    """A second drop overwrites the files of one event type in place; only their codes are curated again."""
+    from finseries.session import scratch_path
+    from finseries.sources import raw as R
+    from finseries.sources import store as ST
+    from finseries.streaming.ingest import republish_on_arrival
+    bars = _vendor_crypto(spark, sf_dir)
+    landing, table = scratch_path(spark, "landing", "crypto"), scratch_path(spark, "curated", "crypto")
+    R.land_files(bars, landing, "crypto")
+    republish_on_arrival(spark, landing, "crypto", table, layout="files", floor=None)
+    again = bars.where(F.col("symbol").isin(CRYPTO_CODES[:2])).withColumn("close", F.col("close") + 1)
+    R.land_files(again, landing, "crypto")
+    republish_on_arrival(spark, landing, "crypto", table, layout="files", floor=None)
+    return ST.read_curated(spark, table)

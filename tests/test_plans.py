@@ -1,10 +1,15 @@
 """Plan shape checks: the physical operators the design relies on."""
 
 import __spark_entry__ as E
+from finseries.plans import catalogue
 
 from conftest import SF001
 
 
+# queries that write and read back a table: what is left of their plan is a scan
+STAGED = ("curate", "raw_csv", "stream", "vendor", "publish", "watch")
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -19,8 +24,8 @@ def test_training_cut_is_limited_per_group_before_shuffle(spark):
 
 
 def test_no_single_partition_window(spark):
-    for name, fn in E.queries().items():
-        if name.startswith("curate") or name == "raw_csv_roundtrip":
+    for name, fn in catalogue.QUERIES.items():
+        if name.startswith(STAGED):
             continue
         plan = _plan(fn(spark, SF001))
         lines = plan.splitlines()
@@ -52,8 +57,8 @@ def test_rolling_mean_has_no_window_over_whole_series(spark):
 
 
 def test_no_nested_loop_cartesian_or_row_udf(spark):
-    for name, fn in E.queries().items():
-        if name.startswith("curate") or name in ("raw_csv_roundtrip", "stream_curate_crypto"):
+    for name, fn in catalogue.QUERIES.items():
+        if name.startswith(STAGED):
             continue
         plan = _plan(fn(spark, SF001))
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
@@ -66,3 +71,73 @@ def test_sizing_conf_bounds():
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     assert sizing_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def _nodes(df):
+    """Every physical operator of a plan that ran, inside its query stages too."""
+    stack = [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        n = stack.pop()
+        yield n
+        if n.nodeName() == "AdaptiveSparkPlan":
+            stack.append(n.executedPlan())
+        elif n.nodeName().endswith("QueryStage"):
+            stack.append(n.plan())
+        children = n.children()
+        stack += [children.apply(i) for i in range(children.size())]
+
+
+def test_rolling_mean_shuffles_the_rows_twice(spark):
+    from finseries.operators import indicators as I_
+    rows = spark.range(20_000).selectExpr("'a' AS indicator", "date_add(DATE'2000-01-01', CAST(id AS INT)) AS date", "CAST(id AS DOUBLE) AS value")
+    df = I_.rolling_mean(rows, None, 3, n_buckets=4)
+    df.collect()
+    full = [n for n in _nodes(df) if n.nodeName() == "Exchange" and n.metrics().get("shuffleRecordsWritten").get().value() >= 20_000]
+    carried = len({n.id() for n in full})
+    assert 1 <= carried <= 2, carried
+
+
+def test_day_filter_skips_row_groups_of_a_table_sorted_by_date(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from finseries.operators import snapshot as S
+    path = tempfile.mkdtemp(prefix="fs-prune-") + "/t"
+    rows = spark.range(0, 60_000, 1, 1).selectExpr("date_add(DATE'2000-01-01', CAST(id / 100 AS INT)) AS date", "'x' AS symbol", "1.0D AS close")
+    rows.sortWithinPartitions("date").write.option("maxRecordsPerFile", 6_000).parquet(path)
+    bars = spark.read.parquet(path)
+
+    def scanned(df):
+        df.collect()
+        return max(n.metrics().get("numOutputRows").get().value() for n in _nodes(df) if n.nodeName().startswith("Scan parquet") and "close" in n.simpleString(200))
+
+    literal = scanned(bars.where(F.col("date") > F.lit("2001-07-24").cast("date")).select("close"))
+    bound = scanned(bars.where(F.col("date") > S.days_before_latest(bars, 29)).select("close"))
+    assert literal < 60_000 and 0 < bound <= literal + 6_000, (literal, bound)
+
+
+def test_bar_view_needs_no_sort_aggregate(spark):
+    from finseries.sources import adapters as A
+    assert "SortAggregate" not in _plan(A.long_bars(spark, SF001))
+
+
+def test_snapshot_scans_the_bars_twice_besides_the_dates(spark):
+    plan = _plan(E.queries()["stock_snapshot"](spark, SF001))
+    main = plan.split("Subquery")[0] if plan.startswith("Subquery") else plan
+    scans = [line for line in main.splitlines() if "FileScan parquet" in line and "l_extendedprice" in line]
+    assert len(scans) <= 2, len(scans)
+
+
+def test_views_see_appended_files(spark):
+    import shutil
+    import tempfile
+
+    from finseries.sources import adapters as A
+    root = tempfile.mkdtemp(prefix="fs-fresh-")
+    for t in ("events",):
+        spark.read.parquet(f"{SF001}/{t}.parquet").limit(100).write.parquet(f"{root}/{t}.parquet")
+    first = A.tick_bars(spark, root).agg({"volume": "sum"}).first()[0]
+    spark.read.parquet(f"{SF001}/events.parquet").limit(50).write.mode("append").parquet(f"{root}/events.parquet")
+    assert A.tick_bars(spark, root).agg({"volume": "sum"}).first()[0] == first + 50
+    shutil.rmtree(root)
