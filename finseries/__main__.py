@@ -19,7 +19,7 @@ import sys
 
 from finseries.operators import forecast, indicators, movers, snapshot, trends
 from finseries.schemas import DATASETS
-from finseries.session import get_session, sizing_conf
+from finseries.session import get_session, remove_scratch, sizing_conf
 from finseries.sources import raw, store
 
 
@@ -132,6 +132,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             for row in result.limit(args.rows).toLocalIterator():
                 print("\t".join("" if v is None else str(v) for v in row))
+        remove_scratch(spark)  # staged training sets
     return 0
 
 

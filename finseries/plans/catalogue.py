@@ -300,12 +300,13 @@ TEST_FLOOR = "1998-01-01"
 
 
 def _curated(spark, bars, dataset, floor, code_col=None):
-    from finseries.session import scratch_path
+    from finseries.session import remove_path, scratch_path
     from finseries.sources import raw as R
     from finseries.sources import store as ST
     landing = R.land_csv(bars, scratch_path(spark, "landing", dataset), dataset, code_col)
     table = scratch_path(spark, "curated", dataset)
     ST.publish(R.curate(spark, landing, dataset, floor=floor), table, sort_within=["date"] if "date" in R.RAW_COLUMNS[dataset] else None)
+    remove_path(spark, landing)
     return ST.read_curated(spark, table)
 
 

@@ -98,6 +98,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([scratch_root(spark), "finseries", *parts, uuid.uuid4().hex])
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written folder, on whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything this package wrote under the scratch root.
+
+    For the end of a job: DataFrames that still read a staged or published
+    scratch table cannot be evaluated afterwards.
+    """
+    remove_path(spark, f"{scratch_root(spark)}/finseries")
 
 _SHIPPED: set[str] = set()
 
