@@ -29,8 +29,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh shared scratch folder and read it back."""
     path = scratch_path(df.sparkSession, "llm", label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*saved: DataFrame) -> None:
+    """Delete tables that ``save`` wrote and no later step reads."""
+    for df in saved:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

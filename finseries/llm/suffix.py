@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import release, save
+from finseries.llm.common import discard, release, save
 from finseries.session import ship_package
 
 #: Bytes hashed at once on very long texts.
@@ -238,11 +238,21 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("k", "text").mapInPandas(run, "g long, k long, pos long")
 
 
+def _around(raw: bytes, pos: int, length: int, reach: int) -> tuple[bytes, bytes]:
+    """Bytes before and from an anchor that a ``length``-byte string around its gram can reach."""
+    return raw[max(0, pos - reach):pos], raw[pos:pos + length]
+
+
+def _texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
+    """(k, text, n, at): each distinct text with spots once, its copies counted."""
+    texts = docs.groupBy("k").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    return texts.join(spots.groupBy("k").agg(F.collect_set(F.struct("pos", "g")).alias("at")), "k")
+
+
 def _contexts(docs: DataFrame, spots: DataFrame, length: int, gram: int) -> DataFrame:
-    """(g, c1, c2, k, pos, n, before, after): surroundings of each repeated anchor; ``n`` counts equal texts."""
+    """(g, c1, c2, k, pos, n, rest): a 128-bit hash of each repeated anchor's surroundings; ``n`` counts equal
+    texts, ``rest`` the bytes from the anchor on (``length`` at most)."""
     reach = length - gram
-    texts = docs.groupBy("k").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    lists = spots.groupBy("k").agg(F.collect_set(F.struct("pos", "g")).alias("at"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -250,22 +260,48 @@ def _contexts(docs: DataFrame, spots: DataFrame, length: int, gram: int) -> Data
             for k, text, n, at in zip(b["k"], b["text"], b["n"], b["at"], strict=True):
                 raw = _raw(text)
                 for spot in at:
-                    pos = spot["pos"]
-                    before, after = raw[max(0, pos - reach):pos], raw[pos:pos + length]
+                    before, after = _around(raw, spot["pos"], length, reach)
                     c = xxhash.xxh3_128_intdigest(len(before).to_bytes(4, "little") + before + after)
-                    rows.append((spot["g"], (c >> 64) - (1 << 63), (c & 0xFFFFFFFFFFFFFFFF) - (1 << 63), k, pos, n, before, after))
+                    rows.append((spot["g"], (c >> 64) - (1 << 63), (c & 0xFFFFFFFFFFFFFFFF) - (1 << 63), k, spot["pos"], n, len(after)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["g", "c1", "c2", "k", "pos", "n", "rest"])
+
+    return _texts(docs, spots).mapInPandas(run, "g long, c1 long, c2 long, k long, pos long, n long, rest int")
+
+
+def _with_bytes(docs: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
+    """(g, c1, c2, n, before, after): the surroundings of each class, read from its representative (k, pos)."""
+    reach = length - gram
+    texts = docs.groupBy("k").agg(F.first("text").alias("text"))
+    lists = classes.groupBy("k").agg(F.collect_list(F.struct("pos", "g", "c1", "c2", "n")).alias("at"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["g", "c1", "c2", "n", "before", "after"]
+        for b in batches:
+            rows: list[tuple] = []
+            for text, at in zip(b["text"], b["at"], strict=True):
+                raw = _raw(text)
+                for c in at:
+                    rows.append((c["g"], c["c1"], c["c2"], c["n"], *_around(raw, c["pos"], length, reach)))
                 if len(rows) >= 5_000:
-                    yield pd.DataFrame(rows, columns=["g", "c1", "c2", "k", "pos", "n", "before", "after"])
+                    yield pd.DataFrame(rows, columns=columns)
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["g", "c1", "c2", "k", "pos", "n", "before", "after"])
+                yield pd.DataFrame(rows, columns=columns)
 
-    return texts.join(lists, "k").mapInPandas(run, "g long, c1 long, c2 long, k long, pos long, n long, before binary, after binary")
+    return texts.join(lists, "k").mapInPandas(run, "g long, c1 long, c2 long, n long, before binary, after binary")
 
 
 _SPAN = "g long, c1 long, c2 long, lo long, hi long"
 
 
+def _lone_spans(classes: DataFrame, length: int, gram: int) -> DataFrame:
+    """Spans of classes that occur twice and share their gram with no other: every string that fits."""
+    low = F.greatest(F.lit(length) - F.col("rest"), F.lit(0)).cast("long")
+    high = F.least(F.col("pos"), F.lit(length - gram)).cast("long")
+    return classes.select("g", "c1", "c2", (-high).alias("lo"), (F.lit(length) - low).alias("hi"), (low <= high).alias("fits")).where("fits").drop("fits")
+
+
 def _sorted_spans(classes: DataFrame, length: int, gram: int, tasks: int) -> DataFrame:
     """Shared spans of classes, whole grams per task."""
 
@@ -321,17 +357,30 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 200) -> DataF
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("k"))
     base = save(_summary(rows.select("doc_id", "k", "text")), "suffix_base")
     found = save(_anchor_rows(rows, length, gram), "suffix_anchors")
+    release(spark)
     twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     spots = save(found.join(twice, "g", "left_semi").distinct(), "suffix_spots")
     release(spark)
-    contexts = save(_contexts(rows.where(F.col("text").isNotNull()).select("k", "text"), spots, length, gram), "suffix_contexts")
+    discard(found)
+    named = rows.where(F.col("text").isNotNull()).select("k", "text")
+    contexts = save(_contexts(named, spots, length, gram), "suffix_contexts")
+    discard(spots)
     release(spark)
-    classes = save(contexts.groupBy("g", "c1", "c2").agg(F.sum("n").alias("n"), F.min("before").alias("before"), F.min("after").alias("after")), "suffix_classes")
+    # any member stands for its class: (k, pos) is picked by the smallest hash of both
+    pick = F.min_by(F.struct("k", "pos", "rest"), F.xxhash64("k", "pos"))
+    classes = save(contexts.groupBy("g", "c1", "c2").agg(F.sum("n").alias("n"), pick.alias("at"))
+                   .select("g", "c1", "c2", "n", "at.k", "at.pos", "at.rest"), "suffix_classes")
     sizes = save(classes.groupBy("g").agg(F.count("*").alias("classes")), "suffix_grams")
-    hot = sizes.where(F.col("classes") > HOT_CLASSES).select("g")
-    usual = classes.join(hot, "g", "left_anti").select("g", "c1", "c2", "n", "before", "after")
-    tasks = int(classes.count() // TASK_CLASSES) + 1
-    spans = _sorted_spans(usual, length, gram, tasks).unionByName(_counted_spans(classes.join(hot, "g", "left_semi"), length, gram))
+    release(spark)
+    # a gram's only class: its strings are shared if the class occurs twice, whatever its bytes
+    lone = classes.join(sizes.where("classes = 1"), "g", "left_semi").where("n > 1")
+    many = classes.join(sizes.where(f"classes BETWEEN 2 AND {HOT_CLASSES}"), "g", "left_semi")
+    hot = classes.join(sizes.where(f"classes > {HOT_CLASSES}"), "g", "left_semi")
+    tasks = int(sizes.where(f"classes BETWEEN 2 AND {HOT_CLASSES}").agg(F.coalesce(F.sum("classes"), F.lit(0))).first()[0] // TASK_CLASSES) + 1
+    spans = save(_lone_spans(lone, length, gram)
+                 .unionByName(_sorted_spans(_with_bytes(named, many, length, gram), length, gram, tasks))
+                 .unionByName(_counted_spans(_with_bytes(named, hot, length, gram), length, gram)), "suffix_class_spans")
+    release(spark)
     equal = base.groupBy("k", "n_bytes").agg(F.count("*").alias("copies"))
     whole = equal.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select("k", "n_bytes")
     placed = (contexts.select("g", "c1", "c2", "k", "pos").join(whole.select("k"), "k", "left_anti").join(spans, ["g", "c1", "c2"])
