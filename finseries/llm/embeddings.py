@@ -29,7 +29,7 @@ from finseries.llm.components import components
 from finseries.session import ship_package
 
 #: Vectors the rotation is learned on, at most (chosen by hash).
-SAMPLE = 20_000
+SAMPLE = 10_000
 ITERATIONS = 50
 #: Code bits and Hamming tables; chunks hold BITS // TABLES bits.
 BITS = 96
@@ -47,7 +47,7 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, seed: int = 11) -> tupl
     mean = unit.mean(axis=0)
     x, dim = unit - mean, unit.shape[1]
     rng, parts = np.random.default_rng(seed), []
-    _, _, axes = np.linalg.svd(x, full_matrices=True)
+    axes = np.linalg.eigh(x.T @ x)[1][:, ::-1].T  # principal axes, widest first
     while sum(p.shape[1] for p in parts) < bits:
         k = min(dim, bits - sum(p.shape[1] for p in parts))
         v = x @ axes[:k].T
