@@ -25,6 +25,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -55,6 +56,16 @@ class PieceModel:
     byte_ids: list[int]  # 256 ids, or none
     plain: dict[str, int] = field(default_factory=dict)  # pieces that text can match
 
+    @cached_property
+    def costs(self) -> dict[str, float]:
+        return {p: -self.scores[i] for p, i in self.plain.items()}
+
+    @cached_property
+    def spelling(self) -> list[bytes]:
+        """The bytes of each id."""
+        byte = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        return [byte.get(i, p.encode()) for i, p in enumerate(self.pieces)]
+
     @property
     def longest(self) -> int:
         return max(map(len, self.plain), default=1)
@@ -113,14 +124,41 @@ def _fallback(model: PieceModel, char: str) -> list[int]:
 
 def fold_unit(model: PieceModel, unit: str) -> list[int]:
     """Ids of one unit: the same rules as the relational folds."""
-    spans = (_merge if model.kind == "merge" else _viterbi)(model, unit)
+    if model.kind != "merge":
+        parts = [unit[i:j] for i, j in _viterbi(model, unit)]
+    elif len(unit) <= LATTICE_CHARS:
+        parts = _merge_short(model, unit)
+    else:
+        parts = [unit[i:j] for i, j in _merge(model, unit)]
     out: list[int] = []
-    for i, j in spans:
-        at = model.plain.get(unit[i:j])
-        out.extend([at] if at is not None else _fallback(model, unit[i:j]))
+    for part in parts:
+        at = model.plain.get(part)
+        if at is None:
+            out.extend(_fallback(model, part))
+        else:
+            out.append(at)
     return out
 
 
+def _merge_short(model: PieceModel, unit: str) -> list[str]:
+    """Join the adjacent parts with the best-scored piece, leftmost first, until none is a piece."""
+    cost, none = model.costs.get, float("inf")
+    parts = list(unit)
+    pairs = [cost(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == none:
+            break
+        i = pairs.index(best)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = cost(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = cost(parts[i - 1] + parts[i], none)
+    return parts
+
+
 def _viterbi(model: PieceModel, unit: str) -> list[tuple[int, int]]:
     best, back, longest = [0.0], [0], model.longest
     for end in range(1, len(unit) + 1):
@@ -284,13 +322,13 @@ class Encoder:
         return np.array(out, dtype=np.int32)
 
     def decode(self, ids) -> str:
-        return decode_ids(self.model, ids)
+        return decode_ids(self.model, ids.tolist())
 
 
 def decode_ids(model: PieceModel, ids) -> str:
     """The text of ids: pieces and bytes in a row, U+2581 as space, without the one in front."""
-    byte = {i: b for b, i in enumerate(model.byte_ids)}
-    raw = b"".join(bytes([byte[i]]) if i in byte else model.pieces[i].encode() for i in map(int, ids))
+    spelling = model.spelling
+    raw = b"".join([spelling[i] for i in ids])
     text = raw.decode("utf-8", "replace").replace(SPACE, " ")
     return text[1:] if text.startswith(" ") else text
 
@@ -299,8 +337,8 @@ def common_ids(docs: DataFrame, model: PieceModel, common: int = COMMON) -> dict
     """Ids of the ``common`` most frequent units: at most so many rows reach the driver."""
     top = (unit_counts(docs).where(F.length("unit") <= LATTICE_CHARS)
            .orderBy(F.desc("n"), "unit").limit(common))
-    rows = unit_ids(top.repartition(docs.sparkSession.sparkContext.defaultParallelism, "unit"), model).toPandas()
-    return {u: tuple(ids.tolist()) for u, ids in zip(rows["unit"], rows["ids"], strict=True)}
+    rows = unit_ids(top.repartition(docs.sparkSession.sparkContext.defaultParallelism, "unit"), model).collect()
+    return {r["unit"]: tuple(r["ids"]) for r in rows}
 
 
 def encode_documents(docs: DataFrame, model_path: str, common: int = COMMON) -> DataFrame:
