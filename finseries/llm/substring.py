@@ -5,7 +5,7 @@ a repeat; every word that a repeat covers goes.  Any window holds a whole
 block of ``(window + 1) // 2`` words that starts at a multiple of the block
 length of the *other* document (an anchor).  So:
 
-1. Index: the XXH64-based hash of every non-overlapping block, with its smallest doc_id.
+1. Index: the hash of every non-overlapping block, with its smallest doc_id and place there.
 2. Probe: every rolling block-length window of every document, joined with the
    index on the hash; a probe is a hit if the block also stands in a document
    with a smaller doc_id.  The blocks behind the hits are the reference spots.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,11 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import release, save
+from finseries.llm.common import discard, release, save
 from finseries.session import ship_package
 
 #: Passes over the hash space.
-SLICES = 3
+SLICES = 2
 #: Rows handed to Arrow at once.
 OUT_ROWS = 200_000
 
@@ -81,32 +82,46 @@ def _frame(columns: list[str], held: list[tuple]) -> pd.DataFrame:
                          for i, c in enumerate(columns)})
 
 
-def _probes(docs: DataFrame, block: int, slice_no: int) -> DataFrame:
-    """(h, doc, pos): rolling block hashes of one slice of the hash space."""
+def _blocks(texts: DataFrame, block: int, slice_no: int, rolling: bool) -> DataFrame:
+    """(h, doc, pos) of one slice of the hash space: every rolling block, or the non-overlapping ones.
+
+    Of the latter a text gives each hash once, with place -1 if the block
+    stands in it more than once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for b in batches:
                 for doc, text in zip(b["doc_id"], b["text"], strict=True):
                     h = gram_hashes(word_hashes(split_words(text)), block)
+                    if not rolling:
+                        h = h[::block]
                     at = np.flatnonzero(h % np.uint64(SLICES) == slice_no)
-                    if len(at):
+                    if not len(at):
+                        continue
+                    if rolling:
                         yield h[at].view(np.int64), doc, at
+                    else:
+                        own, first, n = np.unique(h[at], return_index=True, return_counts=True)
+                        yield own.view(np.int64), doc, np.where(n == 1, at[first] * block, -1)
         return _frames(["h", "doc", "pos"], rows())
 
-    return docs.mapInPandas(run, "h long, doc long, pos int")
+    return texts.select("doc_id", "text").mapInPandas(run, "h long, doc long, pos int")
+
 
+def _spots(texts: DataFrame, block: int, slice_no: int) -> DataFrame:
+    """(doc, pos) of hits and of the reference blocks behind them; place -1 stands for all places.
 
-def _spots(docs: DataFrame, block: int, slice_no: int) -> DataFrame:
-    """(doc, pos) of hits and of the reference blocks behind them."""
-    probes = _probes(docs, block, slice_no)
-    index = probes.where(F.col("pos") % block == 0).groupBy("h").agg(F.min("doc").alias("first"))
-    hits = save(probes.join(index, "h").where("doc > first").select("h", "doc", "pos", "first"), "substring_hits")
-    # other documents' blocks that are hit are hits themselves, except those of the smallest doc_id
-    wanted = hits.select("h", F.col("first").alias("doc")).distinct()
-    anchors = probes.where(F.col("pos") % block == 0)
-    behind = anchors.join(wanted, ["h", "doc"], "left_semi").select("doc", "pos")
-    return hits.select("doc", "pos").unionByName(behind)
+    Blocks of other documents than the smallest are hits themselves, so the
+    smallest document's block is the only reference to add.
+    """
+    index = _blocks(texts, block, slice_no, rolling=False).groupBy("h").agg(
+        F.min("doc").alias("first"), F.min_by("pos", "doc").alias("at"))
+    probes = _blocks(texts, block, slice_no, rolling=True)
+    hits = save(probes.join(index, "h").where("doc > first").select("doc", "pos", "first", "at"), "substring_hits")
+    spots = save(hits.select("doc", "pos").unionByName(hits.select(F.col("first").alias("doc"), F.col("at").alias("pos")).distinct()), "substring_spots")
+    discard(hits)
+    return spots
 
 
 def _windows(docs: DataFrame, spots: DataFrame, window: int, block: int) -> DataFrame:
@@ -124,6 +139,8 @@ def _windows(docs: DataFrame, spots: DataFrame, window: int, block: int) -> Data
                     if size <= 0:
                         continue
                     near = np.zeros(size + 1, dtype=np.int32)
+                    if at[0] < 0:  # a reference block with several places: all windows are looked at
+                        at = np.arange(len(hashes))
                     np.add.at(near, np.clip(at - (window - block), 0, size), 1)
                     np.add.at(near, np.clip(at + 1, 0, size), -1)
                     pos = np.flatnonzero(np.cumsum(near[:-1]) > 0)
@@ -152,16 +169,15 @@ def kept_text(words: list[bytes], starts, window: int) -> tuple[int, bytes]:
     return int(gone.sum()), b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
 
 
-def _summary(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, n_words, sha) per row: key is a 64-bit hash of the word sequence."""
+def _summary(rows: DataFrame) -> DataFrame:
+    """(doc_id, k1, k2, n_words, sha) per row; ``sha`` is the digest of all words joined by a space."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            joined = [b" ".join(split_words(t)) for t in b.pop("text")]
-            yield b.assign(key=np.array([xxhash.xxh3_64_intdigest(x) for x in joined], dtype=np.uint64).view(np.int64),
-                           n_words=[len(x.split()) for x in joined], sha=[hashlib.sha256(x).hexdigest() for x in joined])
+            words = [split_words(t) for t in b.pop("text")]
+            yield b.assign(n_words=[len(w) for w in words], sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words])
 
-    return docs.mapInPandas(run, "doc_id long, key long, n_words long, sha string")
+    return rows.mapInPandas(run, "doc_id long, k1 long, k2 int, n_words long, sha string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -171,30 +187,32 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     null doc_id are never compared (they lose nothing and remove nothing), a
     null text has no words, and rows with equal doc_ids do not count as
     smaller than each other.  Only doc_id and text are read.
+
+    Of equal texts only the one with the smallest doc_id is looked at; the
+    others lose all their words if these make a window.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     block = (window + 1) // 2
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"), "text")
     base = save(_summary(rows), "substring_base")
-    named = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    texts = save(rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).groupBy("k1", "k2")
+                 .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text")), "substring_texts")
+    release(spark)
     parts = []
     for slice_no in range(SLICES):
-        parts.append(save(_spots(named, block, slice_no), "substring_spots"))
-        release(docs.sparkSession)
-    spots = parts[0]
-    for p in parts[1:]:
-        spots = spots.unionByName(p)
-    # a later copy of a whole document loses all its words: it need not be looked at window by window
-    first = base.where("doc_id is not null").groupBy("key", "n_words").agg(F.min("doc_id").alias("first"))
-    copies = save(base.join(first, ["key", "n_words"]).where(f"doc_id > first and n_words >= {window}").select("doc_id", "key").distinct(), "substring_copies")
-    only_copies = base.where("doc_id is not null").select("doc_id", "key").distinct().join(copies, ["doc_id", "key"], "left_anti").select("doc_id")
-    alone = copies.select("doc_id").join(only_copies, "doc_id", "left_anti").distinct()
-    left = spots.join(alone, spots.doc == alone.doc_id, "left_anti")
-    windows = save(_windows(named, left, window, block), "substring_windows")
-    release(docs.sparkSession)
+        parts.append(_spots(texts, block, slice_no))
+        release(spark)
+    spots = reduce(DataFrame.unionByName, parts)
+    discard(texts)
+    named = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    windows = save(_windows(named, spots, window, block), "substring_windows")
+    discard(*parts)
+    release(spark)
     least = windows.groupBy("h1", "h2").agg(F.min("doc").alias("first"))
     repeats = save(windows.join(least, ["h1", "h2"]).where("doc > first").groupBy("doc").agg(F.collect_set("at").alias("starts")), "substring_repeats")
-    release(docs.sparkSession)
+    discard(windows)
+    release(spark)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -202,15 +220,18 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
             for t, at in zip(b["text"], b["starts"], strict=True):
                 words, at = split_words(t), np.asarray(at, dtype=np.int64)
                 done.append(kept_text(words, (at & 0xFFFFFFFF)[at >> 32 == _mark(words) >> 32], window))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_words": [len(split_words(t)) for t in b["text"]], "n_removed": [n for n, _ in done],
-                                "kept": [k.decode("utf-8", "surrogatepass") for _, k in done], "kept_sha256": [hashlib.sha256(k).hexdigest() for _, k in done]})
-
-    shape = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
-    some = rows.join(repeats, rows.doc_id == repeats.doc).select("doc_id", "text", "starts").mapInPandas(cut, shape)
-    gone = copies.select(F.col("doc_id").alias("_c"), F.col("key").alias("_ck"))
-    whole = base.join(repeats.select(F.col("doc").alias("_r")), F.col("doc_id") == F.col("_r"), "left_anti").join(
-        gone, (F.col("doc_id") == F.col("_c")) & (F.col("key") == F.col("_ck")), "left")
-    n = F.when(F.col("_c").isNotNull(), F.col("n_words")).otherwise(F.lit(0).cast("long"))
-    plain = whole.select("doc_id", "n_words", n.alias("n_removed"), F.when(n > 0, F.lit("")).cast("string").alias("kept"),
-                         F.when(n > 0, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("sha")).alias("kept_sha256"))
-    return some.unionByName(plain)
+            yield pd.DataFrame({"k1": b["k1"], "k2": b["k2"], "of": b["doc_id"], "gone": [n for n, _ in done], "kept": [k.decode("utf-8", "surrogatepass") for _, k in done],
+                                "digest": [hashlib.sha256(k).hexdigest() for _, k in done]})
+
+    some = (named.join(repeats, named.doc_id == repeats.doc).select("k1", "k2", "doc_id", "text", "starts")
+            .mapInPandas(cut, "k1 long, k2 int, of long, gone long, kept string, digest string").where("gone > 0")
+            .dropDuplicates(["k1", "k2", "of"]))
+    firsts = base.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
+    out = base.join(firsts, ["k1", "k2"], "left").join(
+        some.withColumnRenamed("of", "first"), ["k1", "k2", "first"], "left")
+    copy = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_words") >= window), F.lit(False))
+    lost = F.coalesce((F.col("doc_id") == F.col("first")) & F.col("gone").isNotNull(), F.lit(False))
+    return out.select(
+        "doc_id", "n_words", F.when(copy, F.col("n_words")).when(lost, F.col("gone")).otherwise(0).cast("long").alias("n_removed"),
+        F.when(copy, F.lit("")).when(lost, F.col("kept")).alias("kept"),
+        F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).when(lost, F.col("digest")).otherwise(F.col("sha")).alias("kept_sha256"))
