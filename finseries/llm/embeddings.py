@@ -89,7 +89,8 @@ def _pairs(nodes: DataFrame, dim: int) -> DataFrame:
     apart = [F.bit_count(F.col("ca")[i].bitwiseXOR(F.col("cb")[i])) for i in range(TABLES)]
     first = F.coalesce(*(F.when(d <= 1, i) for i, d in enumerate(apart)))
     near = (first == F.col("t")) & (sum(apart[1:], apart[0]) <= RADIUS)
-    return home.join(probe, ["label", "t", "v"]).where((F.col("a") < F.col("b")) & near).select("a", "b")
+    # both sides grow far beyond the table they are exploded from: never a broadcast
+    return home.join(probe.hint("merge"), ["label", "t", "v"]).where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def _rerank(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:

@@ -166,7 +166,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     h = fps.select("fp").mapInPandas(homes, "anchor long, a long")
     r = fps.select("fp").mapInPandas(replicas, "anchor long, b long")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return h.join(r, (h.anchor == r.anchor) & (F.col("a") < F.col("b")) & near).select("a", "b")
+    # the replicas are many times the table they come from: never a broadcast
+    return h.join(r.hint("merge"), (h.anchor == r.anchor) & (F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
