@@ -6,9 +6,14 @@
 2. Base spans are the matches that pass their format check; they always stay.
 3. Boosted trees score every candidate from its format and its context.  The
    training labels are weak: a candidate that passes a format check, or is
-   assigned to a credential name, is positive.  Training rows are the distinct
-   feature vectors of all candidates, weighted by how often each occurs.
-4. A threshold per generator is calibrated on documents that were not trained
+   assigned to a credential name, is positive.  Digit groups are learned in two
+   views that label each other (Blum and Mitchell, 1998): shapes, without cues,
+   from groups that a contact or account cue precedes and from checked matches
+   without their ``+`` or separators; and context, without shapes, from checked
+   matches alone, so a cue counts once checked matches follow it.  No view sees
+   what gives its label.  Training rows are the distinct feature vectors of all
+   candidates, weighted by how often each occurs.
+4. A threshold per generator (and view) is calibrated on documents that were not trained
    on (the lowest score at which ``precision`` is reached); candidates at or
    above it that touch no base span and no better candidate are added.
 
@@ -18,6 +23,7 @@ All positions are code points, ends exclusive.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -53,6 +59,10 @@ MIN_NUMBER_DIGITS = 7
 
 FEATURES = ["generator", "len", "digits", "letters", "upper", "separators", "dots", "distinct", "hex", "at", "plus",
             "luhn", "octets", "before", "after", "credential", "contact", "account"]
+CONTEXT_FEATURES = ["before", "after", "credential", "contact", "account"]
+#: Views (a generator's kind, or one of the two of ``number``), those that share trees together.
+SHAPE, AROUND = "number by shape", "number by context"
+GROUPS = [[*BASE_KINDS, "secret"], [SHAPE], [AROUND]]
 #: Boosting settings (documented parameters).
 TREES, DEPTH, STEP = 10, 3, 0.3
 
@@ -121,7 +131,11 @@ def _edge(c: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, thash, kind, start, end, base, features) of every proposed span, in documents that have any."""
+    """(doc_id, thash, kind, start, end, base, checked, features) of every proposed span, in documents that have any.
+
+    ``checked`` are digit groups whose digits pass a phone (after a ``+``) or card check.  What
+    stands before a digit group is looked up before its ``+``.
+    """
     text = F.col("text")
     span = "start:int,end:int,match:string"
 
@@ -131,21 +145,26 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     spans = [proposed(kind) for kind in KINDS]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("thash")).where(text.rlike("[0-9]") | F.contains(text, F.lit("@")))
+    plussed = (F.col("s.kind") == "number") & (F.col("s.start") > 0) & (F.substring("text", F.col("s.start"), F.lit(1)) == "+")
+    at = F.col("s.start") - plussed.cast("int")
     out = rows.select("doc_id", "thash", "text", F.explode(F.concat(*spans)).alias("s")).select(
         "doc_id", "thash", F.col("s.kind").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.match").alias("match"),
-        F.lower(F.substring("text", F.greatest(F.col("s.start") + 1 - CONTEXT, F.lit(1)), F.least(F.col("s.start"), F.lit(CONTEXT)))).alias("left"),
-        F.when(F.col("s.start") > 0, F.substring("text", F.col("s.start"), F.lit(1))).otherwise("").alias("prev"),
-        F.substring("text", F.col("s.end") + 1, F.lit(1)).alias("next"))
+        F.lower(F.substring("text", F.greatest(at + 1 - CONTEXT, F.lit(1)), F.least(at, F.lit(CONTEXT)))).alias("left"),
+        F.when(at > 0, F.substring("text", at, F.lit(1))).otherwise("").alias("prev"),
+        F.substring("text", F.col("s.end") + 1, F.lit(1)).alias("next"), plussed.alias("plussed"))
     m = F.col("match")
     out = out.where(F.when(F.col("kind") == "number", F.length(_digits(m)) >= MIN_NUMBER_DIGITS)
                     .when(F.col("kind") == "secret", _mixed(m)).otherwise(True))
     n = F.length(_digits(m))
+    number = F.col("kind") == "number"
+    card = n.between(13, 19) & luhn(_digits(m))
     kind_no = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("double")
 
     def flag(c: Column) -> Column:
         return F.coalesce(c, F.lit(False)).cast("double")
     return out.select(
         "doc_id", "thash", "kind", "start", "end", _valid(F.col("kind"), m).alias("base"),
+        F.coalesce(number & ((F.col("plussed") & n.between(9, 15)) | card), F.lit(False)).alias("checked"),
         kind_no.alias("generator"), F.least(F.length(m), F.lit(64)).cast("double").alias("len"),
         F.least(n, F.lit(32)).cast("double").alias("digits"),
         F.least(F.length(F.regexp_replace(m, "[^A-Za-z]", "")), F.lit(32)).cast("double").alias("letters"),
@@ -155,7 +174,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.least(F.size(F.array_distinct(F.split(m, ""))), F.lit(32)).cast("double").alias("distinct"),
         flag(m.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("hex"), flag(F.contains(m, F.lit("@"))).alias("at"),
         flag(m.startswith("+")).alias("plus"),
-        flag(n.between(13, 19) & luhn(_digits(m))).alias("luhn"),
+        flag(~number & card).alias("luhn"),
         flag(m.rlike(r"^[0-9]+(\.[0-9]+){3}$") & _octets(m)).alias("octets"),
         _edge(F.col("prev")).cast("double").alias("before"), _edge(F.col("next")).cast("double").alias("after"),
         *(flag(F.col("left").rlike(p)).alias(name) for name, p in CUES.items()))
@@ -163,8 +182,8 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class PiiModel:
-    trees: GBTClassificationModel | None
-    thresholds: dict[str, float]  # by generator; one that is missing adds nothing
+    trees: list[tuple[list[str], GBTClassificationModel]]  # by views that share them; a group without both labels has none
+    thresholds: dict[str, float]  # by view; one that is missing adds nothing
 
 
 def _calibrating(doc_id: Column) -> Column:
@@ -175,40 +194,63 @@ def _assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
 
+def _views(found: DataFrame) -> DataFrame:
+    """The candidates with ``view`` and ``cued``: a digit group once by shape and once by context, each
+    without the other's features (zero).  Digit groups that are IP addresses belong to that generator."""
+    number = F.col("kind") == "number"
+    views = F.when(number, F.array(F.lit(SHAPE), F.lit(AROUND))).otherwise(F.array("kind"))
+    rows = found.where(~(number & (F.col("octets") == 1))).withColumn("cued", number & ((F.col("contact") == 1) | (F.col("account") == 1)))
+    hidden = {c: F.when(F.col("view") == SHAPE, 0.0).otherwise(F.col(c)) for c in ("contact", "account")}
+    hidden |= {c: F.when(F.col("view") == AROUND, 0.0).otherwise(F.col(c)) for c in FEATURES if c not in ("generator", *CONTEXT_FEATURES)}
+    return rows.withColumn("view", F.explode(views)).withColumns(hidden)
+
+
+def _labelled(found: DataFrame) -> DataFrame:
+    """Training rows: the candidates' views with their weak label, and ``held``.  By context a cued group that is not checked has no label."""
+    shape = (F.col("view") == SHAPE) & F.col("cued")
+    label = F.col("base") | ((F.col("kind") == "secret") & (F.col("credential") == 1)) | F.col("checked") | shape
+    return _views(found).where(~((F.col("view") == AROUND) & F.col("cued") & ~F.col("checked"))).withColumns(
+        {"label": label.cast("double"), "held": _calibrating(F.col("doc_id"))})
+
+
 def fit(found: DataFrame, precision: float = 0.95) -> PiiModel:
     """Boost trees on the candidates' weak labels and calibrate a threshold per generator."""
-    label = (F.col("base") | ((F.col("kind") == "secret") & (F.col("credential") == 1))).cast("double")
-    rows = found.withColumn("label", label).withColumn("held", _calibrating(F.col("doc_id")))
-    vectors = save(rows.groupBy("held", "kind", "label", *FEATURES).agg(F.count("*").cast("double").alias("weight")), "pii_vectors")
-    train = vectors.where("not held")
-    if train.select("label").distinct().count() < 2:
-        return PiiModel(None, {})
-    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=5, cacheNodeIds=False).fit(
-        _assembled(train.coalesce(4)))
-    marks = (_scored(vectors.where("held"), trees).groupBy("kind", F.floor(F.col("score") * 100).alias("mark"))
-             .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("hits")).collect())  # 6 x 101 rows at most
+    vectors = save(_labelled(found).groupBy("held", "view", "label", *FEATURES).agg(F.count("*").cast("double").alias("weight")), "pii_vectors")
+    trees = []
+    for views in GROUPS:
+        train = vectors.where(~F.col("held") & F.col("view").isin(views))
+        if train.select("label").distinct().count() == 2:
+            trees.append((views, GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=5, cacheNodeIds=False).fit(
+                _assembled(train.coalesce(4)))))
+    if not trees:
+        return PiiModel([], {})
+    marks = (_scored(vectors.where("held"), trees).groupBy("view", F.floor(F.col("score") * 100).alias("mark"))
+             .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("hits")).collect())  # 7 x 101 rows at most
     thresholds = {}
-    for kind in KINDS:
+    for view in (v for views in GROUPS for v in views):
         n = hits = 0.0
-        for r in sorted((r for r in marks if r["kind"] == kind), key=lambda r: -r["mark"]):
+        for r in sorted((r for r in marks if r["view"] == view), key=lambda r: -r["mark"]):
             n, hits = n + r["n"], hits + r["hits"]
             if hits >= precision * n and r["mark"] >= 50:
-                thresholds[kind] = r["mark"] / 100
+                thresholds[view] = r["mark"] / 100
     return PiiModel(trees, thresholds)
 
 
-def _scored(found: DataFrame, trees: GBTClassificationModel) -> DataFrame:
-    return trees.transform(_assembled(found)).withColumn("score", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction")
+def _scored(found: DataFrame, trees: list[tuple[list[str], GBTClassificationModel]]) -> DataFrame:
+    """The rows of views that have trees, with their score."""
+    return reduce(DataFrame.unionByName, (
+        t.transform(_assembled(found.where(F.col("view").isin(views)))).withColumn("score", vector_to_array("probability")[1]).drop(
+            "features", "rawPrediction", "probability", "prediction") for views, t in trees))
 
 
 def spans(found: DataFrame, model: PiiModel) -> DataFrame:
     """(doc_id, thash, base, spans): base spans, and all spans, as arrays of (kind_no, start, end), sorted."""
     base = found.where("base").withColumn("score", F.lit(2.0))
     chosen = base
-    if model.trees is not None and model.thresholds:
+    if model.thresholds:
         limit = F.create_map(*(x for k, v in model.thresholds.items() for x in (F.lit(k), F.lit(v))))
-        chosen = base.unionByName(_scored(found.where("not base"), model.trees).where(F.col("score") >= limit[F.col("kind")]))
+        more = _views(found.where("not base")).where((F.col("view") != AROUND) | F.col("cued"))
+        chosen = base.unionByName(_scored(more, model.trees).where(F.col("score") >= limit[F.col("view")]).drop("view", "cued"))
     # of overlapping spans the best stays: it beats every span that touches it; base spans all stay
     rows = chosen.select("doc_id", "thash", "base", F.struct((-F.col("score")).alias("s"), (F.col("start") - F.col("end")).alias("l"), "generator", "start", "end").alias("x")).distinct()
     lists = rows.groupBy("doc_id", "thash").agg(
@@ -225,8 +267,8 @@ def find(docs: DataFrame, precision: float = 0.95) -> DataFrame:
     """One row per row of ``docs``: doc_id, base, spans (arrays of kind_no, start, end; kind_no from 1 as in KINDS).
 
     Null and empty texts have none; repeated rows each get their result; only
-    doc_id and text are read; without candidates of both labels nothing is
-    added to the base spans.
+    doc_id and text are read; a generator whose trees have no candidates of
+    both labels adds nothing to the base spans.
     """
     found = save(candidates(docs), "pii_candidates")
     marked = spans(found, fit(found, precision)).select(F.col("doc_id").alias("_id"), F.col("thash").alias("_th"), "base", "spans")

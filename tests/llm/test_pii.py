@@ -69,6 +69,49 @@ def test_secrets_are_found_and_plain_text_is_left_alone(spark):
     assert all(not r.spans for r in pii.find(cases.frame(spark, plain)).collect())
 
 
+def cued():
+    """Checked matches with and without cues, cued local phones and ids, and numbers of the same shapes without a cue."""
+    rng, out = random.Random(7), []
+
+    def digits(n):
+        return "".join(rng.choice("123456789") for _ in range(n))
+    for _ in range(60):
+        card = digits(15)
+        out += [("checked", f"your card number {card}{next(d for d in '0123456789' if luhn(card + d))} is here")]
+        out += [("checked", f"please call +49 {digits(2)} {digits(6)} now"), ("checked", f"word +49 {digits(2)} {digits(6)} word"), ("local", f"my phone: 0{digits(2)} {digits(6)} thanks"),
+                ("id", f"with passport no {digits(8)} at hand"), ("plain", f"order {digits(8)} was sent"), ("plain", f"part 0{digits(2)} {digits(6)} is here")]
+    return out
+
+
+def test_cued_numbers_are_found_and_uncued_ones_of_their_shape_are_not(spark):
+    rows = [(i, t, "en", "s", len(t)) for i, (_, t) in enumerate(cued())]
+    by = {r.doc_id: r.spans for r in pii.find(cases.frame(spark, rows)).collect()}
+    for i, (kind, t) in enumerate(cued()):
+        number = re.search(r"[0-9][0-9 ]*[0-9]", t)
+        got = [(s.kind_no, s.start, s.end) for s in by[i]]
+        if kind in ("local", "id"):
+            assert got == [(pii.KINDS.index("number") + 1, number.start(), number.end())], t
+        elif kind == "plain":
+            assert not got, t
+
+
+def test_a_number_shaped_like_checked_ones_is_found_without_its_plus(spark):
+    checked = [f"on +1 ({200 + i}) 555-{1000 + 7 * i} and" for i in range(80)] + [f"item {10000000 + 9 * i} and" for i in range(80)]
+    texts = [*checked, "on 1 (345) 555-6789 and", "item 87654321 and"]
+    by = {r.doc_id: r.s for r in pii.find(cases.frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])).select(
+        "doc_id", pii.span_text(F.col("spans")).alias("s")).collect()}
+    assert by[160] == "number:3:19" and by[161] == "" and by[0] == "phone:3:20"
+
+
+def test_no_view_sees_what_gives_its_label(spark):
+    rows = [(1, "phone 030 1234567", "en", "s", 1), (2, "phone +49 30 1234567", "en", "s", 1), (3, "x 4111.1111.1111.1111", "en", "s", 1)]
+    found = pii._labelled(pii.candidates(cases.frame(spark, rows)).where("kind = 'number'")).collect()
+    shape, around = ({r.doc_id: r for r in found if r.view == v} for v in (pii.SHAPE, pii.AROUND))
+    assert {i: r.label for i, r in shape.items()} == {1: 1, 2: 1, 3: 1} and {i: r.label for i, r in around.items()} == {2: 1, 3: 1}
+    assert not any(r.contact or r.account or r.luhn or r.plus or r.before for r in shape.values()) and shape[2].digits == 11
+    assert around[2].contact == 1 and not any(r.digits or r.len or r.separators for r in around.values())
+
+
 def test_redaction_replaces_spans_and_keeps_columns(spark):
     df = cases.frame(spark, rows())
     out = {r.doc_id: r for r in pii.redact(df).collect() if r.doc_id is not None}
