@@ -7,9 +7,12 @@ into ``TABLES`` chunks (Norouzi, Punjani and Fleet, 2012).  Two vectors of one
 label whose codes differ in fewer than ``2 * TABLES`` bits agree in some chunk
 but for one bit at most, so each distinct vector is looked up under its chunk
 values and all values one bit away; more bits are found with a probability that
-the tests measure.  A pair is taken from the first table in which it meets, its
-whole codes must be within ``RADIUS`` bits, and it is reranked with the
-original vectors in double precision.
+the tests measure.  Where vectors share a direction, near pairs differ in more
+bits: pairs at the threshold are planted around the sample, and tables are added
+until ``RECALL`` of these meet (``MOST_TABLES`` at most).  A pair is taken from
+the first table in which it meets, its whole codes must be within ``RADIUS``
+bits (more if the planted pairs' are), and it is reranked with the original
+vectors in double precision.
 
 Equal vectors of a label are one node with a count, so a vector repeated
 thousands of times costs one row.
@@ -37,6 +40,9 @@ TABLES = 6
 CHUNK = BITS // TABLES
 #: Candidates differ in this many bits at most (a cosine of 0.98 gives about 6 of 96).
 RADIUS = 24
+#: Share of planted pairs that must meet, and the most tables that are made for it.
+RECALL = 0.99
+MOST_TABLES = 96
 #: Rows reranked at once inside a task.
 RERANK_ROWS = 4_000
 
@@ -60,20 +66,42 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, seed: int = 11) -> tupl
 
 
 def codes(vectors: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """(vectors x tables) of chunk values."""
+    """(vectors x tables) of chunk values, 16 columns of the projection each."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     bits = np.packbits((unit - mean) @ projection >= 0, axis=1, bitorder="little")
     return np.ascontiguousarray(bits).view("<u2").astype(np.int32)
 
 
+def planted(sample: np.ndarray, threshold: float, seed: int = 5) -> np.ndarray:
+    """One vector per vector of ``sample``, at a cosine of just ``threshold`` in a random direction."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    side = np.random.default_rng(seed).standard_normal(unit.shape)
+    side -= (side * unit).sum(axis=1, keepdims=True) * unit
+    return threshold * unit + np.sqrt(1 - threshold ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+def choose_tables(sample: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(mean, projection, radius): the fewest tables in which ``RECALL`` of the planted pairs meet, doubled from ``TABLES``."""
+    tables = TABLES
+    while True:
+        mean, projection = learn_rotation(sample, CHUNK * tables)
+        radius = RADIUS * tables // TABLES
+        if sample.shape[1] < 2 or not 0 < threshold < 1:
+            return mean, projection, radius
+        apart = np.bitwise_count(codes(sample, mean, projection) ^ codes(planted(sample, threshold), mean, projection))
+        if (apart.min(axis=1) <= 1).mean() >= RECALL or 2 * tables > MOST_TABLES:
+            return mean, projection, max(radius, int(np.quantile(apart.sum(axis=1), 0.999)))
+        tables *= 2
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64)
 
 
-def _pairs(nodes: DataFrame, dim: int) -> DataFrame:
+def _pairs(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
     """(a, b): distinct vectors of one label and ``dim`` dimensions with close codes, each pair once, a < b."""
     some = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("embedding").toPandas()
-    mean, projection = learn_rotation(_matrix(some["embedding"]))
+    mean, projection, radius = choose_tables(_matrix(some["embedding"]), threshold)
     kind = nodes.schema["label"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,9 +114,9 @@ def _pairs(nodes: DataFrame, dim: int) -> DataFrame:
     flips = F.transform(F.sequence(F.lit(-1), F.lit(CHUNK - 1)), lambda i: F.when(i < 0, 0).otherwise(F.call_function("shiftleft", F.lit(1), i)))
     probe = (coded.select("label", F.col("node").alias("b"), F.col("code").alias("cb"), F.posexplode("code").alias("t", "w"))
              .select("label", "b", "cb", "t", F.explode(F.transform(flips, lambda m: F.col("w").bitwiseXOR(m))).alias("v")))
-    apart = [F.bit_count(F.col("ca")[i].bitwiseXOR(F.col("cb")[i])) for i in range(TABLES)]
+    apart = [F.bit_count(F.col("ca")[i].bitwiseXOR(F.col("cb")[i])) for i in range(projection.shape[1] // CHUNK)]
     first = F.coalesce(*(F.when(d <= 1, i) for i, d in enumerate(apart)))
-    near = (first == F.col("t")) & (sum(apart[1:], apart[0]) <= RADIUS)
+    near = (first == F.col("t")) & (sum(apart[1:], apart[0]) <= radius)
     # both sides grow far beyond the table they are exploded from: never a broadcast
     return home.join(probe.hint("merge"), ["label", "t", "v"]).where((F.col("a") < F.col("b")) & near).select("a", "b")
 
@@ -127,7 +155,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     links = spark.createDataFrame([], "a long, b long")
     for (dim,) in nodes.select(F.size("embedding")).distinct().collect():  # vector lengths: one, as a rule
         own = nodes.where(F.size("embedding") == dim)
-        links = links.unionByName(save(_rerank(_pairs(own, dim), own, threshold), "itq_links"))
+        links = links.unionByName(save(_rerank(_pairs(own, dim, threshold), own, threshold), "itq_links"))
     release(spark)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"))

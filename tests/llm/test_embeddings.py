@@ -69,5 +69,31 @@ def test_recall_near_the_threshold():
     assert abs(np.unpackbits(a.astype("<u2").view(np.uint8)).mean() - 0.5) < 0.05  # balanced bits
 
 
+def test_recall_with_a_large_common_component():
+    """Unit vectors of mean pair cosine 0.9; other pairs at 0.98 than those planted to choose the tables."""
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(3000, 64))
+    base = np.sqrt(0.1) * base / np.linalg.norm(base, axis=1, keepdims=True) + np.sqrt(0.9) * np.eye(64)[0]
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near = embeddings.planted(base, 0.98, seed=17)
+    assert np.allclose((base * near).sum(axis=1) / np.linalg.norm(near, axis=1), 0.98)
+    mean, projection, radius = embeddings.choose_tables(base, 0.98)
+    apart = np.bitwise_count(embeddings.codes(base, mean, projection) ^ embeddings.codes(near, mean, projection))
+    assert ((apart.min(axis=1) <= 1) & (apart.sum(axis=1) <= radius)).mean() >= 0.98
+
+
+def test_vectors_without_a_common_component_keep_six_tables():
+    base = np.random.default_rng(9).normal(size=(3000, 64))
+    _, projection, radius = embeddings.choose_tables(base, 0.98)
+    assert projection.shape[1] == embeddings.BITS and radius == embeddings.RADIUS
+
+
+def test_shared_direction_equals_brute_force(spark):
+    rows = [(r[0], [x + 12.0 * (j == 0) for j, x in enumerate(r[1])], r[2]) for r in vectors()[:150]]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    want = brute(rows)
+    assert sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in want) > 0
+
+
 def test_empty_table(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
