@@ -8,11 +8,14 @@ the sum of all committed batches' totals; no document is looked at twice.
 A batch commits by writing its totals to ``<ledger>/batch=<id>``.  The folder
 counts once Spark's ``_SUCCESS`` marker is in it; a batch id that has one is
 never applied again, and an unfinished write (a lost driver) is simply written
-over.  ``compact`` folds committed batches into one, keeping their ids.
+over.  ``compact`` folds committed batches into ``<ledger>/compacted=<digest>``;
+their ids, however many, are the rows of ``<ledger>/ids=<digest>``, which is
+complete before the totals are written.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,47 +67,61 @@ def _fs(spark: SparkSession, path: str):
 
 def committed(spark: SparkSession, ledger: str) -> list[str]:
     """Ids of the committed batches (a compacted batch is named by all of its ids)."""
+    return sorted("+".join(sorted(ids)) for ids in _folders(spark, ledger).values())
+
+
+def _folders(spark: SparkSession, ledger: str) -> dict[str, set[str]]:
+    """Ids of the committed batches in each complete folder."""
     path, fs, root = _fs(spark, ledger)
     if not fs.exists(root):
-        return []
-    names = (s.getPath() for s in fs.listStatus(root) if s.isDirectory())
-    return sorted(p.getName()[len("batch="):] for p in names if p.getName().startswith("batch=") and fs.exists(path(p, "_SUCCESS")))
+        return {}
+    out = {}
+    for p in (s.getPath() for s in fs.listStatus(root) if s.isDirectory()):
+        kind, _, name = p.getName().partition("=")
+        if kind in ("batch", "compacted") and fs.exists(path(p, "_SUCCESS")):
+            out[p.getName()] = set(name.split("+")) if kind == "batch" else {
+                r.id for r in spark.read.schema("id string").parquet(f"{ledger}/ids={name}").collect()}  # one per batch
+    return out
 
 
 def commit(spark: SparkSession, ledger: str, batch_id: str, changes: DataFrame) -> bool:
     """Apply a batch once; False if this id was committed before."""
     if not re.fullmatch(r"[A-Za-z0-9_-]+", batch_id):
         raise ValueError(f"batch id {batch_id!r}: letters, digits, _ and - only")
-    if any(batch_id in name.split("+") for name in committed(spark, ledger)):
+    if any(batch_id in ids for ids in _folders(spark, ledger).values()):
         return False
     batch_totals(changes).write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}")
     return True
 
 
-def _live(spark: SparkSession, ledger: str) -> list[str]:
-    """Committed batches without those that a compacted one covers."""
-    names = committed(spark, ledger)
-    parts = {n: set(n.split("+")) for n in names}
-    return [n for n in names if not any(parts[n] < parts[m] for m in names)]
+def _live(spark: SparkSession, ledger: str) -> dict[str, set[str]]:
+    """Folders of committed batches, with their ids, without those that a compacted one covers."""
+    parts = _folders(spark, ledger)
+    return {n: ids for n, ids in parts.items() if not any(ids < other or (ids == other and m < n) for m, other in parts.items())}
 
 
 def rollup(spark: SparkSession, ledger: str) -> DataFrame:
     """source, lang, tokenizer, n_docs, n_tokens over all committed batches; groups whose documents all left are gone."""
-    names = _live(spark, ledger)
+    names = sorted(_live(spark, ledger))
     if not names:
         return spark.createDataFrame([], TOTALS)
-    rows = spark.read.schema(TOTALS).parquet(*(f"{ledger}/batch={n}" for n in names))
+    rows = spark.read.schema(TOTALS).parquet(*(f"{ledger}/{n}" for n in names))
     totals = rows.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     return totals.where("n_docs <> 0 OR n_tokens <> 0")
 
 
 def compact(spark: SparkSession, ledger: str) -> None:
     """Fold the committed batches into one; readers switch when it is complete, then the parts are deleted."""
-    names = _live(spark, ledger)
-    if len(names) < 2:
+    live = _live(spark, ledger)
+    if len(live) < 2:
         return
+    ids = sorted(set().union(*live.values()))
+    digest = hashlib.sha256("+".join(ids).encode()).hexdigest()[:32]
     rows = save(rollup(spark, ledger), "rollup")
-    rows.write.mode("overwrite").parquet(f"{ledger}/batch={'+'.join(sorted(x for n in names for x in n.split('+')))}")
+    spark.createDataFrame([(i,) for i in ids], "id string").coalesce(1).write.mode("overwrite").parquet(f"{ledger}/ids={digest}")
+    rows.write.mode("overwrite").parquet(f"{ledger}/compacted={digest}")
     path, fs, _ = _fs(spark, ledger)
-    for n in names:
-        fs.delete(path(f"{ledger}/batch={n}"), True)
+    for n in live:
+        fs.delete(path(f"{ledger}/{n}"), True)
+        if n.startswith("compacted="):
+            fs.delete(path(f"{ledger}/ids={n.partition('=')[2]}"), True)

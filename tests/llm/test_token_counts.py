@@ -51,6 +51,22 @@ def test_compaction_that_stopped_before_its_cleanup(spark):
     assert totals(spark, ledger) == {("a", "en", "v1"): (2, 10)}
 
 
+def test_many_batches_fold_into_a_short_name(spark):
+    ledger = scratch_path(spark, "ledger")
+    rows = counts(spark, [("a", "en", 5)], "n").coalesce(1)
+    days = [f"2024-01-{i:02d}-{'x' * 60}" for i in range(1, 7)]
+    for d in days[:5]:
+        tc.commit(spark, ledger, d, tc.inserts(rows, "v1", "n"))
+    tc.compact(spark, ledger)
+    assert tc.committed(spark, ledger) == ["+".join(days[:5])] and totals(spark, ledger) == {("a", "en", "v1"): (5, 25)}
+    assert not tc.commit(spark, ledger, days[2], tc.inserts(rows, "v1", "n"))
+    assert tc.commit(spark, ledger, days[5], tc.inserts(rows, "v1", "n"))
+    tc.compact(spark, ledger)
+    assert tc.committed(spark, ledger) == ["+".join(days)] and totals(spark, ledger) == {("a", "en", "v1"): (6, 30)}
+    path, fs, root = tc._fs(spark, ledger)
+    assert sorted(s.getPath().getName().split("=")[0] for s in fs.listStatus(root)) == ["compacted", "ids"]
+
+
 def test_counters(spark):
     from pyspark.sql import functions as F
     for doc_id, text, *_ in cases.corpus():
