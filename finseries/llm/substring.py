@@ -203,6 +203,9 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     for slice_no in range(SLICES):
         parts.append(_spots(texts, block, slice_no))
         release(spark)
+    # texts that share a doc_id may hold a reference block at different places: all of their places are looked at
+    shared = save(texts.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("doc"), F.lit(-1).alias("pos")), "substring_shared")
+    parts.append(shared)
     spots = reduce(DataFrame.unionByName, parts)
     discard(texts)
     named = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())

@@ -49,5 +49,13 @@ def test_repeats_longer_than_fifty_words_go_from_all_but_the_first(spark):
     assert got[3].kept == "own3 end3"
 
 
+def test_texts_of_one_doc_id_with_a_block_at_different_places(spark):
+    p, q, r, w = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 7), ("q", 6), ("r", 6), ("w", 7)))
+    rows = [(1, f"{p} {r}", "en", "s", 1), (1, f"{w} {p} {q}", "en", "s", 1), (2, f"x y {p} {q} z", "en", "s", 1), (3, f"x {p} {r} z", "en", "s", 1)]
+    got = substring.remove_repeats(cases.frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == brute(rows)
+    assert {r.doc_id: r.n_removed for r in got if r.doc_id > 1} == {2: 13, 3: 13}
+
+
 def test_empty_table(spark):
     assert substring.remove_repeats(cases.frame(spark, [])).count() == 0
