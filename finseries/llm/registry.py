@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm import decontaminate, embeddings, langid, licenses, pii, sentencepiece, simhash, substring, suffix, token_counts
+from finseries.llm import (
+    conversations, decontaminate, embeddings, langid, licenses, pii, sentencepiece, simhash, substring, suffix, token_counts, topk,
+)
 from finseries.llm.common import load, save
 from finseries.session import scratch_path
 
@@ -93,6 +95,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 100; candidates are all rows but the query's own."""
+    return topk.top_k(load(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation of the table, also one that loses all its rows to the damage."""
+    convs = load(spark, sf_dir, "conversations")
+    found = conversations.repair(conversations.damage(convs))
+    of, digest = found.conversations.withColumnRenamed("conv_id", "of"), found.digests().withColumnRenamed("conv_id", "by")
+    out = (convs.select("conv_id").distinct()
+           .join(of, F.col("conv_id").eqNullSafe(F.col("of")), "left").join(digest, F.col("conv_id").eqNullSafe(F.col("by")), "left"))
+    zero = F.lit(0).cast("long")
+    counts = [F.when(F.col("n_turns").isNull(), zero).otherwise(F.col(c)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dups": op2_simhash_near_dups,
@@ -104,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii": op10_pii,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: DuckDB: the words of a text, A-Z lower-cased.
@@ -114,7 +135,74 @@ _WORDS = r"""list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEF
 _TEMPLATE_ROWS = ", ".join(f"('{label}', {licenses.tokens_of(text)})" for text, label in licenses.TEMPLATES)
 _PHRASE_ROWS = ", ".join(f"('{label}', {phrase.split(' ')})" for phrase, label in licenses.PHRASES)
 
+#: DuckDB: crc32 of an ASCII string, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+#: DuckDB: the cheapest (cost, audit) of several ways; a way that is not open costs ``_NEVER``.
+_NEVER = 1_000_000_000
+
+
+def _way(state: str, cost: str, edit: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+
+
+def _kept(states: list[str], initial: str, rerole: bool) -> str:
+    """The ways into a position by keeping or reroling a turn, from each position in ``states``."""
+    ways = []
+    for state in states:
+        ways.append(f"{{'c': {state}.c + CASE WHEN f IN (1, 2) OR i <> '{initial}' THEN {_NEVER} WHEN f = 3 THEN 5 ELSE 0 END, 'a': {state}.a || 'K'}}")
+        if rerole:
+            ways.append(f"{{'c': {state}.c + CASE WHEN f IN (1, 2) THEN {_NEVER} WHEN f = 3 THEN 6 ELSE 1 END, 'a': {state}.a || 'R'}}")
+    return ", ".join(ways)
+
+
 ORACLE: dict[str, str] = {
+    "op12_exact_top_k": r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.r <> c.r AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM k WHERE n <= 10""",
+    "op13_conversation_repair": f"""
+WITH RECURSIVE base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+              {_CRC32.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS h FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                   CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM base, LATERAL (SELECT unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END)) WHERE h <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p FROM damaged),
+judged AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS f,
+                  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 1) AS blank,
+                  count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated,
+                  count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+edited(conv_id, p, n0, n1, n2, n3) AS (
+    SELECT conv_id, 0::BIGINT, {{'c': 0::BIGINT, 'a': ''}}, {{'c': {_NEVER}::BIGINT, 'a': ''}}, {{'c': 5::BIGINT, 'a': 'I'}}, {{'c': 10::BIGINT, 'a': 'II'}} FROM counts
+    UNION ALL
+    SELECT conv_id, p, e0, e1, list_min([e2, {_way('e0', '5', 'I')}, {_way('e1', '5', 'I')}, {_way('e3', '5', 'I')}]),
+           list_min([e3, {_way('e2', '5', 'I')}, {_way('e0', '10', 'II')}, {_way('e1', '10', 'II')}])
+    FROM (SELECT e.conv_id, j.p, {_way('n0', '2', 'D')} AS e0, list_min([{_way('n1', '2', 'D')}, {_kept(['n0'], 's', False)}]) AS e1,
+                 list_min([{_way('n2', '2', 'D')}, {_kept(['n0', 'n1', 'n3'], 'u', True)}]) AS e2,
+                 list_min([{_way('n3', '2', 'D')}, {_kept(['n2'], 'a', True)}]) AS e3
+          FROM edited e JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.p = e.p + 1)),
+best AS (SELECT c.conv_id, list_min([e.n0, e.n3]) AS b FROM counts c JOIN edited e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.p = c.n),
+marks AS (SELECT conv_id, k, b.a[k] AS edit FROM best, LATERAL (SELECT unnest(range(1, len(b.a) + 1)) AS k)),
+numbered AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS p FROM marks),
+kept AS (SELECT m.*, j.role, j.text, row_number() OVER (PARTITION BY m.conv_id ORDER BY k) AS o FROM numbered m
+         LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM m.conv_id AND j.p = m.p WHERE edit <> 'D'),
+headed AS (SELECT *, max(CASE WHEN o = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS s FROM kept),
+lines AS (SELECT conv_id, k, CASE WHEN edit = 'K' THEN role WHEN (o - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                 CASE WHEN edit = 'I' THEN '' ELSE text END AS line FROM headed),
+repaired AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS text FROM lines GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(b.b.c, 0) AS cost, coalesce(b.b.a, '') AS audit,
+       sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id""",
     "op5_embedding_near_dups": r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 fine AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0

@@ -1,0 +1,153 @@
+import hashlib
+import itertools
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from finseries.llm import conversations as C
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SHAPE = re.compile("(s?(ua)+)?")
+
+
+def ordered(rows):
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        by[conv].append((turn is not None, turn or 0, role, hashlib.sha256(text.encode()).hexdigest(), text))
+    return {c: [(t[1] if t[0] else None, t[2], t[4]) for t in sorted(v)] for c, v in by.items()}
+
+
+def faults(turns):
+    seen, out = set(), []
+    for _, role, text in turns:
+        shown = text.rstrip(" \t\n\x0b\x0c\r")
+        out.append(1 if not shown else 2 if (role, text) in seen else 3 if shown[-1] not in ".!?" else 0)
+        seen.add((role, text))
+    return out
+
+
+def cheapest(turns, most_inserts=2):
+    """Every way of editing, with at most two insertions in each gap; the least (cost, audit, repaired)."""
+    kinds, best = faults(turns), None
+    gaps = [""] + [x for n in range(1, most_inserts + 1) for x in map("".join, itertools.product("ua", repeat=n))]
+    own = []
+    for (_, role, text), f in zip(turns, kinds):
+        ways = [(2, "D", [])]
+        if f not in (1, 2):
+            more = 5 if f == 3 else 0
+            ways += [(more, "K", [(role, text)])] + [(more + 1, "R", [(r, text)]) for r in ("user", "assistant")]
+        own.append(ways)
+    spare = [[(5 * len(g), "I" * len(g), [("user" if x == "u" else "assistant", "") for x in g]) for g in gaps]]
+    for way in itertools.product(*itertools.chain(spare, *([w] + spare for w in own))):
+        out = [t for _, _, ts in way for t in ts]
+        if SHAPE.fullmatch("".join(r[:1] or "?" for r, _ in out)):
+            new = (sum(c for c, _, _ in way), "".join(a for _, a, _ in way), out)
+            best = new if best is None or new[:2] < best[:2] else best
+    return best
+
+
+def result(rep):
+    sha = {r.conv_id: r.sha for r in rep.digests().collect()}
+    return {r.conv_id: (r.n_turns, r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, sha.get(r.conv_id)) for r in rep.conversations.collect()}
+
+
+def expected(rows, solve=cheapest):
+    out = {}
+    for conv, turns in ordered(rows).items():
+        f, (cost, audit, done) = faults(turns), solve(turns)
+        named = [t for t, _, _ in turns if t is not None]
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(turns, turns[1:])]
+        sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in done).encode()).hexdigest() if done else None
+        out[conv] = (len(turns), max(named) - min(named) + 1 - len(set(named)) if named else 0, f.count(1), f.count(2), f.count(3),
+                     sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, sha)
+    return out
+
+
+def random_rows(seed, convs, longest):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(convs):
+        for t in range(rng.randrange(1, longest + 1)):
+            role = rng.choice(["system", "user", "assistant", "user", "assistant", "tool", "", None])
+            rows.append((c if c else None, rng.choice([t, t, t, t + 3, None]), role, rng.choice([None, "", " \n", "Yes.", "No", "Why?", f"Text {rng.random()}!\n", "Yes.\x0b"])))
+    return rows
+
+
+def test_equals_exhaustive_repair(spark):
+    rows = random_rows(1, 40, 3) + [((1 << 60) + 1, 0, "user", "Hi."), ((1 << 60) + 1, 1, "assistant", "Ho.")]
+    assert result(C.repair(spark.createDataFrame(rows, SCHEMA))) == expected(rows)
+
+
+def solve_by_steps(turns):
+    """Turn by turn from the left over the positions of the expression (the exhaustive way is too slow here)."""
+    kinds = faults(turns)
+    moves = {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}
+
+    def filled(ways):
+        for _ in range(3):
+            for p, (c, a, out) in list(ways.items()):
+                for x, name in (("u", "user"), ("a", "assistant")):
+                    q = moves[x].get(p)
+                    if q and (q not in ways or (c + 5, a + "I") < ways[q][:2]):
+                        ways[q] = (c + 5, a + "I", out + [(name, "")])
+        return ways
+
+    ways = filled({0: (0, "", [])})
+    for (_, role, text), f in zip(turns, kinds):
+        new = {p: (c + 2, a + "D", out) for p, (c, a, out) in ways.items()}
+        if f not in (1, 2):
+            more = 5 if f == 3 else 0
+            for p, (c, a, out) in ways.items():
+                for cost, edit, name in ((more, "K", role), (more + 1, "R", "user"), (more + 1, "R", "assistant")):
+                    q = moves.get(name[:1], {}).get(p)
+                    if q and (q not in new or (c + cost, a + edit) < new[q][:2]):
+                        new[q] = (c + cost, a + edit, out + [(name, text)])
+        ways = filled(new)
+    return min((ways[p] for p in (0, 3) if p in ways), key=lambda w: w[:2])
+
+
+@pytest.mark.parametrize("span", [4, 64])
+def test_conversations_longer_than_a_span(spark, span):
+    rows = random_rows(2, 12, 60) + [(77, i, random.Random(i).choice(["user", "assistant"]), f"Line {i % 50}.") for i in range(900)]
+    assert result(C.repair(spark.createDataFrame(rows, SCHEMA).repartition(5), span=span)) == expected(rows, solve_by_steps)
+
+
+def test_any_split_gives_the_same_cell():
+    rng = random.Random(4)
+    turns = [(rng.choice("suax"), rng.randrange(4)) for _ in range(9)]
+    for k in range(1, 9):
+        assert C.join(C.parse(turns[:k]), C.parse(turns[k:])) == C.parse(turns)
+
+
+def test_repeated_rows_empty_tables_and_clashing_columns(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 0, "user", "Hi."), (1, 1, "assistant", "Ho."), (None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("key", "seq", "chunk", "fault", "span", "first", "row", "mark")})
+    assert result(C.repair(df)) == expected(rows)
+    empty = C.repair(df.limit(0))
+    assert empty.conversations.count() == 0 and empty.turns.count() == 0 and empty.digests().count() == 0
+
+
+def test_very_long_texts_and_repaired_turns(spark):
+    rows = [(5, 0, "assistant", "word " * 200_000 + "."), (5, 1, "system", "Be kind."), (5, 2, "assistant", "x" * 500_000 + "!")]
+    rep = C.repair(spark.createDataFrame(rows, SCHEMA))
+    assert result(rep) == expected(rows)
+    got = [(r.role, len(r.text)) for r in rep.turns.orderBy("span", "at").collect()]
+    assert SHAPE.fullmatch("".join(r[0] for r, _ in got))
+
+
+def test_damage(spark):
+    import zlib
+    rows = [(c, t, "assistant", "Hi! Yes.") for c in range(40) for t in (0, 1, 2)] + [(None, 1, None, None), (3, None, "user", "A?")]
+    want = []
+    for c, t, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        h = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        if h:
+            row = (c, t, "user" if h == 4 else role, "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text)
+            want += [row] * (2 if h == 3 else 1)
+    got = [tuple(r) for r in C.damage(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)

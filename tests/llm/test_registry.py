@@ -13,7 +13,7 @@ from finseries.llm.common import load
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{cases.SF}/{t}.parquet')")
     return con
 
