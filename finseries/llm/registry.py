@@ -173,9 +173,9 @@ damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS r
                    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
             FROM base, LATERAL (SELECT unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END)) WHERE h <> 0),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p FROM damaged),
-judged AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+judged AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 2
-                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS f,
+                  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 3 ELSE 0 END AS f,
                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
 counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 1) AS blank,
                   count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated,
