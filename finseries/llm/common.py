@@ -8,9 +8,13 @@ of a result with it.
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from finseries.session import scratch_path
 
@@ -54,6 +58,31 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def map_texts(rows: DataFrame, make: Callable[[], Callable[[list], dict]], shape: str, at_once: int = 2_000) -> DataFrame:
+    """``rows`` with column ``text`` replaced by the columns of ``shape``.
+
+    ``make()`` is called once per task and gives a function from a list of at
+    most ``at_once`` texts to a dict of columns.  All other columns pass as the
+    Arrow arrays they are, so a null beside a 64-bit id changes neither.
+    """
+    kept = [c for c in rows.columns if c != "text"]
+    more = StructType.fromDDL(shape)
+    schema = StructType([rows.schema[c] for c in kept] + more.fields)
+    arrow, text_at = to_arrow_schema(schema), rows.columns.index("text")
+    kept_at = [i for i in range(len(rows.columns)) if i != text_at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for whole in batches:
+            for i in range(0, whole.num_rows, at_once):
+                b = whole.slice(i, at_once)
+                made = compute(b.column(text_at).to_pylist())
+                new = [pa.array(made[f.name], type=arrow.field(f.name).type) for f in more.fields]
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept_at), *new], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other letters)."""
     return F.translate(c, UPPER, LOWER)

@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,6 +41,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 REROLE, DELETE, INSERT, STAYS = 1, 2, 5, 5
 #: Turns of a cell at most.
 SPAN = 512
+#: Rows handed to Arrow at once.
+OUT_ROWS = 2_000
 
 FAULTS = ("", "blank", "duplicate", "truncated")
 #: Positions in the expression: nothing yet, after s, after u, after a; the first and last are ends.
@@ -112,33 +115,37 @@ def rewrite(audit: str, state: int, roles: list[str], texts: list[str]) -> list[
     return out
 
 
-def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Rows of one key after the other, from rows in which keys stand together; a key may cross batches."""
-    key, held = None, []
-    for whole in batches:
-        for k, part in whole.groupby(by, sort=False):
-            if k != key and held:
-                yield key, pd.concat(held)
-                held = []
-            key = k
-            held.append(part)
+def _groups(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[str, list[tuple]]]:
+    """(key, rows as tuples of ``columns``) of one span after the other, from rows in which
+    (chunk, key) stand together; a span may cross batches."""
+    own, held = None, []
+    for b in batches:
+        for at, row in zip(zip(b["chunk"].tolist(), b["key"].tolist(), strict=True), zip(*(b[c].tolist() for c in columns), strict=True), strict=True):
+            if at != own:
+                if held:
+                    yield own[1], held
+                own, held = at, []
+            held.append(row)
     if held:
-        yield key, pd.concat(held)
+        yield own[1], held
+
+
+def _frames(columns: list[str], rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    """Tuples as frames of bounded size."""
+    while held := list(islice(rows, OUT_ROWS)):
+        yield pd.DataFrame(held, columns=columns)
 
 
 def _span_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = []
-    for (_, key), g in _groups(batches, ["chunk", "key"]):
-        initials = g["initial"].tolist()
-        cell = parse(list(zip(initials, g["fault"].tolist(), strict=True)))
-        illegal = sum(a + b not in PAIRS for a, b in zip(initials, initials[1:]))
-        rows.append((key, int(g["seq"].iloc[0]), illegal, initials[0], initials[-1],
-                     [p * STATES + q for p, q in cell], [c for c, _ in cell.values()], [a for _, a in cell.values()]))
-        if len(rows) >= 2_000:
-            yield pd.DataFrame(rows, columns=["key", "span", "illegal", "first", "last", "moves", "costs", "audits"])
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=["key", "span", "illegal", "first", "last", "moves", "costs", "audits"])
+    def rows() -> Iterator[tuple]:
+        for key, g in _groups(batches, ["seq", "initial", "fault"]):
+            initials = [r[1] for r in g]
+            cell = parse([(r[1], r[2]) for r in g])
+            illegal = sum(a + b not in PAIRS for a, b in zip(initials, initials[1:]))
+            yield (key, g[0][0], illegal, initials[0], initials[-1],
+                   [p * STATES + q for p, q in cell], [c for c, _ in cell.values()], [a for _, a in cell.values()])
+
+    return _frames(["key", "span", "illegal", "first", "last", "moves", "costs", "audits"], rows())
 
 
 _CELLS = "key string, span long, illegal long, first string, last string, moves array<int>, costs array<long>, audits array<string>"
@@ -147,84 +154,70 @@ _PATHS = "key string, span long, state int, piece string, ends boolean, cost lon
 
 def _follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The best way through each conversation's cells, read one after the other."""
-    key, last, illegal = None, None, 0
-    best: dict[int, tuple[int, str]] = {}
-    way: list[tuple[int, dict[int, tuple[int, str]]]] = []  # per span: position reached -> (position entered, audit)
+    lead = {q: v for (p, q), v in insertions() if p == 0}  # turns may be inserted in front of the first one
 
-    def done() -> pd.DataFrame:
+    def done(key: str, illegal: int, best: Cell, way: list) -> Iterator[tuple]:
         state = min((q for q in ENDS if q in best), key=lambda q: best[q])
-        cost, audit = best[state]
-        out = []
+        ends = (True, *best[state], illegal)
         for span, back in reversed(way):
             entered, piece = back[state]
-            out.append((key, span, entered, piece, False, -1, "", -1))
-            state = entered
-        out[0] = (*out[0][:4], True, cost, audit, illegal)
-        return pd.DataFrame(out, columns=["key", "span", "state", "piece", "ends", "cost", "audit", "illegal"])
-
-    held, n = [], 0
-    for b in batches:
-        for k, span, bad, first, end, moves, costs, audits in zip(*(b[c] for c in ("key", "span", "illegal", "first", "last", "moves", "costs", "audits")), strict=True):
-            if k != key:
-                if key is not None:
-                    held.append(done())
-                    n += len(held[-1])
-                    if n >= 2_000:
-                        yield pd.concat(held)
-                        held, n = [], 0
-                # turns may be inserted in front of the first one
-                key, last, illegal, way = k, None, 0, []
-                best = {q: v for (p, q), v in insertions() if p == 0}
-                lead = dict(best)
-            illegal += bad + (last is not None and last + first not in PAIRS)
-            last = end
-            into: dict[int, tuple[int, str]] = {}
-            back: dict[int, tuple[int, str]] = {}
-            for m, c, a in zip(moves, costs, audits, strict=True):
-                p, q = divmod(int(m), STATES)
-                if p in best:
-                    new = (best[p][0] + int(c), best[p][1] + a)
-                    if q not in into or new < into[q]:
-                        into[q] = new
-                        # the first span's piece begins with what was inserted in front of it
-                        back[q] = (0, lead[p][1] + a) if not way else (p, a)
-            way.append((int(span), back))
-            best = into
-    if key is not None:
-        held.append(done())
-    if held:
-        yield pd.concat(held)
+            yield (key, span, entered, piece, *ends)
+            state, ends = entered, (False, -1, "", -1)
+
+    def rows() -> Iterator[tuple]:
+        key, last, illegal, best, way = None, None, 0, {}, []
+        for b in batches:
+            for k, span, bad, first, end, moves, costs, audits in zip(*(b[c].tolist() for c in ("key", "span", "illegal", "first", "last", "moves", "costs", "audits")), strict=True):
+                if k != key:
+                    if key is not None:
+                        yield from done(key, illegal, best, way)
+                    key, last, illegal, best, way = k, None, 0, lead, []
+                illegal += bad + (last is not None and last + first not in PAIRS)
+                last = end
+                into: dict[int, tuple[int, str]] = {}
+                back: dict[int, tuple[int, str]] = {}
+                for m, c, a in zip(moves.tolist(), costs.tolist(), audits, strict=True):
+                    p, q = divmod(m, STATES)
+                    if p in best:
+                        new = (best[p][0] + c, best[p][1] + a)
+                        if q not in into or new < into[q]:
+                            into[q] = new
+                            # the first span's piece begins with what was inserted in front of it
+                            back[q] = (0, lead[p][1] + a) if not way else (p, a)
+                way.append((span, back))
+                best = into
+        if key is not None:
+            yield from done(key, illegal, best, way)
+
+    return _frames(["key", "span", "state", "piece", "ends", "cost", "audit", "illegal"], rows())
 
 
 def _rewritten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = []
-    for (_, key), g in _groups(batches, ["chunk", "key"]):
-        span = int(g["seq"].iloc[0])
-        done = rewrite(g["piece"].iloc[0], int(g["state"].iloc[0]), g["role"].tolist(), g["text"].tolist())
-        rows += [(key, span, i, role, text) for i, (role, text) in enumerate(done)]
-        if len(rows) >= 2_000:
-            yield pd.DataFrame(rows, columns=["key", "span", "at", "role", "text"])
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=["key", "span", "at", "role", "text"])
+    def rows() -> Iterator[tuple]:
+        for key, g in _groups(batches, ["seq", "role", "text", "state", "piece"]):
+            span, _, _, state, piece = g[0]
+            for i, (role, text) in enumerate(rewrite(piece, state, [r[1] for r in g], [r[2] for r in g])):
+                yield key, span, i, role, text
+
+    return _frames(["key", "span", "at", "role", "text"], rows())
 
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    key, digest, out = None, None, []
-    for b in batches:
-        for k, role, text in zip(b["key"], b["role"], b["text"], strict=True):
-            line = f"{role}:{text}".encode("utf-8", "surrogatepass")
-            if k == key:
-                digest.update(b"\n" + line)
-            else:
+    def rows() -> Iterator[tuple]:
+        key, digest = None, None
+        for b in batches:
+            for k, role, text in zip(b["key"].tolist(), b["role"].tolist(), b["text"].tolist(), strict=True):
+                line = f"{role}:{text}".encode("utf-8", "surrogatepass")
+                if k == key:
+                    digest.update(b"\n" + line)
+                    continue
                 if key is not None:
-                    out.append((key, digest.hexdigest()))
+                    yield key, digest.hexdigest()
                 key, digest = k, hashlib.sha256(line)
-        if len(out) >= 2_000:
-            yield pd.DataFrame(out, columns=["key", "sha"])
-            out = []
-    if key is not None:
-        yield pd.DataFrame([*out, (key, digest.hexdigest())], columns=["key", "sha"])
+        if key is not None:
+            yield key, digest.hexdigest()
+
+    return _frames(["key", "sha"], rows())
 
 
 @dataclass

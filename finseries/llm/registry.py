@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finseries.llm import (
-    conversations, decontaminate, embeddings, langid, licenses, pii, sentencepiece, simhash, substring, suffix, token_counts, topk,
+    conversations, decontaminate, embeddings, langid, licenses, pii, runs, sentencepiece, simhash, substring, suffix, token_counts, topk,
 )
 from finseries.llm.common import load, save
 from finseries.session import scratch_path
@@ -95,6 +95,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents after every tenth text was given one."""
+    found = runs.find(runs.plant(load(spark, sf_dir, "documents")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                       F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+                      F.expr("1000 * top.length div -top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries are the rows whose vec_id is divisible by 100; candidates are all rows but the query's own."""
     return topk.top_k(load(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
@@ -123,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_exact_top_k": op12_exact_top_k,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -159,6 +171,25 @@ def _kept(states: list[str], initial: str, rerole: bool) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op11_periodic_runs": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_CRC32.format("coalesce(doc_id::VARCHAR, '')")} AS h,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+planted AS (SELECT r, doc_id, w, len(w) AS n, doc_id IS NOT NULL AND h % 10 = 0 AND len(w) > 0 AS hit,
+                   CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS m FROM d),
+changed AS (SELECT r, doc_id, n, CASE WHEN hit THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // m) END])
+                                      ELSE w END AS w FROM planted),
+words AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS word FROM changed),
+same AS (SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (SELECT r, q, min(i) AS s, count(*) + q AS len FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM same)
+              GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM stretches x WHERE NOT EXISTS (SELECT 1 FROM stretches y WHERE y.r = x.r AND y.q < x.q AND y.s <= x.s AND y.s + y.len >= x.s + x.len)),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY len DESC, s, q) AS k FROM runs) WHERE k = 1),
+digest AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(len AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+       CAST(1000 * len // q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM changed LEFT JOIN top USING (r) LEFT JOIN digest USING (r) LEFT JOIN kept USING (r)""",
     "op12_exact_top_k": r"""
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS x FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
