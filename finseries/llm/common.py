@@ -58,6 +58,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The given names, each lengthened until no column of ``df`` has it: for helper columns beside a user's own."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_texts(rows: DataFrame, make: Callable[[], Callable[[list], dict]], shape: str, at_once: int = 2_000) -> DataFrame:
     """``rows`` with column ``text`` replaced by the columns of ``shape``.
 
@@ -77,7 +88,7 @@ def map_texts(rows: DataFrame, make: Callable[[], Callable[[list], dict]], shape
             for i in range(0, whole.num_rows, at_once):
                 b = whole.slice(i, at_once)
                 made = compute(b.column(text_at).to_pylist())
-                new = [pa.array(made[f.name], type=arrow.field(f.name).type) for f in more.fields]
+                new = [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], type=arrow.field(f.name).type) for f in more.fields]
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept_at), *new], names=schema.names)
 
     return rows.mapInArrow(run, schema)

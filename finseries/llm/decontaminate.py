@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import let, save, word_array
+from finseries.llm.common import let, save, spare, word_array
 
 #: Kept benchmark hashes up to this many rows (16 bytes each) are sent to every task; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -124,8 +124,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = 10, k: int =
 
 
 def clean(docs: DataFrame, bench: DataFrame, window: int = 10, k: int = 6) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window; all columns stay."""
+    """``docs`` without the documents that hold a benchmark window; all columns stay, whatever their names.
+
+    Null and empty texts stay; a repeated row stays or goes as the other does.
+    """
+    of, of_hash = spare(docs, "hit_id", "hit_hash")
     windows = save(item_windows(bench.select("item_id", "text"), window), "bench_windows")
-    bad = _hits(docs.select("doc_id", "text"), windows, window, k).select(F.col("doc_id").alias("_id"), F.col("thash").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+    bad = _hits(docs.select("doc_id", "text"), windows, window, k).select(F.col("doc_id").alias(of), F.col("thash").alias(of_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.xxhash64("text") == F.col(of_hash))
     return docs.join(save(bad, "bench_docs"), same, "left_anti")

@@ -23,9 +23,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finseries.llm.common import map_texts
 from finseries.session import ship_package
 
 #: n-gram lengths in bytes, and hash buckets.
@@ -33,8 +35,9 @@ ORDERS = (2, 3, 4)
 BUCKETS = 1 << 14
 #: Bytes hashed at once: bounds memory on very long texts.
 BLOCK = 1 << 20
-#: Documents decoded at once inside a task.
+#: Documents decoded at once inside a task, and taken out of an Arrow batch at once.
 DECODE_ROWS = 128
+JUDGED_ROWS = 2_000
 #: Additive smoothing of a language's n-gram frequencies (pseudo-counts per bucket).
 SMOOTH = 0.5
 #: A document is ambiguous if its best language's score is below this.
@@ -44,11 +47,12 @@ EXHAUSTIVE = 5
 UNKNOWN = "und"
 
 _KEEP_LETTERS = bytes(b if chr(b).isalpha() or b >= 0x80 else 0x20 for b in range(256))
+#: What may be a letter; among these are also characters that are numbers (such as superscripts and fractions).
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    return text is not None and any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -196,24 +200,27 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """
     ship_package(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            lang, score, level = _judge(model, b.pop("text").tolist())
-            yield b.assign(lang_pred=lang, score=score, ambiguous=level)
+    def compute(texts: list[str | None]) -> dict[str, list | np.ndarray]:
+        return dict(zip(("lang_pred", "score", "ambiguous"), _judge(model, texts), strict=True))
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return map_texts(rows, lambda: compute, "lang_pred string, score double, ambiguous boolean")
 
 
 def accepted(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has one clear language (neither ``und`` nor ambiguous)."""
+    """The rows of ``docs``, all columns, whose text has one clear language (neither ``und`` nor ambiguous).
+
+    Null, empty and letterless texts go; a repeated row stays or goes as the
+    other does.  Rows pass as Arrow arrays, so ids stay as they are.
+    """
     ship_package(docs.sparkSession)
     at = docs.columns.index("text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            lang, _, level = _judge(model, b.iloc[:, at].tolist())
-            yield b[(np.array(lang) != UNKNOWN) & ~level]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, JUDGED_ROWS):
+                b = whole.slice(i, JUDGED_ROWS)
+                lang, _, level = _judge(model, b.column(at).to_pylist())
+                yield b.filter(pa.array((np.array(lang) != UNKNOWN) & ~level))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -31,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import let, release, save
+from finseries.llm.common import let, release, save, spare
 
 #: The base kinds in their listed order, then the method's own.
 BASE_KINDS = ["email", "ip", "card", "phone"]
@@ -299,14 +299,18 @@ def redacted(text: Column, items: Column) -> Column:
 
 
 def redact(docs: DataFrame, precision: float = 0.95) -> DataFrame:
-    """``docs`` with every found span replaced by [KIND]; all columns stay, ``n_chars`` (if there) follows the text."""
+    """``docs`` with every found span replaced by [KIND]; all columns stay, whatever their names, and ``n_chars`` (if there) follows the text.
+
+    Null and empty texts stay as they are; repeated rows are redacted alike.
+    """
+    of, of_hash, own_hash, marks = spare(docs, "span_id", "span_hash", "own_hash", "found_spans")
     found = save(candidates(docs), "pii_candidates")
-    marked = save(spans(found, fit(found, precision)).select(F.col("doc_id").alias("_id"), F.col("thash").alias("_th"), F.col("spans").alias("_spans")), "pii_spans")
+    marked = save(spans(found, fit(found, precision)).select(F.col("doc_id").alias(of), F.col("thash").alias(of_hash), F.col("spans").alias(marks)), "pii_spans")
     release(docs.sparkSession)
-    out = docs.withColumn("_thash", F.xxhash64("text"))
-    out = out.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_thash") == F.col("_th")), "left")
-    hit = F.col("_spans").isNotNull()
-    new = {"text": F.when(hit, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))}
+    out = docs.withColumn(own_hash, F.xxhash64("text"))
+    out = out.join(marked, F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(own_hash) == F.col(of_hash)), "left")
+    hit = F.col(marks).isNotNull()
+    new = {"text": F.when(hit, redacted(F.col("text"), F.col(marks))).otherwise(F.col("text"))}
     out = out.withColumns(new)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -15,8 +15,9 @@ higher-order ``aggregate`` then folds each unit's edges into ids:
   encoder's result, which the best sum would not give).
 
 Their ids go to the tasks as a bounded dictionary of ``common`` units.  Units
-beyond it, and very long ones, are folded by the same rules inside the task
-that reads the document, so nothing but the unit counts is ever shuffled.
+beyond it are folded by the same rules inside the task that reads the document
+(all of a batch at once, as arrays; very long ones by a heap), so nothing but
+the unit counts is ever shuffled.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm.common import let
+from finseries.llm.common import let, map_texts
 from finseries.session import ship_package
 
 SPACE = "▁"
@@ -41,10 +42,12 @@ UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 COMMON = 50_000
 #: Longer units are folded inside the task, by a heap.
 LATTICE_CHARS = 48
-#: Units remembered by a task beyond the dictionary.
-MEMO = 200_000
+#: Units remembered by a task beyond the dictionary, and units folded at once.
+MEMO = 100_000
+FOLD_UNITS = 20_000
 #: Documents turned into an Arrow batch at once.
 OUT_ROWS = 500
+_NONE = np.int32(0x7FFFFFFF)
 
 
 @dataclass
@@ -66,6 +69,25 @@ class PieceModel:
         byte = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         return [byte.get(i, p.encode()) for i, p in enumerate(self.pieces)]
 
+    @cached_property
+    def chars(self) -> np.ndarray:
+        """The piece of each code point; the number of pieces where there is none."""
+        out = np.full(0x110000, len(self.pieces), dtype=np.int32)
+        for p, i in self.plain.items():
+            if len(p) == 1:
+                out[ord(p)] = i
+        return out
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(left and right piece as one sorted key, their joined piece, its place in the order of scores)."""
+        place = {c: i for i, c in enumerate(sorted({self.costs[p] for p in self.plain}))}
+        base = len(self.pieces) + 1
+        rows = sorted((self.plain[p[:k]] * base + self.plain[p[k:]], i, place[self.costs[p]])
+                      for p, i in self.plain.items() for k in range(1, len(p)) if p[:k] in self.plain and p[k:] in self.plain)
+        table = np.array(rows, dtype=np.int64).reshape(-1, 3)
+        return table[:, 0], table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+
     @property
     def longest(self) -> int:
         return max(map(len, self.plain), default=1)
@@ -126,8 +148,6 @@ def fold_unit(model: PieceModel, unit: str) -> list[int]:
     """Ids of one unit: the same rules as the relational folds."""
     if model.kind != "merge":
         parts = [unit[i:j] for i, j in _viterbi(model, unit)]
-    elif len(unit) <= LATTICE_CHARS:
-        parts = _merge_short(model, unit)
     else:
         parts = [unit[i:j] for i, j in _merge(model, unit)]
     out: list[int] = []
@@ -140,23 +160,68 @@ def fold_unit(model: PieceModel, unit: str) -> list[int]:
     return out
 
 
-def _merge_short(model: PieceModel, unit: str) -> list[str]:
-    """Join the adjacent parts with the best-scored piece, leftmost first, until none is a piece."""
-    cost, none = model.costs.get, float("inf")
-    parts = list(unit)
-    pairs = [cost(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs:
-        best = min(pairs)
-        if best == none:
+def _joined(model: PieceModel, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the order of scores, piece) of adjacent parts joined; ``_NONE`` where that is no piece."""
+    keys, pieces, places = model.pairs
+    if not len(keys):
+        return np.full(len(left), _NONE), np.zeros(len(left), dtype=np.int32)
+    key = left.astype(np.int64) * (len(model.pieces) + 1) + right
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    hit = keys[at] == key
+    return np.where(hit, places[at], _NONE), pieces[at]
+
+
+def fold_units(model: PieceModel, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all units in a row, ids of each): in every unit the best adjacent pair is joined,
+    leftmost first, one per round, until none is a piece."""
+    size = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+    code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    part, place = model.chars[code], np.arange(len(code))
+    no = np.arange(len(units))
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # of finished units: (unit, part, place) by part
+    first = np.cumsum(size) - size
+    order, piece = _joined(model, part, np.append(part[1:], 0))
+    order[first + size - 1] = _NONE  # the last part of a unit has no neighbour
+    while len(no):
+        best = np.minimum.reduceat(order.astype(np.int64) << 32 | np.arange(len(part)), first)
+        open_ = best >> 32 != _NONE
+        if not open_.all():
+            ends = np.repeat(~open_, size)
+            done.append((np.repeat(no[~open_], size[~open_]), part[ends], place[ends]))
+            part, place, order, piece = part[~ends], place[~ends], order[~ends], piece[~ends]
+            gone = np.cumsum(np.where(open_, 0, size))[open_]
+            no, size, best = no[open_], size[open_], best[open_]
+            at = (best & 0xFFFFFFFF) - gone
+        else:
+            at = best & 0xFFFFFFFF
+        if not len(no):
             break
-        i = pairs.index(best)
-        parts[i] += parts.pop(i + 1)
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = cost(parts[i] + parts[i + 1], none)
-        if i:
-            pairs[i - 1] = cost(parts[i - 1] + parts[i], none)
-    return parts
+        part[at] = piece[at]
+        order[at] = order[at + 1]  # _NONE if the joined part is now the last
+        stays = np.ones(len(part), dtype=bool)
+        stays[at + 1] = False
+        part, place, order, piece = part[stays], place[stays], order[stays], piece[stays]
+        at -= np.arange(len(at))
+        size = size - 1
+        first = np.cumsum(size) - size
+        last = first + size - 1
+        right = at[at < last]
+        order[right], piece[right] = _joined(model, part[right], part[right + 1])
+        left = at[at > first] - 1
+        order[left], piece[left] = _joined(model, part[left], part[left + 1])
+    unit, part, place = (np.concatenate(x) for x in zip(*done, strict=True))
+    by = np.argsort(unit, kind="stable")
+    unit, part, place = unit[by], part[by], place[by]
+    strange = np.flatnonzero(part == len(model.pieces))
+    if len(strange):
+        kinds, kind = np.unique(code[place[strange]], return_inverse=True)
+        of = [_fallback(model, chr(c)) for c in kinds.tolist()]
+        spelled = [of[k] for k in kind.tolist()]
+        times = np.ones(len(part), dtype=np.int64)
+        times[strange] = [len(x) for x in spelled]
+        unit, part = np.repeat(unit, times), np.repeat(part, times)
+        part[np.repeat(np.isin(np.arange(len(times)), strange), times)] = [i for x in spelled for i in x]
+    return part.astype(np.int32), np.bincount(unit, minlength=len(units))
 
 
 def _viterbi(model: PieceModel, unit: str) -> list[tuple[int, int]]:
@@ -301,28 +366,46 @@ class Encoder:
     """Ids of texts inside a task: the dictionary, then a bounded memory, then the fold."""
 
     def __init__(self, model: PieceModel, common: dict[str, tuple[int, ...]]):
-        self.model, self.common, self.memo = model, common, {}
-
-    def unit(self, unit: str) -> tuple[int, ...]:
-        ids = self.memo.get(unit)
-        if ids is None:
-            ids = tuple(fold_unit(self.model, unit))
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            if len(unit) <= LATTICE_CHARS:
-                self.memo[unit] = ids
-        return ids
-
-    def encode(self, text: str | None) -> np.ndarray:
-        out: list[int] = []
-        common = self.common
-        if text:
-            for unit in UNIT.findall(SPACE + text.replace(" ", SPACE)):
-                out.extend(common.get(unit) or self.unit(unit))
-        return np.array(out, dtype=np.int32)
-
-    def decode(self, ids) -> str:
-        return decode_ids(self.model, ids.tolist())
+        self.model, self.common = model, common
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number = {u: i for i, u in enumerate(self.common)}
+        self.size = np.fromiter(map(len, self.common.values()), dtype=np.int64, count=len(self.common))
+        self.ids = np.fromiter((i for x in self.common.values() for i in x), dtype=np.int32, count=int(self.size.sum()))
+
+    def _learn(self, units: list[str]) -> None:
+        sizes, ids = [self.size], [self.ids]
+        quick = [u for u in units if len(u) <= LATTICE_CHARS] if self.model.kind == "merge" else []
+        slow = [u for u in units if len(u) > LATTICE_CHARS] if quick else units
+        for i in range(0, len(quick), FOLD_UNITS):
+            got, n = fold_units(self.model, quick[i:i + FOLD_UNITS])
+            ids.append(got)
+            sizes.append(n)
+        for u in slow:
+            got = fold_unit(self.model, u)
+            ids.append(np.array(got, dtype=np.int32))
+            sizes.append(np.array([len(got)]))
+        for u in quick + slow:
+            self.number[u] = len(self.number)
+        self.size, self.ids = np.concatenate(sizes), np.concatenate(ids)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, place behind each text's ids, from 0)."""
+        units = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        flat = [u for x in units for u in x]
+        distinct = set(flat)
+        if len(self.number) > len(self.common) + MEMO:
+            self._reset()
+        if new := distinct.difference(self.number):
+            self._learn(list(new))
+        no = np.fromiter(map(self.number.__getitem__, flat), dtype=np.int64, count=len(flat))
+        start = np.cumsum(self.size) - self.size
+        n = self.size[no]
+        behind = np.cumsum(n)
+        at = np.repeat(start[no] - (behind - n), n) + np.arange(int(n.sum()))
+        ends = np.cumsum(np.fromiter(map(len, units), dtype=np.int64, count=len(units)))
+        return self.ids[at], np.append(0, behind)[np.append(0, ends)]
 
 
 def decode_ids(model: PieceModel, ids) -> str:
@@ -353,15 +436,16 @@ def encode_documents(docs: DataFrame, model_path: str, common: int = COMMON) ->
     rows = docs.select("doc_id", "text")
     model = load_model(model_path)
     shared = spark.sparkContext.broadcast((model, common_ids(rows, model, common)))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encoder = Encoder(*shared.value)
-        for whole in batches:
-            for i in range(0, len(whole), OUT_ROWS):
-                b = whole.iloc[i:i + OUT_ROWS]
-                ids = [encoder.encode(t) for t in b["text"]]
-                same = [encoder.decode(x) == (t or "") for x, t in zip(ids, b["text"], strict=True)]
-                yield pd.DataFrame({"doc_id": b["doc_id"], "n_ids": [len(x) for x in ids], "ids": ids, "round_trip": same})
-
-    return rows.mapInPandas(run, f"doc_id {kind}, n_ids long, ids array<int>, round_trip boolean")
+
+        def compute(texts: list[str | None]) -> dict:
+            ids, ends = encoder.encode(texts)
+            back = [decode_ids(encoder.model, ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            return {"n_ids": np.diff(ends), "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                    "round_trip": [x == (t or "") for x, t in zip(back, texts, strict=True)]}
+
+        return compute
+
+    return map_texts(rows, make, "n_ids long, ids array<int>, round_trip boolean", at_once=OUT_ROWS)

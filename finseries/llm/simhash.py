@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import release, save
+from finseries.llm.common import map_texts, release, save, spare
 from finseries.llm.components import components
 from finseries.session import ship_package
 
@@ -64,14 +64,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, thash, fp) per row; ``thash`` is XXH64 of the text, ``fp`` the fingerprint as a signed long."""
     ship_package(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([text_fingerprint(t, shingle) for t in b.pop("text")], dtype=np.uint64)
-            yield b.assign(fp=fp.view(np.int64))
+    def compute(texts: list[str | None]) -> dict[str, np.ndarray]:
+        return {"fp": np.array([text_fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)}
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, thash long, fp long")
+    return map_texts(docs.select("doc_id", F.xxhash64("text").alias("thash"), "text"), lambda: compute, "fp long")
 
 
 def _syndrome(v: np.ndarray) -> np.ndarray:
@@ -194,12 +190,13 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Data
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one with the smallest doc_id.
 
-    A repeated row (same doc_id and text) is kept once.  All columns of ``docs`` are returned.
+    A repeated row (same doc_id and text) is kept once.  All columns of ``docs`` are returned, whatever their names.
     """
-    groups = simhash_groups(docs, shingle, max_bits)
+    first, first_hash, own_hash = spare(docs, "first_id", "first_hash", "own_hash")
+    groups = simhash_groups(docs.select("doc_id", "text"), shingle, max_bits)
     kept = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.min(F.struct("doc_id", "thash")).alias("_k"))
-            .select(F.col("_k.doc_id").alias("_id"), F.col("_k.thash").alias("_th")))
-    keyed = docs.withColumn("_thash", F.xxhash64("text"))
-    out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_thash") == F.col("_th")), "left_semi")
-    return out.dropDuplicates(["doc_id", "_thash"]).drop("_thash")
+            .groupBy("root").agg(F.min(F.struct("doc_id", "thash")).alias("k"))
+            .select(F.col("k.doc_id").alias(first), F.col("k.thash").alias(first_hash)))
+    keyed = docs.withColumn(own_hash, F.xxhash64("text"))
+    out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(first)) & (F.col(own_hash) == F.col(first_hash)), "left_semi")
+    return out.dropDuplicates(["doc_id", own_hash]).drop(own_hash)

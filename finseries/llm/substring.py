@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import discard, release, save
+from finseries.llm.common import discard, map_texts, release, save
 from finseries.session import ship_package
 
 #: Passes over the hash space.
@@ -172,12 +172,15 @@ def kept_text(words: list[bytes], starts, window: int) -> tuple[int, bytes]:
 def _summary(rows: DataFrame) -> DataFrame:
     """(doc_id, k1, k2, n_words, sha) per row; ``sha`` is the digest of all words joined by a space."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            words = [split_words(t) for t in b.pop("text")]
-            yield b.assign(n_words=[len(w) for w in words], sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words])
+    def compute(texts: list[str | None]) -> dict[str, list]:
+        out: dict[str, list] = {"n_words": [], "sha": []}
+        for t in texts:
+            words = split_words(t)
+            out["n_words"].append(len(words))
+            out["sha"].append(hashlib.sha256(b" ".join(words)).hexdigest())
+        return out
 
-    return rows.mapInPandas(run, "doc_id long, k1 long, k2 int, n_words long, sha string")
+    return map_texts(rows, lambda: compute, "n_words long, sha string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:

@@ -29,6 +29,7 @@ from functools import cmp_to_key, lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ from finseries.session import ship_package
 BLOCK = 1 << 20
 #: Classes sorted in one task at most (about 6 kB of hashes each); a gram with more goes the distributed way.
 HOT_CLASSES = 10_000
+#: Texts taken out of an Arrow batch at once.
+TEXTS = 200
 #: Classes per task aimed at.
 TASK_CLASSES = 4_000
 
@@ -209,87 +212,79 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _summary(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            raw = [_raw(t) for t in b.pop("text")]
-            yield b.assign(n_bytes=[len(x) for x in raw], sha=[hashlib.sha256(x).hexdigest() for x in raw])
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for i in range(0, whole.num_rows, rows):
+            yield whole.slice(i, rows)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(run, f"doc_id {kind}, k long, n_bytes long, sha string")
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """(places between the lists, fields of all their structs in a row) of an array of structs."""
+    at = column.offsets.to_numpy()
+    inner = column.values.slice(at[0], at[-1] - at[0])
+    return at - at[0], {f.name: inner.field(f.name).to_numpy(zero_copy_only=False) for f in inner.type}
 
-def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            held, n = [], 0
-            for k, text in zip(b["k"], b["text"], strict=True):
+
+def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(g, k, pos) of every anchor of the distinct texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches, TEXTS):
+            held = []
+            for k, text in zip(b.column("k").to_pylist(), b.column("text").to_pylist(), strict=True):
                 raw = _raw(text)
                 if len(raw) >= length:
                     pos, g = anchors(np.frombuffer(raw, dtype=np.uint8), length, gram)
                     held.append((g.view(np.int64), np.full(len(pos), k), pos))
-                    n += len(pos)
-                if n >= 200_000:
-                    yield pd.DataFrame(dict(zip(("g", "k", "pos"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
-                    held, n = [], 0
             if held:
-                yield pd.DataFrame(dict(zip(("g", "k", "pos"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
-
-    return docs.select("k", "text").mapInPandas(run, "g long, k long, pos long")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], names=["g", "k", "pos"])
 
+    return texts.select("k", "text").mapInArrow(run, "g long, k long, pos long")
 
-def _around(raw: bytes, pos: int, length: int, reach: int) -> tuple[bytes, bytes]:
-    """Bytes before and from an anchor that a ``length``-byte string around its gram can reach."""
-    return raw[max(0, pos - reach):pos], raw[pos:pos + length]
 
-
-def _texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
-    """(k, text, n, at): each distinct text with spots once, its copies counted."""
-    texts = docs.groupBy("k").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    return texts.join(spots.groupBy("k").agg(F.collect_set(F.struct("pos", "g")).alias("at")), "k")
-
-
-def _contexts(docs: DataFrame, spots: DataFrame, length: int, gram: int) -> DataFrame:
+def _contexts(texts: DataFrame, spots: DataFrame, length: int, gram: int) -> DataFrame:
     """(g, c1, c2, k, pos, n, rest): a 128-bit hash of each repeated anchor's surroundings; ``n`` counts equal
     texts, ``rest`` the bytes from the anchor on (``length`` at most)."""
     reach = length - gram
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows: list[tuple] = []
-            for k, text, n, at in zip(b["k"], b["text"], b["n"], b["at"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches, TEXTS):
+            ends, spot = _lists(b.column("at"))
+            pos, digests, rest = spot["pos"], [], []
+            for text, i, j in zip(b.column("text").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 raw = _raw(text)
-                for spot in at:
-                    before, after = _around(raw, spot["pos"], length, reach)
-                    c = xxhash.xxh3_128_intdigest(len(before).to_bytes(4, "little") + before + after)
-                    rows.append((spot["g"], (c >> 64) - (1 << 63), (c & 0xFFFFFFFFFFFFFFFF) - (1 << 63), k, spot["pos"], n, len(after)))
-            if rows:
-                yield pd.DataFrame(rows, columns=["g", "c1", "c2", "k", "pos", "n", "rest"])
-
-    return _texts(docs, spots).mapInPandas(run, "g long, c1 long, c2 long, k long, pos long, n long, rest int")
-
-
-def _with_bytes(docs: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
-    """(g, c1, c2, n, before, after): the surroundings of each class, read from its representative (k, pos)."""
+                for p in pos[i:j].tolist():
+                    low = max(0, p - reach)
+                    digests.append(xxhash.xxh3_128_digest((p - low).to_bytes(4, "little") + raw[low:p + length]))
+                    rest.append(min(length, len(raw) - p))
+            c = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            times = np.diff(ends)
+            columns = [spot["g"], c[:, 0].copy(), c[:, 1].copy(), np.repeat(b.column("k").to_numpy(), times), pos, np.repeat(b.column("n").to_numpy(), times),
+                       np.array(rest, dtype=np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c1", "c2", "k", "pos", "n", "rest"])
+
+    lists = spots.groupBy("k").agg(F.collect_list(F.struct("pos", "g")).alias("at"))
+    return texts.join(lists, "k").mapInArrow(run, "g long, c1 long, c2 long, k long, pos long, n long, rest int")
+
+
+def _with_bytes(texts: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
+    """(g, classes, c1, c2, n, before, after): the surroundings of each class, read from its representative (k, pos)."""
     reach = length - gram
-    texts = docs.groupBy("k").agg(F.first("text").alias("text"))
-    lists = classes.groupBy("k").agg(F.collect_list(F.struct("pos", "g", "c1", "c2", "n")).alias("at"))
+    names = ["g", "classes", "c1", "c2", "n"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["g", "c1", "c2", "n", "before", "after"]
-        for b in batches:
-            rows: list[tuple] = []
-            for text, at in zip(b["text"], b["at"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches, TEXTS):
+            ends, spot = _lists(b.column("at"))
+            before, after = [], []
+            for text, i, j in zip(b.column("text").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 raw = _raw(text)
-                for c in at:
-                    rows.append((c["g"], c["c1"], c["c2"], c["n"], *_around(raw, c["pos"], length, reach)))
-                if len(rows) >= 5_000:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+                for p in spot["pos"][i:j].tolist():
+                    before.append(raw[max(0, p - reach):p])
+                    after.append(raw[p:p + length])
+            yield pa.RecordBatch.from_arrays([*(pa.array(spot[c]) for c in names), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
+                                             names=[*names, "before", "after"])
 
-    return texts.join(lists, "k").mapInPandas(run, "g long, c1 long, c2 long, n long, before binary, after binary")
+    lists = classes.groupBy("k").agg(F.collect_list(F.struct("pos", *names)).alias("at"))
+    return texts.select("k", "text").join(lists, "k").mapInArrow(run, "g long, classes long, c1 long, c2 long, n long, before binary, after binary")
 
 
 _SPAN = "g long, c1 long, c2 long, lo long, hi long"
@@ -333,10 +328,9 @@ def _counted_spans(classes: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.join(twice, ["g", "o", "w1", "w2"]).select("g", "c1", "c2", (-F.col("o")).alias("lo"), (F.lit(length) - F.col("o")).alias("hi"))
 
 
-def cut_spans(raw: bytes, spans) -> tuple[int, int, bytes]:
-    """(bytes removed, maximal removed runs, rest)."""
+def cut_spans(raw: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal removed runs, rest) without the spans [lo, hi)."""
     gone = np.zeros(len(raw) + 1, dtype=np.int32)
-    lo, hi = np.array([s[0] for s in spans]), np.array([s[1] for s in spans])
     np.add.at(gone, lo, 1)
     np.add.at(gone, hi, -1)
     cover = np.cumsum(gone[:-1]) > 0
@@ -344,6 +338,20 @@ def cut_spans(raw: bytes, spans) -> tuple[int, int, bytes]:
     return int(cover.sum()), runs, np.frombuffer(raw, dtype=np.uint8)[~cover].tobytes()
 
 
+def _cut(texts: DataFrame, lists: DataFrame) -> DataFrame:
+    """(k1, k2, n_removed, n_spans, kept_sha256, kept) of distinct texts with spans."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches, TEXTS):
+            ends, span = _lists(b.column("spans"))
+            done = [cut_spans(_raw(t), span["lo"][i:j], span["hi"][i:j]) for t, i, j in zip(b.column("text").to_pylist(), ends[:-1], ends[1:], strict=True)]
+            made = [pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
+                    pa.array([hashlib.sha256(d[2]).hexdigest() for d in done]), pa.array([d[2] for d in done], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), *made], names=["k1", "k2", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return (texts.select("k", "k1", "k2", "text").join(lists, "k")
+            .mapInArrow(run, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+
+
 def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 200) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
 
@@ -351,19 +359,27 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 200) -> DataF
     null.  Null and empty texts have no bytes.  Repeated rows and rows with
     equal or null doc_ids are documents of their own, so equal texts of
     ``length`` bytes or more lose everything.  Only doc_id and text are read.
+
+    Texts that a 128-bit hash and their length tell apart are numbered once;
+    copies are looked at once and counted.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("k"))
-    base = save(_summary(rows.select("doc_id", "k", "text")), "suffix_base")
-    found = save(_anchor_rows(rows, length, gram), "suffix_anchors")
+    text, zero = F.col("text"), F.lit(0).cast("long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(length), "text").alias("k2"))
+    base = rows.select("doc_id", "k1", "k2", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                       F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("sha"))
+    texts = save(rows.where(F.octet_length("text") >= length).groupBy("k1", "k2", F.octet_length("text")).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+                 .select(F.monotonically_increasing_id().alias("k"), "k1", "k2", "n", "text"), "suffix_texts")
     release(spark)
-    twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    spots = save(found.join(twice, "g", "left_semi").distinct(), "suffix_spots")
+    found = save(_anchor_rows(texts, length, gram), "suffix_anchors")
+    # a gram that stands once, and in one text's only copy, lies in no repeat
+    often = found.join(texts.where("n > 1").select("k"), "k", "left_semi").select("g")
+    twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g").unionByName(often).distinct()
+    spots = save(found.join(twice, "g", "left_semi"), "suffix_spots")
     release(spark)
     discard(found)
-    named = rows.where(F.col("text").isNotNull()).select("k", "text")
-    contexts = save(_contexts(named, spots, length, gram), "suffix_contexts")
+    contexts = save(_contexts(texts, spots, length, gram), "suffix_contexts")
     discard(spots)
     release(spark)
     # any member stands for its class: (k, pos) is picked by the smallest hash of both
@@ -374,34 +390,24 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 200) -> DataF
     release(spark)
     # a gram's only class: its strings are shared if the class occurs twice, whatever its bytes
     lone = classes.join(sizes.where("classes = 1"), "g", "left_semi").where("n > 1")
-    many = classes.join(sizes.where(f"classes BETWEEN 2 AND {HOT_CLASSES}"), "g", "left_semi")
-    hot = classes.join(sizes.where(f"classes > {HOT_CLASSES}"), "g", "left_semi")
-    tasks = int(sizes.where(f"classes BETWEEN 2 AND {HOT_CLASSES}").agg(F.coalesce(F.sum("classes"), F.lit(0))).first()[0] // TASK_CLASSES) + 1
+    several = save(_with_bytes(texts, classes.join(sizes.where("classes > 1"), "g"), length, gram), "suffix_bytes")
+    release(spark)
+    tasks = int(sizes.where(f"classes BETWEEN 2 AND {HOT_CLASSES}").agg(F.coalesce(F.sum("classes"), zero)).first()[0] // TASK_CLASSES) + 1
     spans = save(_lone_spans(lone, length, gram)
-                 .unionByName(_sorted_spans(_with_bytes(named, many, length, gram), length, gram, tasks))
-                 .unionByName(_counted_spans(_with_bytes(named, hot, length, gram), length, gram)), "suffix_class_spans")
+                 .unionByName(_sorted_spans(several.where(f"classes <= {HOT_CLASSES}").drop("classes"), length, gram, tasks))
+                 .unionByName(_counted_spans(several.where(f"classes > {HOT_CLASSES}").drop("classes"), length, gram)), "suffix_class_spans")
+    discard(several)
     release(spark)
-    equal = base.groupBy("k", "n_bytes").agg(F.count("*").alias("copies"))
-    whole = equal.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select("k", "n_bytes")
-    placed = (contexts.select("g", "c1", "c2", "k", "pos").join(whole.select("k"), "k", "left_anti").join(spans, ["g", "c1", "c2"])
+    # copies lose all they have, so only single texts are cut
+    single = texts.where("n = 1")
+    placed = (contexts.where("n = 1").select("g", "c1", "c2", "k", "pos").join(spans, ["g", "c1", "c2"])
               .select("k", (F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi")))
     lists = save(placed.groupBy("k").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "suffix_spans")
     release(spark)
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            done = [cut_spans(_raw(t), [(s["lo"], s["hi"]) for s in spans]) for t, spans in zip(b["text"], b["spans"], strict=True)]
-            yield pd.DataFrame({"k": b["k"], "n_removed": [d[0] for d in done], "n_spans": [d[1] for d in done],
-                                "kept_sha256": [hashlib.sha256(d[2]).hexdigest() for d in done], "kept": [d[2] for d in done]})
-
-    some = rows.select("k", "text").join(lists, "k").mapInPandas(cut, "k long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    zero, empty = F.lit(0).cast("long"), F.sha2(F.lit("").cast("binary"), 256)
-    all_gone = F.col("_w").isNotNull()
-    out = (base.join(whole.select("k", "n_bytes", F.lit(True).alias("_w")), ["k", "n_bytes"], "left")
-           .join(some.select("k", "n_removed", "n_spans", "kept_sha256", "kept"), "k", "left"))
-    return out.select(
-        "doc_id", "n_bytes",
-        F.when(all_gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(all_gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
-        F.when(all_gone, empty).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(~all_gone, F.col("kept")).alias("kept"))
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    whole = texts.where("n > 1").select("k1", "k2", F.octet_length("text").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+                                        empty.alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    lost = _cut(single, lists).unionByName(whole)
+    out = base.join(lost, ["k1", "k2"], "left")
+    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
+                      F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept")

@@ -32,5 +32,17 @@ def frame(spark, rows, schema=SCHEMA):
 def with_clashes(df):
     """The same rows with extra columns named like the operators' own."""
     from pyspark.sql import functions as F
-    names = ["fp", "root", "component_id", "h", "k", "g", "pos", "words", "spans", "label", "score", "thash", "node", "tokens", "ids", "text2"]
+    names = ["fp", "root", "component_id", "h", "k", "g", "pos", "words", "spans", "label", "score", "thash", "node", "tokens", "ids", "text2",
+             "_id", "_th", "_thash", "_spans", "_w", "_k", "first_id", "own_hash", "hit_id", "span_id", "found_spans", "n_words", "lang_pred", "sha"]
     return df.withColumns({n: F.lit("clash") for n in names if n not in df.columns})
+
+
+BIG = 1 << 60
+
+
+def big_ids():
+    """Ids above 2^53 beside a null one, in one batch, with texts of every kind a stage looks at."""
+    base = "the thing that was there and the other thing of the house with a word or two more for good measure"
+    return [(BIG + 1, base + " alpha beta gamma", "en", "s", 1), (BIG + 3, "call the office at +1 (555) 010-9999 today and the other thing that was there", "en", "s", 2),
+            (None, "another thing of the that and was in the house and then there was no one", "en", "s", 3), (BIG + 5, None, "en", "s", 0),
+            (BIG + 7, base + " alpha beta gamma", "en", "s", 1)]

@@ -61,3 +61,10 @@ def test_nothing_to_learn_from(spark):
     assert langid.predict(cases.frame(spark, [(1, "text", None, "s", 4)]), None).first().lang_pred == "und"
     only = cases.frame(spark, [(i, "some text here", "en", "s", 4) for i in range(9)])
     assert {r.lang_pred for r in langid.predict(only, langid.fit(only)).collect()} == {"en"}
+
+
+def test_numbers_that_look_like_letters_are_none(spark):
+    docs = spark.read.parquet(cases.SF + "/documents.parquet")
+    rows = [(1, "² ½ ①", "en", "s", 0), (2, "Ⅷ ¾", "en", "s", 0), (3, "² the ½ thing", "en", "s", 0)]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(cases.frame(spark, rows), langid.fit(docs)).collect()}
+    assert got[1] == got[2] == "und" and got[3] != "und"

@@ -47,8 +47,25 @@ def test_viterbi_finds_the_best_path(model):
 def test_very_long_unit(model):
     own = library.SentencePieceProcessor(model_file=PIECE_MODEL)
     for text in ("a" * 5000, "ab" * 4000, "日本" * 2000):
-        assert sp.Encoder(model, {}).encode(text).tolist() == own.encode(text)
+        assert sp.Encoder(model, {}).encode([text])[0].tolist() == own.encode(text)
 
 
 def test_empty_table(spark):
     assert sp.encode_documents(cases.frame(spark, []), PIECE_MODEL).count() == 0
+
+
+def test_units_folded_together_equal_the_fold_of_one(model):
+    import random
+    rng = random.Random(2)
+    units = ["▁" + "".join(rng.choice("abcdeéñ日本😀1.,\x00") for _ in range(rng.randrange(0, 40))) for _ in range(800)] + ["▁", "▁▁▁▁", "▁aaaaaaaa"]
+    ids, n = sp.fold_units(model, units)
+    assert [list(x) for x in __import__("numpy").split(ids, n.cumsum()[:-1])] == [sp.fold_unit(model, u) for u in units]
+
+
+def test_a_full_memory_is_cleared(model, monkeypatch):
+    monkeypatch.setattr(sp, "MEMO", 5)
+    own, encoder = library.SentencePieceProcessor(model_file=PIECE_MODEL), sp.Encoder(model, {})
+    texts = [" ".join(f"word{i * j}" for j in range(9)) for i in range(20)] + [None, ""]
+    for i in range(0, len(texts), 3):
+        ids, ends = encoder.encode(texts[i:i + 3])
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [own.encode(t or "") for t in texts[i:i + 3]]
