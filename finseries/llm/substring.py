@@ -16,17 +16,19 @@ length of the *other* document (an anchor).  So:
 Hits are pre-aggregated (one smallest doc_id per block or window), so a passage
 in very many documents costs its occurrences, never its pairs.  Hash space is
 probed in ``SLICES`` parts, one after the other, which bounds shuffle space to
-a part of the probes whatever the corpus size.
+a part of the probes whatever the corpus size.  Words are hashed where they
+stand in the texts' bytes, without being cut out.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +37,12 @@ from finseries.llm.common import discard, map_texts, release, save
 from finseries.session import ship_package
 
 #: Passes over the hash space.
-SLICES = 2
-#: Rows handed to Arrow at once.
-OUT_ROWS = 200_000
+SLICES = 3
+#: Texts taken out of an Arrow batch at once, and bytes whose words are hashed at once.
+TEXTS = 200
+BLOCK_BYTES = 1 << 20
 
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -47,39 +51,78 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random 64-bit number per byte, and an odd base's powers with their inverses modulo 2^64."""
+    up = np.full(BLOCK_BYTES, _BASE, dtype=np.uint64)
+    down = np.full(BLOCK_BYTES, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+    up[0] = down[0] = 1
+    return np.random.default_rng(20240601).integers(1, 1 << 63, size=256, dtype=np.uint64), np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def gram_hashes(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each run of ``n`` words (Horner over the word hashes, mixed)."""
-    size = len(hashes) - n + 1
-    if size <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    out = np.full(size, 1 + seed, dtype=np.uint64)
-    for j in range(n):
-        out = (out ^ hashes[j:j + size]) * _MIX[seed]
-        out ^= out >> np.uint64(29)
-    return out
+def _hashed_words(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A mixed 64-bit hash of the bytes of each word [low, high)."""
+    table, up, down = _tables()
+    base, n = int(low[0]), int(high[-1] - low[0])
+    prefix = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(table[data[base:base + n]] * up[:n], out=prefix[1:])
+    h = (prefix[high - base] - prefix[low - base]) * down[low - base]
+    h ^= h >> np.uint64(32)
+    h *= _MIX[0]
+    return h ^ h >> np.uint64(29)
+
 
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of texts in a row, number of words up to each text's end).
 
-def _frames(columns: list[str], rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-    """Tuples of (scalar or array) columns, gathered into frames of bounded size."""
-    held, n = [], 0
-    for row in rows:
-        held.append(row)
-        n += max(len(x) for x in row if isinstance(x, np.ndarray))
-        if n >= OUT_ROWS:
-            yield _frame(columns, held)
-            held, n = [], 0
-    if held:
-        yield _frame(columns, held)
+    ``data`` holds the texts' bytes, ``ends`` the places behind them.  Words are
+    the runs of bytes other than 0x20 and 0x09 to 0x0D; they are hashed in
+    blocks of ``BLOCK_BYTES`` at most (a longer word by itself).
+    """
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+    first = np.zeros(len(data) + 1, dtype=bool)
+    first[ends[ends < len(data)]] = True
+    first[0] = True
+    low = np.flatnonzero(inside[1:-1] & (~inside[:-2] | first[:-1]))
+    high = np.flatnonzero(inside[1:-1] & (~inside[2:] | first[1:])) + 1
+    out, k = [], 0
+    while k < len(low):
+        j = int(np.searchsorted(high, low[k] + BLOCK_BYTES, side="right"))
+        if j == k:  # a word longer than a block
+            word = data[low[k]:high[k]].tobytes()
+            out.append(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64))
+            j = k + 1
+        else:
+            out.append(_hashed_words(data, low[k:j], high[k:j]))
+        k = j
+    return (np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)), np.searchsorted(low, ends)
 
 
-def _frame(columns: list[str], held: list[tuple]) -> pd.DataFrame:
-    sizes = [max(len(x) for x in row if isinstance(x, np.ndarray)) for row in held]
-    return pd.DataFrame({c: np.concatenate([row[i] if isinstance(row[i], np.ndarray) else np.full(n, row[i]) for row, n in zip(held, sizes, strict=True)])
-                         for i, c in enumerate(columns)})
+def gram_hashes(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
+    """A mixed 64-bit hash of each run of ``n`` words (a polynomial in their hashes)."""
+    size = len(hashes) - n + 1
+    if size <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    out = hashes[:size] ^ np.uint64(seed)
+    for j in range(1, n):
+        out *= _MIX[seed]
+        out += hashes[j:j + size]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ out >> np.uint64(29)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, word hashes of their texts in a row, number of words up to each text's end) for ``TEXTS`` rows at a time."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, TEXTS):
+            b = whole.slice(i, TEXTS)
+            column = pc.fill_null(b.column("text"), "")
+            column = column.cast(pa.large_binary())
+            ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[ends[0]:ends[-1]]
+            yield b, *word_hashes(data, ends[1:] - ends[0])
 
 
 def _blocks(texts: DataFrame, block: int, slice_no: int, rolling: bool) -> DataFrame:
@@ -89,24 +132,26 @@ def _blocks(texts: DataFrame, block: int, slice_no: int, rolling: bool) -> DataF
     stands in it more than once.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows():
-            for b in batches:
-                for doc, text in zip(b["doc_id"], b["text"], strict=True):
-                    h = gram_hashes(word_hashes(split_words(text)), block)
-                    if not rolling:
-                        h = h[::block]
-                    at = np.flatnonzero(h % np.uint64(SLICES) == slice_no)
-                    if not len(at):
-                        continue
-                    if rolling:
-                        yield h[at].view(np.int64), doc, at
-                    else:
-                        own, first, n = np.unique(h[at], return_index=True, return_counts=True)
-                        yield own.view(np.int64), doc, np.where(n == 1, at[first] * block, -1)
-        return _frames(["h", "doc", "pos"], rows())
-
-    return texts.select("doc_id", "text").mapInPandas(run, "h long, doc long, pos int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, words, ends in text_slices(batches):
+            h = gram_hashes(words, block)
+            of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:len(h)]
+            at = np.arange(len(h)) - np.append(0, ends)[of]
+            fits = (np.arange(len(h)) + block <= ends[of]) & (h % np.uint64(SLICES) == slice_no)
+            if not rolling:
+                fits &= at % block == 0
+            h, of, at = h[fits], of[fits], at[fits]
+            if not rolling:
+                by = np.lexsort((at, h, of))
+                h, of, at = h[by], of[by], at[by]
+                first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(h, prepend=~h[:1]) != 0))
+                once = np.diff(first, append=len(h)) == 1
+                h, of, at = h[first], of[first], np.where(once, at[first], -1)
+            doc = b.column("doc_id").to_numpy()[of]
+            if len(h):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32))], names=["h", "doc", "pos"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "h long, doc long, pos int")
 
 
 def _spots(texts: DataFrame, block: int, slice_no: int) -> DataFrame:
@@ -127,35 +172,40 @@ def _spots(texts: DataFrame, block: int, slice_no: int) -> DataFrame:
 def _windows(docs: DataFrame, spots: DataFrame, window: int, block: int) -> DataFrame:
     """(h1, h2, doc, at) of every full window that holds a spot's block; ``at`` is its place
     behind 32 bits of the text's hash, which tells texts with one doc_id apart."""
-    lists = spots.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("at"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows():
-            for b in batches:
-                for doc, text, at in zip(b["doc_id"], b["text"], b["at"], strict=True):
-                    words = split_words(text)
-                    hashes = word_hashes(words)
-                    size = len(hashes) - window + 1
-                    if size <= 0:
-                        continue
-                    near = np.zeros(size + 1, dtype=np.int32)
-                    if at[0] < 0:  # a reference block with several places: all windows are looked at
-                        at = np.arange(len(hashes))
-                    np.add.at(near, np.clip(at - (window - block), 0, size), 1)
-                    np.add.at(near, np.clip(at + 1, 0, size), -1)
-                    pos = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                    h1, h2 = (gram_hashes(hashes, window, s)[pos].view(np.int64) for s in (0, 1))
-                    if len(pos):
-                        yield h1, h2, doc, pos | _mark(words)
-        return _frames(["h1", "h2", "doc", "at"], rows())
+    lists = spots.groupBy("doc").agg(F.collect_set("pos").alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, words, ends in text_slices(batches):
+            size = len(words) - window + 1
+            if size <= 0:
+                continue
+            starts = np.append(0, ends)
+            column = b.column("at")
+            edges = column.offsets.to_numpy()
+            spot = column.values.to_numpy()[edges[0]:edges[-1]]
+            of = np.repeat(np.arange(len(ends)), np.diff(edges))
+            everywhere = np.zeros(len(ends), dtype=bool)  # a reference block with several places: all windows are looked at
+            everywhere[of[spot < 0]] = True
+            of, spot = of[spot >= 0], spot[spot >= 0]
+            near = np.zeros(size + 1, dtype=np.int32)
+            np.add.at(near, np.clip(np.maximum(starts[of] + spot - (window - block), starts[of]), 0, size), 1)
+            np.add.at(near, np.clip(starts[of] + spot + 1, 0, size), -1)
+            doc = np.repeat(np.arange(len(ends)), np.diff(starts))[:size]
+            pos = np.flatnonzero(((np.cumsum(near[:-1]) > 0) | everywhere[doc]) & (np.arange(size) + window <= ends[doc]))
+            if len(pos):
+                doc = doc[pos]
+                mark = np.array([_mark(words[i:j]) for i, j in zip(starts[:-1], starts[1:], strict=True)], dtype=np.int64)
+                h1, h2 = (gram_hashes(words, window, s)[pos].view(np.int64) for s in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(b.column("doc_id").to_numpy()[doc]), pa.array(pos - starts[doc] | mark[doc])],
+                                                 names=["h1", "h2", "doc", "at"])
 
     near = docs.join(lists, docs.doc_id == lists.doc).select("doc_id", "text", "at")
-    return near.mapInPandas(run, "h1 long, h2 long, doc long, at long")
+    return near.mapInArrow(run, "h1 long, h2 long, doc long, at long")
 
 
-def _mark(words: list[bytes]) -> int:
-    """31 bits of a text's hash, above the 32 bits of a place."""
-    return (xxhash.xxh3_64_intdigest(b" ".join(words)) & 0x7FFFFFFF) << 32
+def _mark(hashes: np.ndarray) -> int:
+    """31 bits of a hash of a text's words, above the 32 bits of a place."""
+    return (xxhash.xxh3_64_intdigest(hashes.tobytes()) & 0x7FFFFFFF) << 32
 
 
 def kept_text(words: list[bytes], starts, window: int) -> tuple[int, bytes]:
@@ -220,17 +270,18 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     discard(windows)
     release(spark)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, hashes, ends in text_slices(batches):
             done = []
-            for t, at in zip(b["text"], b["starts"], strict=True):
-                words, at = split_words(t), np.asarray(at, dtype=np.int64)
-                done.append(kept_text(words, (at & 0xFFFFFFFF)[at >> 32 == _mark(words) >> 32], window))
-            yield pd.DataFrame({"k1": b["k1"], "k2": b["k2"], "of": b["doc_id"], "gone": [n for n, _ in done], "kept": [k.decode("utf-8", "surrogatepass") for _, k in done],
-                                "digest": [hashlib.sha256(k).hexdigest() for _, k in done]})
+            for t, at, i, j in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), np.append(0, ends[:-1]), ends, strict=True):
+                at = np.array(at, dtype=np.int64)
+                done.append(kept_text(split_words(t), (at & 0xFFFFFFFF)[at >> 32 == _mark(hashes[i:j]) >> 32], window))
+            made = [pa.array([n for n, _ in done], pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for _, k in done]),
+                    pa.array([hashlib.sha256(k).hexdigest() for _, k in done])]
+            yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), b.column("doc_id"), *made], names=["k1", "k2", "of", "gone", "kept", "digest"])
 
     some = (named.join(repeats, named.doc_id == repeats.doc).select("k1", "k2", "doc_id", "text", "starts")
-            .mapInPandas(cut, "k1 long, k2 int, of long, gone long, kept string, digest string").where("gone > 0")
+            .mapInArrow(cut, "k1 long, k2 int, of long, gone long, kept string, digest string").where("gone > 0")
             .dropDuplicates(["k1", "k2", "of"]))
     firsts = base.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
     out = base.join(firsts, ["k1", "k2"], "left").join(

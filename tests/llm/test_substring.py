@@ -59,3 +59,23 @@ def test_texts_of_one_doc_id_with_a_block_at_different_places(spark):
 
 def test_empty_table(spark):
     assert substring.remove_repeats(cases.frame(spark, [])).count() == 0
+
+
+def test_words_hash_alike_wherever_blocks_are_cut(monkeypatch):
+    import numpy as np
+    texts = ["a bb  ccc\x0b" + "d" * 90, "", "bb", " \t", "x" + "y" * 40 + " bb a", "é ñandú 日本 a"]
+
+    def hashed():
+        substring._tables.cache_clear()
+        raw = [t.encode() for t in texts]
+        return substring.word_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw]))
+
+    words = [w for t in texts for w in substring.split_words(t)]
+    h, ends = hashed()
+    assert ends.tolist() == np.cumsum([len(substring.split_words(t)) for t in texts]).tolist()
+    assert len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 16)
+    short, _ = hashed()
+    assert [x for x, w in zip(short.tolist(), words) if len(w) <= 16] == [x for x, w in zip(h.tolist(), words) if len(w) <= 16]
+    assert len(set(zip(words, short.tolist()))) == len(set(short.tolist())) == len(set(words))
+    substring._tables.cache_clear()
