@@ -325,7 +325,11 @@ def _counted_spans(classes: DataFrame, length: int, gram: int) -> DataFrame:
 
     rows = classes.mapInPandas(run, "g long, c1 long, c2 long, n long, o long, w1 long, w2 long")
     twice = rows.groupBy("g", "o", "w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
-    return rows.join(twice, ["g", "o", "w1", "w2"]).select("g", "c1", "c2", (-F.col("o")).alias("lo"), (F.lit(length) - F.col("o")).alias("hi"))
+    offsets = rows.join(twice, ["g", "o", "w1", "w2"]).groupBy("g", "c1", "c2").agg(F.array_sort(F.collect_set("o")).alias("at"))  # reach + 1 at most
+    first = F.filter("at", lambda o, i: (i == 0) | (F.get("at", i - 1) != o - 1))
+    last = F.filter("at", lambda o, i: F.coalesce(F.get("at", i + 1) != o + 1, F.lit(True)))
+    runs = offsets.select("g", "c1", "c2", F.explode(F.arrays_zip(first.alias("low"), last.alias("high"))).alias("run"))
+    return runs.select("g", "c1", "c2", (-F.col("run.high")).alias("lo"), (F.lit(length) - F.col("run.low")).alias("hi"))
 
 
 def cut_spans(raw: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
