@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from finseries.session import scratch_path
+from finseries.session import ship_package as _ship_package
 
 #: ASCII letters, for lower-casing A-Z alone.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -26,6 +27,18 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: Rows of whole texts that Spark sends to a Python worker at once: bounds memory on both sides of the pipe.
+BATCH_ROWS = 1_000
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, and Arrow batches small enough for whole texts (a smaller setting stays)."""
+    _ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -32,8 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import release, save
-from finseries.session import ship_package
+from finseries.llm.common import release, save, ship_package
 
 #: Fixed value: white space of the contract, for trimming.
 BLANKS = " \t\n\x0b\x0c\r"

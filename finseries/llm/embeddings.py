@@ -27,9 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import release, save
+from finseries.llm.common import release, save, ship_package
 from finseries.llm.components import components
-from finseries.session import ship_package
 
 #: Vectors the rotation is learned on, at most (chosen by hash).
 SAMPLE = 10_000

@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import map_texts
-from finseries.session import ship_package
+from finseries.llm.common import map_texts, ship_package
 
 #: n-gram lengths in bytes, and hash buckets.
 ORDERS = (2, 3, 4)

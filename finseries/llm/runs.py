@@ -28,8 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import let, map_texts
-from finseries.session import ship_package
+from finseries.llm.common import let, map_texts, ship_package
 
 #: Fixed values of the contract.
 LEAST_WORDS, LEAST_PERIODS = 6, 4

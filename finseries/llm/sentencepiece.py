@@ -33,8 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finseries.llm.common import let, map_texts
-from finseries.session import ship_package
+from finseries.llm.common import let, map_texts, ship_package
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")

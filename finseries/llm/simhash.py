@@ -29,9 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import map_texts, release, save, spare
+from finseries.llm.common import map_texts, release, save, ship_package, spare
 from finseries.llm.components import components
-from finseries.session import ship_package
 
 HASH_SEED = 42
 #: Shingles voted on at once: bounds memory on very long texts.
@@ -192,11 +191,11 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
 
     A repeated row (same doc_id and text) is kept once.  All columns of ``docs`` are returned, whatever their names.
     """
-    first, first_hash, own_hash = spare(docs, "first_id", "first_hash", "own_hash")
+    # a null-safe key of plain columns: rows that the join brings together need no second shuffle to be told apart
+    names = spare(docs, "key_id", "key_null", "key_hash")
+    key = [F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)), F.col("doc_id").isNull(), F.xxhash64("text")]
     groups = simhash_groups(docs.select("doc_id", "text"), shingle, max_bits)
-    kept = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.min(F.struct("doc_id", "thash")).alias("k"))
-            .select(F.col("k.doc_id").alias(first), F.col("k.thash").alias(first_hash)))
-    keyed = docs.withColumn(own_hash, F.xxhash64("text"))
-    out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(first)) & (F.col(own_hash) == F.col(first_hash)), "left_semi")
-    return out.dropDuplicates(["doc_id", own_hash]).drop(own_hash)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("doc_id", "thash")).alias("k"))
+    kept = kept.select(F.coalesce("k.doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias(names[0]), F.col("k.doc_id").isNull().alias(names[1]), F.col("k.thash").alias(names[2]))
+    keyed = docs.withColumns(dict(zip(names, key, strict=True)))
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)

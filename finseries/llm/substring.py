@@ -33,8 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import discard, map_texts, release, save
-from finseries.session import ship_package
+from finseries.llm.common import discard, map_texts, release, save, ship_package
 
 #: Passes over the hash space.
 SLICES = 3

@@ -34,8 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finseries.llm.common import discard, release, save
-from finseries.session import ship_package
+from finseries.llm.common import discard, release, save, ship_package
 
 #: Bytes hashed at once on very long texts.
 BLOCK = 1 << 20

@@ -26,8 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finseries.llm.common import discard, release, save
-from finseries.session import ship_package
+from finseries.llm.common import discard, release, save, ship_package
 
 #: Candidates per lane aimed at, queries multiplied at once, and bins per round.
 LANE = 8_192
