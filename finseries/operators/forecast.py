@@ -61,24 +61,29 @@ def future_dates(last_ds, horizon: int):
     return F.sequence(F.date_add(last_ds, 1), F.date_add(last_ds, horizon))
 
 
-def forecast_baseline(train: DataFrame, key: str = "symbol", horizon: int = DEFAULT_HORIZON,
-                      with_fitted: bool = False, digits: int | None = None) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def forecast_baseline(train: DataFrame, key: str | list[str] = "symbol", horizon: int = DEFAULT_HORIZON,
+                      with_fitted: bool = False, digits: int | None = None, with_bounds: bool = False) -> DataFrame:
     """Log-linear trend plus weekday mean residual, back-transformed.
 
     Per asset: intercept ``a`` and slope ``b`` of y on x (days since the
     asset's last training date), the mean residual per weekday, and the
     sample sd of the remaining residuals for 80 % bounds.  Output: key, date,
     forecast (future days only), or with ``with_fitted`` key, date, value,
-    Type, lower_ci, upper_ci for training and future days.
+    Type, lower_ci, upper_ci for training and future days (``with_bounds``: the same for future days only).
 
     ``train`` holds at most a fixed number of rows per asset (the training
     cut), so windows partitioned by the asset are bounded; they replace the
     aggregate-and-join passes.  The per-asset weekday means (at most seven)
     travel to the future rows as a small map.
     """
-    asset = Window.partitionBy(key)
-    day = Window.partitionBy(key, "_dow")
-    h = (train.select(key, "ds", "y")
+    keys = _keys(key)
+    asset = Window.partitionBy(*keys)
+    day = Window.partitionBy(*keys, "_dow")
+    h = (train.select(*keys, "ds", "y")
          .withColumn("last_ds", F.max("ds").over(asset))
          .withColumn("x", F.datediff("ds", "last_ds").cast("double"))
          .withColumn("a", F.regr_intercept("y", "x").over(asset))
@@ -86,26 +91,27 @@ def forecast_baseline(train: DataFrame, key: str = "symbol", horizon: int = DEFA
          .withColumn("_dow", F.dayofweek("ds"))
          .withColumn("_s", F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("x"))).over(day))
          .withColumn("_pred", F.col("a") + F.col("b") * F.col("x") + F.col("_s")))
-    per = h.groupBy(key).agg(
+    per = h.groupBy(*keys).agg(
         F.max("last_ds").alias("last_ds"), F.max("a").alias("a"), F.max("b").alias("b"),
         F.map_from_entries(F.collect_set(F.struct("_dow", "_s"))).alias("_smap"),
         F.stddev_samp(F.col("y") - F.col("_pred")).alias("_sd"))
-    fut = (per.select(key, "last_ds", "a", "b", "_smap", "_sd",
+    fut = (per.select(*keys, "last_ds", "a", "b", "_smap", "_sd",
                       F.explode(future_dates(F.col("last_ds"), horizon)).alias("date"))
            .withColumn("x", F.datediff("date", "last_ds").cast("double"))
            .withColumn("_pred", F.col("a") + F.col("b") * F.col("x")
                        + F.coalesce(F.col("_smap")[F.dayofweek("date")], F.lit(0.0))))
 
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    if not with_fitted:
-        return fut.select(key, "date", rnd(F.exp("_pred")).alias("forecast"))
+    if not (with_fitted or with_bounds):
+        return fut.select(*keys, "date", rnd(F.exp("_pred")).alias("forecast"))
 
-    hist = h.join(per.select(key, "_sd"), key).select(
-        key, F.col("ds").alias("date"), "last_ds", "_pred", "_sd")
-    rows = hist.unionByName(fut.select(key, "date", "last_ds", "_pred", "_sd"))
+    rows = fut.select(*keys, "date", "last_ds", "_pred", "_sd")
+    if with_fitted:
+        rows = h.join(per.select(*keys, "_sd"), keys).select(
+            *keys, F.col("ds").alias("date"), "last_ds", "_pred", "_sd").unionByName(rows)
     sd = F.coalesce(F.col("_sd"), F.lit(0.0))
     return rows.select(
-        key, "date",
+        *keys, "date",
         rnd(F.exp("_pred")).alias("value"),
         F.when(F.col("date") > F.col("last_ds"), F.lit(FORECAST)).otherwise(F.lit(FITTED)).alias("Type"),
         rnd(F.exp(F.col("_pred") - Z80 * sd)).alias("lower_ci"),
@@ -136,7 +142,7 @@ def band(fc: DataFrame) -> DataFrame:
     return fc.where(F.col("Type") == FORECAST)
 
 
-def forecast_additive(train: DataFrame, key: str = "symbol",
+def forecast_additive(train: DataFrame, key: str | list[str] = "symbol",
                       horizon: int = DEFAULT_HORIZON) -> DataFrame:
     """Trend with slope changes plus weekly cycle, one grouped-map task per asset.
 
@@ -145,9 +151,9 @@ def forecast_additive(train: DataFrame, key: str = "symbol",
     lower_ci, upper_ci (back-transformed with ``exp`` in Spark) and converged:
     whether the asset's fit passes the optimality test of ``trend_model``.
     """
-    key_type = train.schema[key].dataType
+    keys = _keys(key)
     out_schema = T.StructType([
-        T.StructField(key, key_type), T.StructField("date", T.DateType()),
+        *(T.StructField(k, train.schema[k].dataType) for k in keys), T.StructField("date", T.DateType()),
         T.StructField("last_ds", T.DateType()), T.StructField("yhat", T.DoubleType()),
         T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType()),
         T.StructField("converged", T.BooleanType())])
@@ -161,12 +167,12 @@ def forecast_additive(train: DataFrame, key: str = "symbol",
         dates = np.concatenate([np.sort(ds), future])
         mean, lo, hi = trend_model.predict(m, dates)
         return pd.DataFrame({
-            key: pdf[key].iloc[0], "date": pd.to_datetime(dates).date, "last_ds": pd.Timestamp(last).date(),
+            **{k: pdf[k].iloc[0] for k in keys}, "date": pd.to_datetime(dates).date, "last_ds": pd.Timestamp(last).date(),
             "yhat": mean, "yhat_lower": lo, "yhat_upper": hi, "converged": m.converged})
 
     ship_package(train.sparkSession)
-    fc = train.select(key, "ds", "y").groupBy(key).applyInPandas(fit_predict, out_schema)
+    fc = train.select(*keys, "ds", "y").groupBy(*keys).applyInPandas(fit_predict, out_schema)
     return fc.select(
-        key, "date", F.exp("yhat").alias("value"),
+        *keys, "date", F.exp("yhat").alias("value"),
         F.when(F.col("date") > F.col("last_ds"), F.lit(FORECAST)).otherwise(F.lit(FITTED)).alias("Type"),
         F.exp("yhat_lower").alias("lower_ci"), F.exp("yhat_upper").alias("upper_ci"), "converged")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finseries.functions import labels
-from finseries.functions.parse import numbers, percent_to_number, to_number
+from finseries.functions.parse import percent_to_number, to_number
 
 NUMERIC = ["price", "change_amount", "change_percentage", "volume"]
 
@@ -27,7 +27,7 @@ def type_movers(raw: DataFrame) -> DataFrame:
 
 def clean_movers(raw: DataFrame) -> DataFrame:
     """Typed movers with every row that has a missing number dropped."""
-    return numbers(type_movers(raw)).na.drop(subset=NUMERIC)
+    return type_movers(raw).na.drop(subset=NUMERIC)  # typed numbers are never NaN
 
 
 def top_movers(movers: DataFrame, k: int = 10, by: str = "change_amount") -> DataFrame:

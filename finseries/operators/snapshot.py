@@ -9,6 +9,7 @@ of a table partitioned by date, and skips row groups of a table sorted by it.
 
 from __future__ import annotations
 
+import datetime as dt
 import weakref
 
 from pyspark.sql import Column, DataFrame
@@ -29,11 +30,25 @@ def _bound(bars: DataFrame, date_col: str, name: str, value) -> Column:
     row groups outside the bound are skipped.
     """
     per = _BOUNDS.setdefault(bars, {})
+    if (date_col, "known") in per and (date_col, name) not in per:
+        latest, prev = per[date_col, "known"]
+        day = {"latest": latest, "prev": prev, "year": latest and latest.replace(month=1, day=1)}
+        known = day[name] if name in day else latest and latest + dt.timedelta(days=int(name))
+        per[date_col, name] = F.lit(known).cast("date")
     if (date_col, name) not in per:
         per[date_col, name] = value(bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())).scalar()
     return per[date_col, name]
 
 
+def know_dates(bars: DataFrame, latest: dt.date | None, prev: dt.date | None, date_col: str = "date") -> DataFrame:
+    """``bars`` with its two newest dates told (as recorded at publish): its date bounds become literals, without a scan.
+
+    Only this DataFrame knows them; one that is derived from it looks them up again.
+    """
+    _BOUNDS.setdefault(bars, {})[date_col, "known"] = (latest, prev)
+    return bars
+
+
 def latest_date(bars: DataFrame, date_col: str = "date") -> Column:
     """Scalar subquery: the greatest date of the table."""
     return _bound(bars, date_col, "latest", lambda d: d.agg(F.max("_d")))

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finseries.operators import backtest as BT
 from finseries.operators import forecast as FC
 from finseries.operators import indicators as I_
 from finseries.operators import movers as M_
@@ -305,9 +306,11 @@ def _curated(spark, bars, dataset, floor, code_col=None):
     from finseries.sources import store as ST
     landing = R.land_csv(bars, scratch_path(spark, "landing", dataset), dataset, code_col)
     table = scratch_path(spark, "curated", dataset)
-    ST.publish(R.curate(spark, landing, dataset, floor=floor), table, sort_within=["date"] if "date" in R.RAW_COLUMNS[dataset] else None)
+    dated = "date" in R.RAW_COLUMNS[dataset]
+    ST.publish(R.curate(spark, landing, dataset, floor=floor), table, sort_within=["date"] if dated else None, dates="date" if dated else None)
     remove_path(spark, landing)
-    return ST.read_curated(spark, table)
+    rows, known = ST.read_curated(spark, table), ST.run_dates(spark, table)
+    return S.know_dates(rows, *known[1:]) if known else rows
 
 
 def _case(col, names):
@@ -433,24 +436,20 @@ def _exact_part_sql(view, key, pre=""):
     return with_views(f"""{pre}{Q.training(view, key, MIN_POINTS, LAST_POINTS)},
 lst AS (SELECT {key}, max(ds) AS last_ds FROM tr GROUP BY {key}),
 act AS (SELECT {key}, ds, y, row_number() OVER (PARTITION BY {key} ORDER BY ds DESC) AS rn FROM tr)
-SELECT {key}, ds AS date, 'Actual' AS Type, round(exp(y), {FC_DIGITS}) AS actual, CAST(NULL AS BOOLEAN) AS in_band
-FROM act WHERE rn <= {SHOW_LAST}
-UNION ALL SELECT {key}, ds, 'Fitted', NULL, true FROM tr
-UNION ALL SELECT {key}, CAST(last_ds + h * INTERVAL 1 DAY AS DATE), 'Forecast', NULL, true
+SELECT {key}, ds AS date, 'Actual' AS Type, round(exp(y), {FC_DIGITS}) AS actual FROM act WHERE rn <= {SHOW_LAST}
+UNION ALL SELECT {key}, ds, 'Fitted', NULL FROM tr
+UNION ALL SELECT {key}, CAST(last_ds + h * INTERVAL 1 DAY AS DATE), 'Forecast', NULL
 FROM (SELECT {key}, last_ds, unnest(generate_series(1, {HORIZON})) AS h FROM lst)""", "L" if view != "T" else "T")
 
 
 def _exact_part(train, key):
     rows = FC.combined(train, FC.forecast_additive(train, key, HORIZON), key, SHOW_LAST)
-    actual = F.col("Type") == FC.ACTUAL
-    return rows.select(
-        key, "date", "Type", F.when(actual, F.round("value", FC_DIGITS)).alias("actual"),
-        F.when(~actual, F.coalesce((F.col("lower_ci") <= F.col("value")) & (F.col("value") <= F.col("upper_ci")), F.lit(False))).alias("in_band"))
+    return rows.select(key, "date", "Type", F.when(F.col("Type") == FC.ACTUAL, F.round("value", FC_DIGITS)).alias("actual"))
 
 
 @register("forecast_additive", _exact_part_sql("T", "symbol"))
 def forecast_additive(spark, sf_dir):
-    """The additive forecast; model values are checked against their band, as SQL cannot compute them."""
+    """The additive forecast; its model values, which SQL cannot compute, are judged by ``forecast_backtest``."""
     return _exact_part(_staged_training(spark, A.tick_bars(spark, sf_dir), "symbol"), "symbol")
 
 
@@ -479,6 +478,46 @@ def forecast_fit_check(spark, sf_dir):
     return fits.groupBy("stock").agg(F.count("*").alias("n_points"), F.every("converged").alias("converged"))
 
 
+FOLDS = 3
+
+_BACKTEST = with_views(f"""{Q.training('L', 'stock', MIN_POINTS, LAST_POINTS)},
+f AS (SELECT stock, ds, y, fold, max(ds) OVER (PARTITION BY stock) AS last FROM tr, (SELECT unnest(range(1, {FOLDS + 1})) AS fold)),
+o AS (SELECT *, max(CASE WHEN ds <= last - CAST(fold * {HORIZON} AS INTEGER) THEN ds END) OVER (PARTITION BY stock, fold) AS origin FROM f),
+k AS (SELECT *, ds > origin AS held, count(*) FILTER (ds <= origin) OVER w AS n, count(*) FILTER (ds > origin AND ds <= origin + {HORIZON}) OVER w AS h
+      FROM o WINDOW w AS (PARTITION BY stock, fold)),
+p AS (SELECT *, CAST(date_diff('day', origin, ds) AS DOUBLE) AS x FROM k WHERE ds <= origin + {HORIZON} AND n >= {MIN_POINTS} AND h > 0),
+fit AS (SELECT stock, fold, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM p WHERE NOT held GROUP BY ALL),
+r AS (SELECT p.*, a, b, y - (a + b * x) AS e FROM p JOIN fit USING (stock, fold)),
+dow AS (SELECT stock, fold, dayofweek(ds) AS dw, avg(e) AS s FROM r WHERE NOT held GROUP BY ALL),
+q AS (SELECT r.*, a + b * x + coalesce(s, 0) AS pred FROM r LEFT JOIN dow ON dow.stock = r.stock AND dow.fold = r.fold AND dow.dw = dayofweek(r.ds)),
+sd AS (SELECT stock, fold, coalesce(stddev_samp(y - pred), 0) AS sd FROM q WHERE NOT held GROUP BY ALL)
+SELECT stock, count(DISTINCT fold) AS n_folds, count(*) AS n_held, round(avg(abs(exp(pred) - exp(y)) / exp(y)), {FC_DIGITS}) AS baseline_error,
+       round(avg(CASE WHEN exp(pred - {FC.Z80} * sd) <= exp(y) AND exp(y) <= exp(pred + {FC.Z80} * sd) THEN 1.0 ELSE 0.0 END), {FC_DIGITS}) AS baseline_inside,
+       true AS model_calibrated
+FROM q JOIN sd USING (stock, fold) WHERE held GROUP BY stock""", "L")
+
+
+def _backtest(spark, sf_dir):
+    return BT.backtest(_staged_training(spark, A.long_bars(spark, sf_dir), "stock"), "stock", FOLDS, HORIZON, MIN_POINTS)
+
+
+@register("forecast_backtest", _BACKTEST)
+def forecast_backtest(spark, sf_dir):
+    """Rolling-origin errors and band coverage.  The baseline's are exact; the model, which SQL cannot
+    compute, counts as calibrated if its 80 % bands hold 70 to 90 % of all held-out days."""
+    from finseries.sources.store import stage
+    found = stage(_backtest(spark, sf_dir), "backtest")
+    inside = found.agg(F.sum(F.col("model_inside") * F.col("n_held")) / F.sum("n_held")).scalar()
+    return found.select("stock", "n_folds", "n_held", F.round("baseline_error", FC_DIGITS).alias("baseline_error"),
+                        F.round("baseline_inside", FC_DIGITS).alias("baseline_inside"), inside.between(0.7, 0.9).alias("model_calibrated"))
+
+
+@register("forecast_backtest_model")
+def forecast_backtest_model(spark, sf_dir):
+    """The model's own rolling-origin error and band coverage beside the baseline's (no SQL twin)."""
+    return _backtest(spark, sf_dir)
+
+
 @register("forecast_band", ORACLE["forecast_combined_baseline"].replace(
     "SELECT symbol, ds AS date, round(exp(y)", "SELECT * FROM (SELECT symbol, ds AS date, round(exp(y)") + ") WHERE Type = 'Forecast'")
 def forecast_band(spark, sf_dir):

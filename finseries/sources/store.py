@@ -11,11 +11,14 @@ them may be a load that is still being written.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 RUN_PREFIX = "run="
 
@@ -55,7 +58,7 @@ def complete(spark: SparkSession, path: str) -> bool:
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
             single_file: bool = False, keep: int = 2, sort_within: list[str] | None = None,
-            before_success: Callable[[str], None] | None = None) -> str:
+            before_success: Callable[[str], None] | None = None, dates: str | None = None) -> str:
     """Write ``df`` as a new complete run of the table at ``path``; return the run folder.
 
     ``partition_by`` writes one folder per value, after a rebalance on those
@@ -65,13 +68,19 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
     row-group statistics can skip data on those columns.  ``keep`` complete
     runs stay; older ones are deleted after the new run is complete.  ``before_success``
     gets the run's name before its rows are written (a manifest without a
-    complete run is never looked at).
+    complete run is never looked at).  ``dates`` names a date column whose
+    smallest and two largest dates are observed while the rows are written and
+    recorded beside the run (``run_dates``); the distinct days are all that is held for it.
     """
     spark = df.sparkSession
     name = f"{RUN_PREFIX}{new_run_id(complete_runs(spark, path))}"
     target = f"{path.rstrip('/')}/{name}"
     if before_success:
         before_success(name)
+    seen = Observation()
+    if dates:
+        days = F.sort_array(F.collect_set(F.col(dates).cast("date")), asc=False)
+        df = df.observe(seen, F.min(F.col(dates).cast("date")).alias("first"), F.slice(days, 1, 2).alias("newest"))
     out = df.coalesce(1) if single_file else df
     if partition_by and not single_file:
         # cluster rows by folder so each task writes few folders; AQE splits a
@@ -83,16 +92,59 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
+    if dates:
+        _write_text(spark, _dates_path(path, name), json.dumps({"first": _iso(seen.get["first"]), "newest": list(map(_iso, seen.get["newest"] or []))}))
     prune_runs(spark, path, keep)
     return target
 
 
+def _iso(day: dt.date | None) -> str | None:
+    return day and day.isoformat()
+
+
+def _dates_path(path: str, run: str) -> str:
+    return f"{path.rstrip('/')}/_dates/{run}.json"
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    _, fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    jvm, fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    file = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    finally:
+        file.close()
+
+
+def run_dates(spark: SparkSession, path: str) -> tuple[dt.date | None, dt.date | None, dt.date | None] | None:
+    """(first, latest, previous) dates of the newest complete run, as recorded when it was published; None if they were not.
+
+    Dates that the run does not have are None.
+    """
+    runs = complete_runs(spark, path)
+    text = _read_text(spark, _dates_path(path, runs[-1])) if runs else None
+    if text is None:
+        return None
+    told = json.loads(text)
+    first, latest, prev = (d and dt.date.fromisoformat(d) for d in [told["first"], *(told["newest"] + [None, None])[:2]])
+    return first, latest, prev
+
+
 def prune_runs(spark: SparkSession, path: str, keep: int = 2) -> None:
     if keep < 1:
         raise ValueError("keep at least one run")
     runs = complete_runs(spark, path)
     jvm, fs, _ = _fs(spark, path)
     for name in runs[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_dates_path(path, name)), False)
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"), True)
 
 

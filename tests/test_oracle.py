@@ -38,7 +38,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(catalogue.QUERIES) == set(catalogue.ORACLE)
+    assert set(catalogue.QUERIES) - set(catalogue.ORACLE) == {"forecast_backtest_model"}  # a model SQL cannot compute
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE))
