@@ -7,6 +7,12 @@ written table, and a failed load leaves the previous run in place.  Older
 complete runs are removed only after the new one is complete; runs without
 ``_SUCCESS`` are never read and never removed automatically, because one of
 them may be a load that is still being written.
+
+``publish_changed`` keeps tables whose files are laid out by code: a run then
+holds the files of the changed codes only, and a version table beside it
+(``_versions/<run>``, complete before the run is) names the files of older runs
+that are carried over.  Reading a version reads both; pruning deletes a file
+once no kept version names it.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RUN_PREFIX = "run="
 
@@ -138,11 +145,108 @@ def run_dates(spark: SparkSession, path: str) -> tuple[dt.date | None, dt.date |
     return first, latest, prev
 
 
+VERSION = "kind string, value string"
+PRUNED = "_PRUNED"
+
+
+def _version_path(path: str, run: str) -> str:
+    return f"{path.rstrip('/')}/_versions/{run}"
+
+
+def is_versioned(spark: SparkSession, path: str, run: str | None = None) -> bool:
+    """Whether a complete run (by default the newest) was published by ``publish_changed``."""
+    runs = complete_runs(spark, path) if run is None else [run]
+    return bool(runs) and complete(spark, _version_path(path, runs[-1]))
+
+
+def _version(spark: SparkSession, path: str, run: str) -> DataFrame:
+    return spark.read.schema(VERSION).parquet(_version_path(path, run))
+
+
+def _own_files(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """(value): a run's data files, relative to the table; contents are not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(f"{path.rstrip('/')}/{run}").select("path"))
+    return files.select(F.regexp_extract("path", rf"({run}/.*)$", 1).alias("value"))
+
+
+def code_of_path(path_col: str, code_col: str):
+    """The code in a ``<code_col>=<code>/`` folder of a path (folder names escape special characters)."""
+    part = F.regexp_extract(path_col, rf"/{code_col}=([^/]*)/", 1)
+    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+
+
+def publish_changed(rows: DataFrame, path: str, code_col: str, changed: DataFrame | None = None, keep: int = 2,
+                    sort_within: list[str] | None = None, before_success: Callable[[str], None] | None = None) -> str:
+    """Publish ``rows`` as all there is now for the codes in ``changed``; return the run folder.
+
+    Other codes' files are carried over by name from the newest version, and
+    not read.  Without ``changed``, or before the first version, nothing is
+    carried over.  Readers see the old version whole until the new run is
+    complete; a load that fails leaves it.  Rows without a code are not kept
+    by code: they belong to the null folder and are replaced when ``changed`` holds null.
+    """
+    spark = rows.sparkSession
+    runs = complete_runs(spark, path)
+
+    def write_version(name: str) -> None:
+        carried = spark.createDataFrame([], VERSION)
+        if changed is not None and runs and is_versioned(spark, path, runs[-1]):
+            files = _version(spark, path, runs[-1]).where("kind = 'file'").select("value").unionByName(_own_files(spark, path, runs[-1]))
+            code = code_of_path("value", code_col)
+            code = F.when(code != "__HIVE_DEFAULT_PARTITION__", code)
+            hit = changed.select(F.col(code_col).cast("string").alias("_changed"))
+            kept = files.withColumn("_code", code).join(hit, F.col("_code").eqNullSafe(F.col("_changed")), "left_anti")
+            carried = kept.select(F.lit("file").alias("kind"), "value")
+        shape = spark.createDataFrame([("schema", rows.schema.json())], VERSION)
+        carried.unionByName(shape).write.mode("overwrite").parquet(_version_path(path, name))
+        if before_success:
+            before_success(name)
+
+    return publish(rows, path, partition_by=[code_col], keep=keep, sort_within=sort_within, before_success=write_version)
+
+
+def _read_version(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """The files of a version: its own and those it carries over (a list of names, as any scan's own file listing)."""
+    told = _version(spark, path, run).collect()
+    schema = T.StructType.fromJson(json.loads(next(r.value for r in told if r.kind == "schema")))
+    root = path.rstrip("/")
+    files = [f"{root}/{r.value}" for r in told if r.kind == "file"]
+    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{run}", *files).select(*schema.fieldNames())
+
+
+def _prune_versions(spark: SparkSession, path: str, old: list[str], kept: list[str]) -> None:
+    """Old runs stop being complete; their files go once no kept version carries them over."""
+    jvm, fs, root = _fs(spark, path)
+    to_path = jvm.org.apache.hadoop.fs.Path
+    for name in old:
+        fs.create(to_path(root, f"{name}/{PRUNED}"), True).close()
+        fs.delete(to_path(root, f"{name}/_SUCCESS"), False)
+    named = {r.value for run in kept if is_versioned(spark, path, run) for r in _version(spark, path, run).where("kind = 'file'").collect()}
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(RUN_PREFIX) and fs.exists(to_path(st.getPath(), PRUNED))):
+            continue
+        if not any(v.startswith(f"{name}/") for v in named):
+            fs.delete(st.getPath(), True)
+            fs.delete(to_path(_version_path(path, name)), True)
+            continue
+        found = fs.listFiles(st.getPath(), True)
+        while found.hasNext():
+            file = found.next().getPath()
+            value = file.toString().partition(f"/{name}/")[2]
+            if value.endswith(".parquet") and f"{name}/{value}" not in named:
+                fs.delete(file, False)
+
+
 def prune_runs(spark: SparkSession, path: str, keep: int = 2) -> None:
     if keep < 1:
         raise ValueError("keep at least one run")
     runs = complete_runs(spark, path)
     jvm, fs, _ = _fs(spark, path)
+    if is_versioned(spark, path):
+        _prune_versions(spark, path, runs[:-keep], runs[-keep:])
+        return
     for name in runs[:-keep]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(_dates_path(path, name)), False)
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"), True)
@@ -156,7 +260,10 @@ def latest_run(spark: SparkSession, path: str) -> str:
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete run of the table at ``path``."""
+    """The newest complete run of the table at ``path``, with what it carries over from older ones."""
+    run = latest_run(spark, path).rpartition("/")[2]
+    if is_versioned(spark, path, run):
+        return _read_version(spark, path, run)
     return spark.read.parquet(latest_run(spark, path))
 
 

@@ -5,10 +5,10 @@ Each published run keeps a manifest of the landed files it was made from
 again (file metadata only, no contents) and compares: a file that is new,
 was overwritten in place, or is gone marks its code as changed.  Nothing
 changed: nothing is published.  Otherwise only the changed codes' files are
-read and typed again; the other codes' rows are carried over from the
-previous run, and the result is published as a new run, so readers switch
-when it is complete.  A dataset whose published rows do not hold the code is
-curated again as a whole.
+read, typed and written again; the other codes' published files are carried
+over by name from the previous run (``store.publish_changed``), so a refresh
+costs what changed, and readers switch when the new run is complete.  A
+dataset whose published rows do not hold the code is curated again as a whole.
 """
 
 from __future__ import annotations
@@ -51,8 +51,7 @@ def changed_files(before: DataFrame, now: DataFrame) -> DataFrame:
 def _code(layout: str, code_col: str):
     if layout == "files":
         return F.regexp_extract("path", r"([^/]*)\.csv$", 1)
-    part = F.regexp_extract("path", rf"/{code_col}=([^/]*)/", 1)
-    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))  # folder names escape special characters
+    return ST.code_of_path("path", code_col)
 
 
 def republish_on_arrival(spark: SparkSession, landing: str, dataset: str, table: str,
@@ -61,26 +60,29 @@ def republish_on_arrival(spark: SparkSession, landing: str, dataset: str, table:
     """Bring ``table`` up to the files landed so far; return the run folders published (none or one)."""
     now = ST.stage(landed_files(spark, landing), "manifest")
     before = _last_manifest(spark, table)
-    code_col = DATASETS[dataset]["code"]
+    code_col, schema = DATASETS[dataset]["code"], PUBLISHED_SCHEMAS[dataset]
+    by_code = code_col in schema.fieldNames()
+    codes = None
     if before is None:
         if now.isEmpty():
             return []
-        rows = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name)
+        paths = landing
     else:
         changed = ST.stage(changed_files(before, now), "changed")
         if changed.isEmpty():
             return []
-        if code_col not in PUBLISHED_SCHEMAS[dataset].fieldNames():
-            rows = R.curate(spark, landing, dataset, layout, floor=floor, header=header, by_name=by_name) if not now.isEmpty() else ST.read_curated(spark, table).limit(0)
-        else:
+        paths = None if now.isEmpty() else landing
+        if by_code and ST.is_versioned(spark, table):
             codes = changed.select(_code(layout, code_col).alias(code_col)).distinct()
-            rows = ST.read_curated(spark, table).join(codes, code_col, "left_anti")
             # one path per changed file's code: the list the next read needs anyway
             paths = [r.path for r in now.withColumn(code_col, _code(layout, code_col)).join(codes, code_col, "left_semi").select("path").collect()]
-            if paths:
-                fresh = R.curate(spark, paths, dataset, layout, floor=floor, header=header, by_name=by_name, base=landing)
-                rows = rows.unionByName(fresh)
-    run = ST.publish(rows.select(*PUBLISHED_SCHEMAS[dataset].fieldNames()), table,
-                     sort_within=["date"] if "date" in PUBLISHED_SCHEMAS[dataset].fieldNames() else None,
-                     before_success=lambda name: now.write.mode("overwrite").parquet(_manifest_path(table, name)))
-    return [run]
+    rows = (R.curate(spark, paths, dataset, layout, floor=floor, header=header, by_name=by_name, base=landing if codes is not None else None)
+            if paths else spark.createDataFrame([], schema))
+    rows, sort = rows.select(*schema.fieldNames()), ["date"] if "date" in schema.fieldNames() else None
+
+    def keep_manifest(name: str) -> None:
+        now.write.mode("overwrite").parquet(_manifest_path(table, name))
+
+    if by_code:
+        return [ST.publish_changed(rows, table, code_col, codes, sort_within=sort, before_success=keep_manifest)]
+    return [ST.publish(rows, table, sort_within=sort, before_success=keep_manifest)]
