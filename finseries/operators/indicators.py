@@ -132,3 +132,52 @@ def rolling_mean(ind: DataFrame, indicators: Iterable[str] | None = None, window
     if digits is not None:
         avg = F.round(avg, digits)
     return done.select(key, date_col, value_col, avg.alias("rolling_avg"))
+
+
+def rolling_mean_exact(ind: DataFrame, indicators: Iterable[str] | None = None, window: int = 200,
+                       key: str = "indicator", date_col: str = "date", value_col: str = "value",
+                       n_buckets: int | None = None, digits: int = 4) -> DataFrame:
+    """``rolling_mean`` for any width: plan, shuffles and work per row do not depend on ``window``.
+
+    Values are taken as whole numbers of ``10 ** -digits`` (rounded half away
+    from zero).  Their sums are exact, so a frame's sum is the difference of
+    two prefix sums.  The mean is NULL until ``window`` rows are in the frame
+    and where the frame holds a missing value; NaN, infinity and numbers of
+    more than 20 digits count as missing.  Rows without a series key are left
+    out, ties on the date are ordered by value, and repeated rows are rows of
+    their own.  Output: key, date, value, rolling_avg.
+
+    Prefix sums have two levels: inside balanced range buckets (``n_buckets``,
+    default the shuffle partition count), and over the buckets' totals, one row
+    per series and bucket.  Each row then meets the prefix sums ``window``
+    places earlier in a join on (series, place), a key without repeats, so a
+    hot series is spread over all tasks.
+    """
+    w = int(window)
+    if w < 1:
+        raise ValueError("window must be at least 1")
+    rows = ind.where(F.col(key).isNotNull())
+    if indicators is not None:
+        rows = rows.where(F.col(key).isin(list(indicators)))
+    rows = numbers(rows.select(key, date_col, value_col))
+    n = n_buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = F.round(F.col(value_col) * F.lit(10.0 ** digits)).try_cast("decimal(20,0)")
+    rows = _range_buckets(rows, key, [date_col, value_col], n).withColumn("_u", units)
+
+    zero = F.lit(0).cast("decimal(38,0)")
+    ordered = Window.partitionBy(key, "_b").orderBy(date_col, value_col, "_tb").rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.select(key, date_col, value_col, "_b", F.count(F.lit(1)).over(ordered).alias("_n"),
+                        F.count("_u").over(ordered).alias("_f"), F.coalesce(F.sum("_u").over(ordered).cast("decimal(38,0)"), zero).alias("_s"))
+    ends = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"), F.count("_u").alias("_f"), F.sum("_u").cast("decimal(38,0)").alias("_s"))
+    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(key, "_b", *(F.coalesce(F.sum(c).over(earlier).cast(t), F.lit(0).cast(t)).alias(f"{c}0")
+                                     for c, t in (("_n", "long"), ("_f", "long"), ("_s", "decimal(38,0)"))))
+    # both sides are split by (series, bucket) already: no shuffle of the rows
+    sums = local.join(carry, [key, "_b"], "inner").select(
+        key, date_col, value_col, (F.col("_n") + F.col("_n0")).alias("_at"), (F.col("_f") + F.col("_f0")).alias("_f"),
+        (F.col("_s") + F.col("_s0")).cast("decimal(38,0)").alias("_s"))
+    before = sums.select(key, (F.col("_at") + w).alias("_at"), F.col("_f").alias("_f0"), F.col("_s").alias("_s0"))
+    done = sums.join(before, [key, "_at"], "left")
+    full = (F.col("_at") >= w) & (F.col("_f") - F.coalesce("_f0", F.lit(0)) == w)
+    total = (F.col("_s") - F.coalesce("_s0", zero)).cast("double")
+    return done.select(key, date_col, value_col, F.when(full, total / F.lit(w * 10.0 ** digits)).alias("rolling_avg"))

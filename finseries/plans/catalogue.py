@@ -272,6 +272,27 @@ def indicator_rolling(spark, sf_dir):
     return I_.rolling_mean(A.indicators(spark, sf_dir), None, ROLL_WINDOW)
 
 
+WIDE_WINDOW = 200
+
+
+def _wide_sql(w):
+    return with_views(f"""SELECT stock, date, close, CASE WHEN count(*) OVER o = {w} AND count(close) OVER o = {w}
+  THEN CAST(sum(CAST(round(close * 10000.0) AS HUGEINT)) OVER o AS DOUBLE) / {w * 10.0 ** 4} END AS rolling_avg
+FROM L WHERE stock IS NOT NULL
+WINDOW o AS (PARTITION BY stock ORDER BY date, close ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)""", "L")
+
+
+@register("close_rolling", _wide_sql(ROLL_WINDOW))
+def close_rolling(spark, sf_dir):
+    return I_.rolling_mean_exact(A.long_bars(spark, sf_dir), None, ROLL_WINDOW, "stock", "date", "close")
+
+
+@register("close_rolling_wide", _wide_sql(WIDE_WINDOW))
+def close_rolling_wide(spark, sf_dir):
+    """E1 over a width that no list of lags would hold: same plan as the narrow one."""
+    return I_.rolling_mean_exact(A.long_bars(spark, sf_dir), None, WIDE_WINDOW, "stock", "date", "close")
+
+
 # --------------------------------------------------------------------------
 # Movers (Q11 B7 H3 H4)
 # --------------------------------------------------------------------------

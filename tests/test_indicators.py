@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import re
 from collections import Counter
 
 import pandas as pd
@@ -88,3 +89,38 @@ def test_rows_without_series_are_left_out(spark):
     rows = [(None, dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 1, 1), 2.0)]
     got = [(r.indicator, r.rolling_avg) for r in I.rolling_mean(_ind(spark, rows), window=1).collect()]
     assert got == [("a", 2.0)]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40),
+                          st.one_of(st.none(), st.integers(-300, 300).map(lambda x: x / 4))),
+                min_size=1, max_size=120),
+       st.sampled_from([1, 2, 3, 7, 30, 200]), st.integers(1, 9))
+def test_exact_means_of_any_width_match_pandas(spark, data, w, n):
+    base = dt.date(2024, 1, 1)
+    rows = [(k, base + dt.timedelta(days=d), v) for k, d, v in data]
+    got = I.rolling_mean_exact(_ind(spark, rows), window=w, n_buckets=n).collect()
+    mine = Counter((r.indicator, str(r.date), r.value,
+                    None if r.rolling_avg is None else round(r.rolling_avg, 9)) for r in got)
+    assert mine == _pandas_rolling(rows, w)
+
+
+def test_exact_means_cost_the_same_at_any_width(spark):
+    rows = [("hot", dt.date(2024, 1, 1) + dt.timedelta(days=i // 3), float(i % 7)) for i in range(3000)] + [("x", dt.date(2024, 1, 2), 2.0)]
+    df = _ind(spark, rows)
+
+    def plan(w):
+        return I.rolling_mean_exact(df, window=w, n_buckets=8)._jdf.queryExecution().executedPlan().toString()
+    shapes = [re.findall(r"^[ :+*()0-9-]*([A-Za-z]+)", plan(w), re.M) for w in (3, 200)]
+    assert shapes[0] == shapes[1] and "lag(" not in plan(200)
+    got = I.rolling_mean_exact(df, window=200, n_buckets=8)
+    assert got.count() == 3001 and got.where("indicator = 'hot' AND rolling_avg IS NULL").count() == 199
+
+
+def test_exact_means_of_odd_values(spark):
+    day = dt.date(2024, 1, 1)
+    vals = [1.0, float("inf"), 2.0, 3.0, float("nan"), 1e30, 4.0, 5.0]
+    rows = [("a", day + dt.timedelta(days=i), v) for i, v in enumerate(vals)] + [(None, day, 1.0)]
+    got = I.rolling_mean_exact(_ind(spark, rows), window=2).orderBy("date").collect()
+    assert [r.rolling_avg for r in got] == [None, None, None, 2.5, None, None, None, 4.5]
+    assert I.rolling_mean_exact(_ind(spark, []), window=2).count() == 0
