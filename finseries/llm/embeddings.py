@@ -142,15 +142,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     Vectors that are null, empty, all zero or hold a null or non-finite
     component, rows without a label and rows without a vec_id link with
     nothing (component_id is the own vec_id).  vec_id is the key: the smallest
-    one of equal vectors stands for them.  Only vec_id, embedding and label
-    are read.
+    one of equal vectors stands for them, and n_links counts other vec_ids, so
+    a repeated row links neither with itself nor twice with another (each
+    repeat gets the same result).  Only vec_id, embedding and label are read.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     valid = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & fine)
-    nodes = save(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("n")), "itq_nodes")
+    nodes = save(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("n")), "itq_nodes")
     links = spark.createDataFrame([], "a long, b long")
     for (dim,) in nodes.select(F.size("embedding")).distinct().collect():  # vector lengths: one, as a rule
         own = nodes.where(F.size("embedding") == dim)

@@ -242,7 +242,7 @@ links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label
           WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
 reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
-n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+n AS (SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
 FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op7_token_counts": r"""

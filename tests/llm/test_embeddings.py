@@ -1,6 +1,7 @@
+import duckdb
 import numpy as np
 
-from finseries.llm import embeddings
+from finseries.llm import embeddings, registry
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -25,7 +26,7 @@ def brute(rows, threshold=0.98):
                 seen.add(j)
                 todo.append(j)
         c = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
-        out.append((r[0], len(links[i]), c, r[0] == c))
+        out.append((r[0], len({rows[j][0] for j in links[i]} - {r[0]}), c, r[0] == c))
     return sorted(out, key=str)
 
 
@@ -42,6 +43,7 @@ def vectors(n=150, dim=32, seed=3):
     rows += [(2000, [2 * x for x in rows[7][1]], rows[7][2]), (2001, rows[7][1], None), (2002, None, 1), (2003, [], 1), (2004, [0.0] * dim, 1),
              (2005, [float("nan")] * dim, 1), (2006, [float("inf")] + [1.0] * (dim - 1), 1), (2007, [None] * dim, 1), (2008, [1.0, 2.0], 1), (2009, [1.0, 2.0], 1),
              (None, rows[7][1], rows[7][2])]
+    rows += [rows[7], rows[7], rows[12], rows[n], (2010, [float(i) for i in range(dim)], 1), (2010, [float(i) for i in range(dim)], 1)]  # repeated rows
     return rows
 
 
@@ -52,6 +54,16 @@ def test_equals_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_repeated_rows_agree_with_the_sql_twin(spark, tmp_path):
+    rows = [r for r in vectors(40) if r[0] is not None and not 2002 <= r[0] < 2010]  # vectors the twin can compare
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = registry.op5_embedding_near_dups(spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept").collect()
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = db.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({registry.ORACLE['op5_embedding_near_dups']})").fetchall()
+    assert {tuple(r) for r in got} == set(want) and len(got) == len(rows)
+
+
 def test_recall_near_the_threshold():
     """Pairs at a cosine of just 0.98 share a table with at most one bit apart."""
     rng = np.random.default_rng(9)
