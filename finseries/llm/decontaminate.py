@@ -38,9 +38,20 @@ def _none(kind: str) -> Column:
     return F.array().cast(f"array<{kind}>")
 
 
+def _fits(df: DataFrame, rows: int) -> bool:
+    """Whether the table, counted, is within the bound."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= rows
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint if the table, counted, is within the bound; else as it is (shuffle join)."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= rows else df
+    return F.broadcast(df) if _fits(df, rows) else df
+
+
+def _with_words(base: DataFrame, met: DataFrame, item: Column) -> DataFrame:
+    """(doc_id, thash, words, of): the texts that ``met`` names, each once per row of ``base``, with the set of their items."""
+    one = met.groupBy(F.col("doc_id").alias("met_id"), F.col("thash").alias("met_hash")).agg(F.collect_set(item).alias("of"))
+    return base.join(one, F.col("doc_id").eqNullSafe(F.col("met_id")) & (F.col("thash") == F.col("met_hash"))).select("doc_id", "thash", "words", "of")
 
 
 def covered(spans: Column) -> Column:
@@ -72,10 +83,15 @@ def _hits(docs: DataFrame, windows: DataFrame, window: int, k: int) -> DataFrame
     full = windows.where(F.col("len") == window).select("phrase").distinct()
     kept = full.select(F.array_min(_grams(parts, k)).alias("h")).distinct()
     kept_of = F.when(F.size("words") >= window, let(_grams(F.col("words"), k), lambda h: _winnow(h, w)))
-    probes = base.select("doc_id", "thash", "words", F.explode(kept_of).alias("h"))
-    met = probes.join(_small(kept, BROADCAST_ROWS), "h")
-    at = met.select("doc_id", "thash", "words", F.explode(F.filter(
-        F.sequence(F.lit(1), F.size("words") - (k - 1)), lambda i: F.xxhash64(F.slice("words", i, k)) == F.col("h"))).alias("at"))
+    places = F.sequence(F.lit(1), F.size("words") - (k - 1))
+    if _fits(kept, BROADCAST_ROWS):
+        met = base.select("doc_id", "thash", "words", F.explode(kept_of).alias("h")).join(F.broadcast(kept), "h")
+        at = met.select("doc_id", "thash", "words", F.explode(F.filter(
+            places, lambda i: F.xxhash64(F.slice("words", i, k)) == F.col("h"))).alias("at"))
+    else:  # only hashes travel to the join; the words of a text that is hit follow once
+        met = base.select("doc_id", "thash", F.explode(kept_of).alias("h")).join(kept, "h")
+        at = _with_words(base, met, F.col("h")).select("doc_id", "thash", "words", F.explode(F.filter(
+            places, lambda i: F.array_contains("of", F.xxhash64(F.slice("words", i, k))))).alias("at"))
     around = at.select("doc_id", "thash", "words", F.explode(F.sequence(
         F.greatest(F.col("at") - (w - 1), F.lit(1)), F.least(F.col("at"), F.size("words") - (window - 1)))).alias("start"))
     spans = around.select("doc_id", "thash", "start", F.lit(window).alias("len"),
@@ -85,11 +101,14 @@ def _hits(docs: DataFrame, windows: DataFrame, window: int, k: int) -> DataFrame
     for n in sorted(r[0] for r in short.select("len").distinct().collect()):  # window - 1 lengths at most
         own = short.where(F.col("len") == n).select("phrase").distinct()
         probe = own.select(F.xxhash64(parts).alias("h")).distinct()
-        spots = (base.select("doc_id", "thash", "words", F.posexplode(
-                     F.when(F.size("words") >= n, _grams(F.col("words"), n))).alias("at", "h"))
-                 .join(_small(probe, BROADCAST_ROWS), "h")
-                 .select("doc_id", "thash", (F.col("at") + 1).alias("start"), F.lit(n).alias("len"),
-                         F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("phrase")))
+        grams = F.posexplode(F.when(F.size("words") >= n, _grams(F.col("words"), n))).alias("at", "h")
+        if _fits(probe, BROADCAST_ROWS):
+            spots = base.select("doc_id", "thash", "words", grams).join(F.broadcast(probe), "h")
+        else:
+            met = base.select("doc_id", "thash", grams).join(probe, "h")
+            spots = _with_words(base, met, F.col("at")).select("doc_id", "thash", "words", F.explode("of").alias("at"))
+        spots = spots.select("doc_id", "thash", (F.col("at") + 1).alias("start"), F.lit(n).alias("len"),
+                             F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("phrase"))
         found = found.unionByName(spots.join(_small(own, BROADCAST_ROWS // 10), "phrase", "left_semi").distinct())
     return found
 

@@ -54,6 +54,26 @@ def test_equals_brute_force(spark, monkeypatch, rows_bound):
     assert digest(got) == brute(rows, bench)
 
 
+def hits_plan(spark, bench):
+    docs = cases.frame(spark, cases.corpus())
+    windows = decontaminate.item_windows(cases.frame(spark, bench, BENCH), 10)
+    return decontaminate._hits(docs.select("doc_id", "text"), windows, 10, 6)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_benchmark_shuffles_hashes_not_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    plan = hits_plan(spark, items(cases.corpus())[:2])  # whole windows only: no join of shorter items
+    lines = plan.splitlines()
+    sent = [lines[i + 2] for i, line in enumerate(lines) if "Exchange hashpartitioning(h#" in line and "Generate explode" in lines[i + 2]]
+    # beside the hash goes the document's id and its text's hash, nothing else
+    assert sent and all(re.search(r"\[doc_id#\w+, thash#\w+\], false, \[h#\w+\]$", line) for line in sent)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = hits_plan(spark, items(cases.corpus()))
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_clean_drops_exactly_the_contaminated(spark):
     rows = cases.corpus()
     bench = items(rows)[:3]
