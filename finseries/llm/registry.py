@@ -143,8 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
-#: DuckDB: rows (label, tokens) of the license templates, and rows (label, phrase words) of the base phrases.
-_TEMPLATE_ROWS = ", ".join(f"('{label}', {licenses.tokens_of(text)})" for text, label in licenses.TEMPLATES)
+#: DuckDB: rows (number, label, tokens, tokens needed, words of a block, marks) of the license templates, and rows (label, phrase words) of the base phrases.
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{x.label}', {list(x.tokens)}, {x.need}, {x.span}, {list(x.marks)}::VARCHAR[])"
+                           for i, x in enumerate(licenses.prepared(licenses.TEMPLATES, licenses.THRESHOLD)))
 _PHRASE_ROWS = ", ".join(f"('{label}', {phrase.split(' ')})" for phrase, label in licenses.PHRASES)
 
 #: DuckDB: crc32 of an ASCII string, bit by bit.
@@ -257,12 +258,13 @@ FROM c GROUP BY ALL""",
     "op8_license_scan": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {_WORDS.format('text')} AS w FROM documents),
 phrases(label, p) AS (VALUES {_PHRASE_ROWS}),
-templates(label, t) AS (VALUES {_TEMPLATE_ROWS}),
+templates(no, label, t, k, span, marks) AS (VALUES {_TEMPLATE_ROWS}),
 spots AS (SELECT r, i, label FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i
           FROM d, phrases WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
-lines AS (SELECT r, list_distinct({_WORDS.format('line')}) AS s FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
-met AS (SELECT r, label, CAST(len(list_intersect(t, s)) AS DOUBLE) / len(t) AS c FROM lines, templates
-        WHERE len(list_intersect(t, s)) >= ceil({licenses.THRESHOLD} * len(t) - 1e-9)),
+tokens AS (SELECT no, label, len(t) AS n, k, span, marks, unnest(t) AS x FROM templates),
+hits AS (SELECT r, i, no, label, n, k, span, marks, x FROM (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS i FROM d) JOIN tokens USING (x)),
+blocks AS (SELECT r, no, label, n, k, marks, array_agg(x) OVER (PARTITION BY r, no ORDER BY i RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS s FROM hits),
+met AS (SELECT r, label, CAST(len(list_distinct(s)) AS DOUBLE) / n AS c FROM blocks WHERE len(list_distinct(s)) >= k AND len(list_intersect(marks, s)) = len(marks)),
 b AS (SELECT r, count(*) AS n, min(i) - 1 AS f, max(i) - 1 AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM spots GROUP BY r),
 a AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM
       (SELECT r, label FROM spots UNION SELECT r, label FROM met) GROUP BY r),
