@@ -77,10 +77,11 @@ def year_start_of_latest(bars: DataFrame, date_col: str = "date") -> Column:
 
 
 def latest_dates(bars: DataFrame, date_col: str = "date") -> DataFrame:
-    """One row: ``latest``, ``prev``."""
-    one = bars.sparkSession.range(1)
-    return one.select(latest_date(bars, date_col).alias("latest"),
-                      previous_date(bars, date_col).alias("prev"))
+    """One row: ``latest``, ``prev`` (NULL if there is only one date); literals where the dates are known, else one scan."""
+    if (date_col, "known") in _BOUNDS.get(bars, {}):
+        return bars.sparkSession.range(1).select(latest_date(bars, date_col).alias("latest"), previous_date(bars, date_col).alias("prev"))
+    days = bars.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    return days.orderBy(F.desc("_d")).limit(2).agg(F.max("_d").alias("latest"), F.when(F.count(F.lit(1)) == 2, F.min("_d")).alias("prev"))
 
 
 def top_assets(bars: DataFrame, key: str, k: int = 10, scope: str = "latest",

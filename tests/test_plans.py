@@ -129,6 +129,17 @@ def test_snapshot_scans_the_bars_twice_besides_the_dates(spark):
     assert len(scans) <= 2, len(scans)
 
 
+def test_latest_dates_take_one_scan(spark):
+    assert _plan(E.queries()["latest_dates"](spark, SF001)).count("FileScan parquet") == 2  # lineitem and part, once each
+
+
+def test_declared_schemas_are_those_of_the_files(spark):
+    from finseries.sources import adapters as A
+    for name in A.SCHEMAS:
+        inferred = spark.read.parquet(f"{SF001}/{name}.parquet").schema
+        assert A.table(spark, SF001, name).schema == inferred, name
+
+
 def test_views_see_appended_files(spark):
     import shutil
     import tempfile

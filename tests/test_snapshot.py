@@ -10,6 +10,16 @@ def test_latest_and_previous(spark, bars):
     assert str(r.latest) == "2024-01-05" and str(r.prev) == "2024-01-03"
 
 
+def test_latest_dates_of_one_date_none_and_known_ones(spark, bars):
+    one = bars([("A", "2024-01-01", 1.0), ("B", "2024-01-01", 2.0)])
+    r = S.latest_dates(one).first()
+    assert str(r.latest) == "2024-01-01" and r.prev is None
+    r = S.latest_dates(one.where("false")).first()
+    assert r.latest is None and r.prev is None
+    known = S.know_dates(one.where("true"), r.latest, r.prev)
+    assert S.latest_dates(known).first() == r
+
+
 def test_lagging_asset_drops_out(spark, bars):
     df = bars([("A", "2024-01-01", 1.0), ("A", "2024-01-02", 2.0),
                ("B", "2024-01-01", 5.0)])  # B has no row on the latest date
