@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from finseries.functions import trend_model
 from finseries.operators import forecast as FC
+from finseries.plans import catalogue
 
 
 def _series(spark, sym, n, fn, start=dt.date(2024, 1, 1)):
@@ -152,3 +153,30 @@ def test_nan_prices_are_left_out(spark):
     df = spark.createDataFrame(rows, "symbol string, date string, close double").selectExpr("symbol", "CAST(date AS DATE) AS date", "close")
     tr = FC.training_set(df, "symbol", 30, 120)
     assert tr.count() == 30 and tr.where("isnan(y)").count() == 0
+
+
+def _outside(monkeypatch):
+    """Every forecast row is lifted above its band."""
+    model = FC.forecast_additive
+
+    def lifted(train, k, horizon):
+        over = F.when(F.col("Type") == "Forecast", F.col("upper_ci") * 2).otherwise(F.col("value"))
+        return model(train, k, horizon).withColumn("value", over)
+
+    monkeypatch.setattr(FC, "forecast_additive", lifted)
+
+
+def _in_band(df):
+    return {(r.Type, r.in_band) for r in df.select("Type", "in_band").distinct().collect()}
+
+
+GOOD = {("Actual", None), ("Fitted", True), ("Forecast", True)}
+BAD = {("Actual", None), ("Fitted", True), ("Forecast", False)}
+
+
+def test_forecast_additive_judges_each_model_row_by_its_band(spark, monkeypatch):
+    own = _series(spark, "A", 40, lambda i: 10 + math.sin(i)).unionByName(_series(spark, "B", 35, lambda i: 20 + i % 3))
+    monkeypatch.setattr(catalogue.A, "tick_bars", lambda *_: own)
+    assert _in_band(catalogue.forecast_additive(spark, "")) == GOOD
+    _outside(monkeypatch)
+    assert _in_band(catalogue.forecast_additive(spark, "")) == BAD
