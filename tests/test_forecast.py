@@ -180,3 +180,11 @@ def test_forecast_additive_judges_each_model_row_by_its_band(spark, monkeypatch)
     assert _in_band(catalogue.forecast_additive(spark, "")) == GOOD
     _outside(monkeypatch)
     assert _in_band(catalogue.forecast_additive(spark, "")) == BAD
+
+
+def test_stock_forecast_judges_each_model_row_by_its_band(spark, monkeypatch):
+    own = _series(spark, "A", 40, lambda i: 10 + math.sin(i)).unionByName(_series(spark, "B", 35, lambda i: 20 + i % 3))
+    monkeypatch.setattr(catalogue.A, "long_bars", lambda *_: own.withColumnRenamed("symbol", "stock"))
+    assert _in_band(catalogue.stock_forecast(spark, "")) == GOOD
+    _outside(monkeypatch)
+    assert _in_band(catalogue.stock_forecast(spark, "")) == BAD
