@@ -1,23 +1,23 @@
 """Substring dedup by fixed-block anchors: repeated word windows across documents.
 
 A window of ``window`` words that occurs in a document with a smaller doc_id is
-a repeat; every word that a repeat covers goes.  Any window holds a whole
-block of ``(window + 1) // 2`` words that starts at a multiple of the block
-length of the *other* document (an anchor).  So:
-
-1. Index: the hash of every non-overlapping block, with its smallest doc_id and place there.
-2. Probe: every rolling block-length window of every document, joined with the
-   index on the hash; a probe is a hit if the block also stands in a document
-   with a smaller doc_id.  The blocks behind the hits are the reference spots.
-3. Extend: around hits and reference spots the full windows are compared by a
-   128-bit hash; the smallest doc_id of each decides.  Runs of repeats merge
+a repeat; every word that a repeat covers goes.  A window's anchors are its
+blocks of ``(window + 1) // 2`` words with the smallest hash.  They depend on
+the window's words alone, so equal windows have equal anchors at the same
+places (winnowing).  So:
+
+1. Anchors: the hash of every block that is an anchor of some window, about one
+   block in four.
+2. Spots: every place of a hash that stands under two doc_ids at least.
+3. Extend: around spots the full windows are compared by a 128-bit hash; the smallest doc_id of each decides.  Runs of repeats merge
    into maximal exact repeats.
 
-Hits are pre-aggregated (one smallest doc_id per block or window), so a passage
-in very many documents costs its occurrences, never its pairs.  Hash space is
-probed in ``SLICES`` parts, one after the other, which bounds shuffle space to
-a part of the probes whatever the corpus size.  Words are hashed where they
-stand in the texts' bytes, without being cut out.
+Hashes are pre-aggregated (smallest and largest doc_id of each block, smallest
+of each window), so a passage in very many documents costs its occurrences,
+never its pairs.  Hash space is compared in ``SLICES`` parts, one after the
+other, which bounds shuffle space to a part of the anchors whatever the corpus
+size.  Words are hashed where they stand in the texts' bytes, without being cut
+out.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from finseries.llm.common import discard, map_texts, release, save, ship_package
 
 #: Passes over the hash space.
-SLICES = 3
+SLICES = 2
 #: Texts taken out of an Arrow batch at once, and bytes whose words are hashed at once.
 TEXTS = 200
 BLOCK_BYTES = 1 << 20
@@ -124,48 +124,44 @@ def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
             yield b, *word_hashes(data, ends[1:] - ends[0])
 
 
-def _blocks(texts: DataFrame, block: int, slice_no: int, rolling: bool) -> DataFrame:
-    """(h, doc, pos) of one slice of the hash space: every rolling block, or the non-overlapping ones.
+def anchors(h: np.ndarray, fits: np.ndarray, reach: int) -> np.ndarray:
+    """Whether each block (of hashes ``h``) has the smallest hash of the ``reach`` blocks of some window;
+    ``fits`` tells at which places windows start."""
+    least = h[:len(fits)].copy()
+    for j in range(1, reach):
+        np.minimum(least, h[j:j + len(fits)], out=least)
+    hit = np.zeros(len(h), dtype=bool)
+    for j in range(reach):
+        hit[j:j + len(fits)] |= fits & (h[j:j + len(fits)] == least)
+    return hit
 
-    Of the latter a text gives each hash once, with place -1 if the block
-    stands in it more than once.
-    """
+
+def _anchor_rows(texts: DataFrame, window: int, block: int) -> DataFrame:
+    """(h, doc, pos) of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, words, ends in text_slices(batches):
+            size = len(words) - window + 1
+            if size <= 0:
+                continue
             h = gram_hashes(words, block)
-            of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:len(h)]
-            at = np.arange(len(h)) - np.append(0, ends)[of]
-            fits = (np.arange(len(h)) + block <= ends[of]) & (h % np.uint64(SLICES) == slice_no)
-            if not rolling:
-                fits &= at % block == 0
-            h, of, at = h[fits], of[fits], at[fits]
-            if not rolling:
-                by = np.lexsort((at, h, of))
-                h, of, at = h[by], of[by], at[by]
-                first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(h, prepend=~h[:1]) != 0))
-                once = np.diff(first, append=len(h)) == 1
-                h, of, at = h[first], of[first], np.where(once, at[first], -1)
-            doc = b.column("doc_id").to_numpy()[of]
-            if len(h):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32))], names=["h", "doc", "pos"])
+            of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            fits = np.arange(size) + window <= ends[of[:size]]
+            at = np.flatnonzero(anchors(h, fits, window - block + 1))
+            of = of[at]
+            if len(at):
+                doc = b.column("doc_id").to_numpy()[of]
+                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(doc), pa.array((at - np.append(0, ends)[of]).astype(np.int32))],
+                                                 names=["h", "doc", "pos"])
 
     return texts.select("doc_id", "text").mapInArrow(run, "h long, doc long, pos int")
 
 
-def _spots(texts: DataFrame, block: int, slice_no: int) -> DataFrame:
-    """(doc, pos) of hits and of the reference blocks behind them; place -1 stands for all places.
-
-    Blocks of other documents than the smallest are hits themselves, so the
-    smallest document's block is the only reference to add.
-    """
-    index = _blocks(texts, block, slice_no, rolling=False).groupBy("h").agg(
-        F.min("doc").alias("first"), F.min_by("pos", "doc").alias("at"))
-    probes = _blocks(texts, block, slice_no, rolling=True)
-    hits = save(probes.join(index, "h").where("doc > first").select("doc", "pos", "first", "at"), "substring_hits")
-    spots = save(hits.select("doc", "pos").unionByName(hits.select(F.col("first").alias("doc"), F.col("at").alias("pos")).distinct()), "substring_spots")
-    discard(hits)
-    return spots
+def _spots(found: DataFrame, slice_no: int) -> DataFrame:
+    """(doc, pos) of the anchors of one slice of the hash space whose hash stands under several doc_ids."""
+    part = found.where(F.pmod("h", F.lit(SLICES)) == slice_no)
+    several = part.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("h")
+    return save(part.join(several.hint("SHUFFLE_HASH"), "h", "left_semi").select("doc", "pos"), "substring_spots")
 
 
 def _windows(docs: DataFrame, spots: DataFrame, window: int, block: int) -> DataFrame:
@@ -183,14 +179,11 @@ def _windows(docs: DataFrame, spots: DataFrame, window: int, block: int) -> Data
             edges = column.offsets.to_numpy()
             spot = column.values.to_numpy()[edges[0]:edges[-1]]
             of = np.repeat(np.arange(len(ends)), np.diff(edges))
-            everywhere = np.zeros(len(ends), dtype=bool)  # a reference block with several places: all windows are looked at
-            everywhere[of[spot < 0]] = True
-            of, spot = of[spot >= 0], spot[spot >= 0]
             near = np.zeros(size + 1, dtype=np.int32)
             np.add.at(near, np.clip(np.maximum(starts[of] + spot - (window - block), starts[of]), 0, size), 1)
             np.add.at(near, np.clip(starts[of] + spot + 1, 0, size), -1)
             doc = np.repeat(np.arange(len(ends)), np.diff(starts))[:size]
-            pos = np.flatnonzero(((np.cumsum(near[:-1]) > 0) | everywhere[doc]) & (np.arange(size) + window <= ends[doc]))
+            pos = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (np.arange(size) + window <= ends[doc]))
             if len(pos):
                 doc = doc[pos]
                 mark = np.array([_mark(words[i:j]) for i, j in zip(starts[:-1], starts[1:], strict=True)], dtype=np.int64)
@@ -251,15 +244,15 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     texts = save(rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).groupBy("k1", "k2")
                  .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text")), "substring_texts")
     release(spark)
+    found = save(_anchor_rows(texts, window, block), "substring_anchors")
+    discard(texts)
+    release(spark)
     parts = []
     for slice_no in range(SLICES):
-        parts.append(_spots(texts, block, slice_no))
+        parts.append(_spots(found, slice_no))
         release(spark)
-    # texts that share a doc_id may hold a reference block at different places: all of their places are looked at
-    shared = save(texts.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("doc"), F.lit(-1).alias("pos")), "substring_shared")
-    parts.append(shared)
+    discard(found)
     spots = reduce(DataFrame.unionByName, parts)
-    discard(texts)
     named = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     windows = save(_windows(named, spots, window, block), "substring_windows")
     discard(*parts)

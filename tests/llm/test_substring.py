@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 import cases
@@ -79,3 +80,23 @@ def test_words_hash_alike_wherever_blocks_are_cut(monkeypatch):
     assert [x for x, w in zip(short.tolist(), words) if len(w) <= 16] == [x for x, w in zip(h.tolist(), words) if len(w) <= 16]
     assert len(set(zip(words, short.tolist()))) == len(set(short.tolist())) == len(set(words))
     substring._tables.cache_clear()
+
+
+def test_anchors_of_equal_windows_stand_at_equal_places():
+    rng = np.random.default_rng(8)
+    window, block = 13, 7
+    words = rng.integers(0, 3, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = substring.gram_hashes(words, block)
+    size = len(words) - window + 1
+    every = substring.anchors(h, np.ones(size, dtype=bool), window - block + 1)
+    for i in range(size):
+        one = np.flatnonzero(substring.anchors(h[i:i + window - block + 1], np.ones(1, dtype=bool), window - block + 1))
+        assert len(one) and every[i + one].all()
+
+
+def test_far_fewer_rows_than_words_travel(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 5_000, 1_000))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring._anchor_rows(df, 13, 7).count()
+    assert 20 * 1_000 / 8 < found < 20 * 1_000 / 3
